@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import is_numeric, status_band, status_colour
@@ -50,8 +50,8 @@ def bin_counts(df: DataFrame, columns: Sequence[str], edges: DataFrame, q: int,
     long = long_values(df, columns, [*keys, *by], keep_null=True)
     ends = broadcast_if_small(edges.select(*by, "feature", "edges"))
     placed = position_in(long.join(ends, [*by, "feature"]), "value", "edges", q - 1, "bin")
-    bin_no = F.when(F.col("value").isNotNull(), F.col("bin"))
-    return placed.groupBy(*keys, *by, "feature", bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bin_no = F.expr("if(value is null, null, bin) as bin")
+    return placed.groupBy(*keys, *by, "feature", bin_no).agg(F.expr("count(*) as n"))
 
 
 def _sides(reference: DataFrame, actual: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -75,10 +75,6 @@ def side_counts(actual: DataFrame, reference: DataFrame | None, columns: Sequenc
     return _sides(reference_counts, counted, [*by, "feature", "bin", "n"])
 
 
-def _share(count: Column, total: Column) -> Column:
-    return F.when(count > 0, count / total).otherwise(F.lit(EMPTY_SHARE))
-
-
 def drift_terms(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Bin by bin: shares on both sides and their PSI and KL terms.
 
@@ -91,30 +87,27 @@ def drift_terms(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     per_bin = (
         counts.withColumn("periods", seen)
         .groupBy(*key, "bin").agg(
-            F.sum(F.when(F.col("is_ref"), F.col("n")).otherwise(0)).alias("ref_n"),
-            F.map_from_entries(F.collect_list(
-                F.when(~F.col("is_ref"), F.struct(PERIOD, "n")))).alias("act"),
+            F.expr("sum(if(is_ref, n, 0)) as ref_n"),
+            F.expr("map_from_entries(collect_list(if(is_ref, null, struct(period, n)))) as act"),
             F.first("periods").alias("periods"))
         .select(*key, "bin", "ref_n", "act", F.explode("periods").alias(PERIOD))
-        .withColumn("act_n", F.coalesce(F.try_element_at("act", F.col(PERIOD)), F.lit(0)))
+        .withColumn("act_n", F.expr("coalesce(try_element_at(act, period), 0)"))
     )
     whole = Window.partitionBy(*key, PERIOD)
-    filled = F.col("bin").isNotNull()
     totals = per_bin.select(
         *key, PERIOD, "bin", "ref_n", "act_n",
-        F.sum(F.when(filled, F.col("ref_n")).otherwise(0)).over(whole).alias("n_ref"),
-        F.sum(F.when(filled, F.col("act_n")).otherwise(0)).over(whole).alias("n_actual"),
+        F.sum(F.expr("if(bin is null, 0, ref_n)")).over(whole).alias("n_ref"),
+        F.sum(F.expr("if(bin is null, 0, act_n)")).over(whole).alias("n_actual"),
         F.sum("ref_n").over(whole).alias("rows_ref"),
         F.sum("act_n").over(whole).alias("rows_actual"),
-    ).where(filled)
+    ).where("bin is not null")
     shares = totals.withColumns({
-        "ref_share": _share(F.col("ref_n"), F.col("n_ref")),
-        "act_share": _share(F.col("act_n"), F.col("n_actual")),
+        "ref_share": F.expr(f"if(ref_n > 0, ref_n / n_ref, {EMPTY_SHARE!r}D)"),
+        "act_share": F.expr(f"if(act_n > 0, act_n / n_actual, {EMPTY_SHARE!r}D)"),
     })
-    ratio = F.log(F.col("ref_share") / F.col("act_share"))
     return shares.withColumns({
-        "psi_term": (F.col("ref_share") - F.col("act_share")) * ratio,
-        "kl_term": F.col("ref_share") * ratio,
+        "psi_term": F.expr("(ref_share - act_share) * ln(ref_share / act_share)"),
+        "kl_term": F.expr("ref_share * ln(ref_share / act_share)"),
     })
 
 
@@ -125,7 +118,7 @@ def drift_values(terms: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.sum("psi_term").alias("psi"), F.sum("kl_term").alias("kl"))
 
 
-def measure_drift(actual: DataFrame, reference: DataFrame, columns: Sequence[str], q: int,
+def measure_drift(actual: DataFrame, reference: DataFrame | None, columns: Sequence[str], q: int,
                   by: Sequence[str] = (), edges: DataFrame | None = None,
                   reference_counts: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """PSI and KL of each column (and group) of each period against the reference.
@@ -169,7 +162,7 @@ def drift_bins(actual: DataFrame, reference: DataFrame, columns: Sequence[str],
         *[F.coalesce(term[c], F.lit(empty[c])).alias(c) for c in parts])
 
 
-def psi_report(actual: DataFrame, reference: DataFrame, q: int, columns: Sequence[str] | None = None,
+def psi_report(actual: DataFrame, reference: DataFrame | None, q: int, columns: Sequence[str] | None = None,
                exclude: Sequence[str] = (), min_count: int = 10, edges: DataFrame | None = None,
                reference_counts: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """(period, feature, n_ref, n_actual, psi): columns with more than `min_count` values on both
@@ -195,14 +188,17 @@ def score_drift(actual: DataFrame, reference: DataFrame, score: str, q: int,
     return psi_report(actual, reference, q, columns=[score], **kwargs)
 
 
-def group_drift(actual: DataFrame, reference: DataFrame, group: str, columns: Sequence[str], q: int,
+def group_drift(actual: DataFrame, reference: DataFrame | None, group: str, columns: Sequence[str], q: int,
                 min_rows: int = 10, edges: DataFrame | None = None,
                 reference_counts: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """(period, group, columna, psi, n_actual): drift inside each score group, bins taken from the
     group's own reference; groups under `min_rows` rows on either side are left out."""
-    shared = [c for c in columns if c in actual.columns and c in reference.columns]
     known = F.col(group).isNotNull()
-    values = measure_drift(actual.where(known), reference.where(known), shared, q, by=(group,),
+    shared = [c for c in columns if c in actual.columns]
+    if reference is not None:
+        shared = [c for c in shared if c in reference.columns]
+        reference = reference.where(known)
+    values = measure_drift(actual.where(known), reference, shared, q, by=(group,),
                            edges=edges, reference_counts=reference_counts, strategy=strategy)
     enough = (F.col("rows_ref") >= min_rows) & (F.col("rows_actual") >= min_rows)
     return values.where(enough & (F.col("n_ref") > 0) & (F.col("n_actual") > 0)).select(

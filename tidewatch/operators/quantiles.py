@@ -49,15 +49,12 @@ def _interpolate(counted: DataFrame, keys: Sequence[str], cuts: Sequence[int], p
     asked = F.col("cut").between(cuts[0], cuts[-1]) if _is_run(cuts) else F.col("cut").isin(list(cuts))
     hits = hits.where(asked)
     hits = hits.withColumn("k", F.expr(f"(cut * (n - 1)) div {parts}"))
-    last = F.col("first") + F.col("copies") - 1
     edges = hits.groupBy(*keys, "n", "cut").agg(
-        F.max(F.when(F.col("k").between(F.col("first"), last), F.col("value"))).alias("lo"),
-        F.max(F.when((F.col("k") + 1).between(F.col("first"), last), F.col("value"))).alias("hi"),
-    )
-    weight = F.expr(f"(cut * (n - 1)) % {parts}").cast("double") / F.lit(float(parts))
-    edge = F.when((weight == 0) | (F.col("lo") == F.col("hi")), F.col("lo")).otherwise(
-        F.col("lo") + (F.col("hi") - F.col("lo")) * weight)
-    return edges.select(*keys, "n", "cut", edge.alias("edge"))
+        F.expr("max(if(k between first and first + copies - 1, value, null)) as lo"),
+        F.expr("max(if(k + 1 between first and first + copies - 1, value, null)) as hi"))
+    edges = edges.withColumn("weight", F.expr(f"double((cut * (n - 1)) % {parts}) / {parts}D"))
+    return edges.select(*keys, "n", "cut", F.expr(
+        "if(weight = 0 or lo = hi, lo, lo + (hi - lo) * weight) as edge"))
 
 
 def _count_values(long: DataFrame, keys: Sequence[str]) -> DataFrame:

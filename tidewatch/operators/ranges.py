@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import as_number
 from tidewatch.runtime import MIB, UNKNOWN_BYTES, broadcast_if_small, input_bytes, materialize
 
 SAMPLE_BYTES = 64 * MIB
@@ -22,13 +21,14 @@ SAMPLE_SEED = 17
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
                 keep_null: bool = False) -> DataFrame:
     """(by..., feature, value): one row per row and column, values as double, NaN as NULL."""
-    numbers = [as_number(F.col(c)).alias(c) for c in columns]
-    wide = df.select(*by, *numbers)
+    plain = [f"`{c}`" for c in by]
+    numbers = [f"if(isnan(double(`{c}`)), null, double(`{c}`))" for c in columns]
     if len(columns) == 1:
-        out = wide.select(*by, F.lit(columns[0]).alias("feature"), F.col(columns[0]).alias("value"))
+        out = df.selectExpr(*plain, f"'{columns[0]}' as feature", f"{numbers[0]} as value")
     else:
+        wide = df.selectExpr(*plain, *[f"{n} as `{c}`" for n, c in zip(numbers, columns)])
         out = wide.unpivot(list(by), list(columns), "feature", "value")
-    return out if keep_null else out.where(F.col("value").isNotNull())
+    return out if keep_null else out.where("value is not null")
 
 
 def position_in(df: DataFrame, value: str, ends: str, size: int, out: str) -> DataFrame:
@@ -40,8 +40,8 @@ def position_in(df: DataFrame, value: str, ends: str, size: int, out: str) -> Da
     df = df.withColumn(out, F.lit(0))
     step = 1 << (size.bit_length() - 1) if size else 0
     while step:
-        hit = F.get(F.col(ends), F.col(out) + F.lit(step - 1)) <= F.col(value)
-        df = df.withColumn(out, F.col(out) + F.when(hit, F.lit(step)).otherwise(F.lit(0)))
+        df = df.withColumn(out, F.expr(
+            f"{out} + if(get({ends}, {out} + {step - 1}) <= {value}, {step}, 0)"))
         step //= 2
     return df
 
