@@ -71,10 +71,12 @@ def stage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     stage = (F.when(kind == "view", "raw").when(kind == "click", "pre")
              .when(kind == "purchase", "score").when(kind == "signup", "grupo"))
+    # Decimals, so that the difference has no binary noise to round.
+    cents = F.col("value").cast("decimal(18,2)")
     return (
         table(spark, sf_dir, "events").where(kind != "error")
         .groupBy(stage.alias("stage"), F.dayofmonth("ts").alias("period"))
         .agg(F.round(F.avg("value") * 0.6, 2).alias("duration_s"),
-             F.round(F.max("value") - F.min("value"), 1).alias("ram_delta_mb"),
+             F.round(F.max(cents) - F.min(cents), 1).cast("double").alias("ram_delta_mb"),
              F.least(F.round(F.avg("value") * 1.6, 1), F.lit(100.0)).alias("ram_sys_pct"))
     )

@@ -210,7 +210,7 @@ runs as (
   select case event_type when 'view' then 'raw' when 'click' then 'pre' when 'purchase' then 'score'
                          when 'signup' then 'grupo' end as stage,
          day(ts)::int as period, round(avg(value) * 0.6, 2) as duration_s,
-         round(max(value) - min(value), 1) as ram_delta_mb,
+         round(max(value::decimal(18,2)) - min(value::decimal(18,2)), 1)::double as ram_delta_mb,
          least(round(avg(value) * 1.6, 1), 100.0::double) as ram_sys_pct
   from events where event_type <> 'error' group by all),
 history as (
@@ -245,7 +245,7 @@ CANDIDATES = SCORED + f""",
 candidates as (
   select {HASH8.format('row_id', 123)} % 10000 < 3300 as is_test,
          ((coalesce(sum_price, 0) > 100000) <> ({HASH8.format('row_id', 99)} % 100 < 20))::int as label,
-         prob, o_totalprice, coalesce(sum_price, 0)::double as sum_price
+         round(prob, 9) as prob, o_totalprice, coalesce(sum_price, 0)::double as sum_price
   from scored),
 scores as (
   select 'gbt' as ml_name, is_test, label, sum_price as score from candidates

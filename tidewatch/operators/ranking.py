@@ -86,6 +86,5 @@ def exact_split(df: DataFrame, key: str, test_share: float = 0.33, seed: int = 1
     """Mark exactly ceil(test_share · n) rows as test: the ones with the smallest key hashes."""
     hashed = df.withColumn("_hash", hash_fraction(F.col(key), seed, digits=13))
     ranked = rank_rows(hashed, [F.col("_hash"), F.col(key)], out="_place", strategy=strategy)
-    size = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    n_test = F.ceil(F.lit(test_share) * size.select("_n").scalar())
+    n_test = F.ceil(F.lit(test_share) * df.agg(F.count(F.lit(1)).alias("_n")).scalar())
     return ranked.withColumn(out, F.col("_place") <= n_test).drop("_hash", "_place")

@@ -32,7 +32,6 @@ def train_and_promote(spark: SparkSession, prepared: DataFrame, params: MonitorP
     spec = params.spec
     train, test = split_sets(prepared, spec, params.test_share, params.split_seed)
     train, test, features = prepare_sets(train, test, spec.target, keep=[spec.row_id])
-    train = train.persist()
     if search_options is None:
         candidates = fit_candidates(train, features, spec.target, spec.row_id, families,
                                     params.model_seed, settings)
@@ -41,7 +40,6 @@ def train_and_promote(spark: SparkSession, prepared: DataFrame, params: MonitorP
                             seed=params.model_seed, **search_options)
     path = f"{root}/candidate_metrics"
     evaluate(candidates, train, test, spec.target).write.mode("overwrite").parquet(path)
-    train.unpersist()
     metrics = spark.read.parquet(path)
     winner, row = pick_champion(candidates, metrics, params.max_decay_pct)
     performance = {k: v for k, v in (row or {}).items() if k != "ml_name" and v is not None}

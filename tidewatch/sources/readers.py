@@ -14,8 +14,8 @@ from tidewatch.operators.delivery import DELIVERY_ORDER
 # Parts of a stored reference, as the training phase writes them.
 REFERENCE_PARTS = ("raw", "pre", "scores", "replica")
 
-PERIOD_IN_NAME = r"p(\d+)_"
-MODEL_IN_NAME = r"p\d+_([^_./]+)"
+PERIOD_IN_NAME = r".*\bp(\d+)_"
+MODEL_IN_NAME = r".*\bp\d+_([^_./]+)"
 
 
 def strings(columns: Iterable[str]) -> T.StructType:
