@@ -44,6 +44,8 @@ def test_one_hot_null_and_unseen_values(spark):
     forced = C.one_hot(df, "cat", ["X", "gone"]).orderBy("id").collect()
     assert [(r["cat_X"], r["cat_gone"]) for r in forced] == [(True, False), (False, False), (False, False)]
     assert C.one_hot(df, "cat").columns == ["id", "cat_X", "cat_new"]
+    with pytest.raises(ValueError, match="more than 1"):
+        C.category_values(df, "cat", most=1)
 
 
 def test_normalise_and_align(spark):

@@ -25,7 +25,7 @@ def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     without = set(entry.queries()) - set(entry.oracle_sql())
     assert without == {"train_candidates", "hpo_search", "batch_inference", "model_registry", "training_phase",
-                       "monitoring_phase", "stage_run_records"}
+                       "monitoring_phase"}
 
 
 def test_entry_runs(spark):

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.params import FeatureSpec, MonitorParams
+from tidewatch.runtime import new_folder
+from tidewatch.sources.writers import write_table
 
 NUMERIC = ("o_totalprice", "c_acctbal", "n_lines", "sum_qty", "sum_price", "avg_discount", "avg_tax")
 
@@ -24,7 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+FIRST_YEAR = 1995
+
+
+def orders_of(spark: SparkSession, sf_dir: str, wanted: Sequence[int] | None = None) -> DataFrame:
+    """Orders, of some periods if wanted. The span of the periods is also stated on the date itself, so
+    the scan skips what lies outside."""
+    orders = table(spark, sf_dir, "orders")
+    if wanted is None:
+        return orders
+    first, after = (dt.date(FIRST_YEAR - 1 + p, 1, 1) for p in (min(wanted), max(wanted) + 1))
+    date = F.col("o_orderdate")
+    return orders.where((date >= F.lit(first)) & (date < F.lit(after))
+                        & (F.year(date) - (FIRST_YEAR - 1)).isin(*wanted))
+
+
+def base(spark: SparkSession, sf_dir: str, wanted: Sequence[int] | None = None) -> DataFrame:
     """One row per order: identity, period (year), post attributes, numeric features, a category."""
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).cast("double").alias("n_lines"),
@@ -32,9 +52,10 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.sum("l_extendedprice"), 2).alias("sum_price"),
         F.round(F.avg("l_discount"), 6).alias("avg_discount"),
         F.round(F.avg("l_tax"), 6).alias("avg_tax"))
+    # Orders and their lines are both large: a sort-merge join on the order key, spread over all tasks.
     joined = (
-        table(spark, sf_dir, "orders")
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        orders_of(spark, sf_dir, wanted)
+        .join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     )
     priority = F.col("o_orderpriority")
@@ -44,7 +65,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     year, month = F.year("o_orderdate"), F.month("o_orderdate")
     return joined.select(
         F.col("o_orderkey").alias("row_id"),
-        (year - 1994).alias("period"),
+        (year - (FIRST_YEAR - 1)).alias("period"),
         (year * 100 + month).cast("string").alias("codmes"),
         F.col("o_custkey").alias("key_value"),
         F.col("c_custkey").alias("codunicocli"),
@@ -55,11 +76,23 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
         *NUMERIC)
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`base` with a score that SQL can compute too."""
+def with_score(df: DataFrame) -> DataFrame:
+    """A score that SQL can compute too."""
     logit = (F.coalesce("c_acctbal", F.lit(0)) / 5000 - 1 + F.coalesce("sum_qty", F.lit(0)) / 200
              - F.coalesce("avg_discount", F.lit(0)) * 10)
-    return base(spark, sf_dir).withColumn("prob", 1 / (1 + F.exp(-logit)))
+    return df.withColumn("prob", 1 / (1 + F.exp(-logit)))
+
+
+def scored(spark: SparkSession, sf_dir: str, wanted: Sequence[int] | None = None) -> DataFrame:
+    return with_score(base(spark, sf_dir, wanted))
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` as a table with one folder per period, as the pipeline does between its steps, and
+    read it back: scans of some periods read only their folders."""
+    spark = df.sparkSession
+    path = write_table(df, new_folder(spark, label))
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def periods(df: DataFrame, wanted) -> DataFrame:

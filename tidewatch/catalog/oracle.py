@@ -331,6 +331,10 @@ def sql() -> dict[str, str]:
         "group_drift": f"{GROUP} select period, grupo_ejec, columna, psi, n_actual from group_report",
         "reference_self_check": self_check(),
         "stage_summary": all_stages(),
+        "stage_run_records": f"""{RAW}
+            select 'raw' as stage, period::int as period, true as timed, 0.0::double as ram_delta_mb,
+                   round(avg(round_even(psi, 5)), 6) as psi_medio from d_psi where {ENOUGH} group by period
+            union all select 'score', p::int, true, 0.0::double, null from (select unnest([5, 6]) as p)""",
         "rolling_psi": f"""with {RUNS}, {rolled('history')}
             select stage, period, round(rolling_psi, 6) as rolling_psi from rolled""",
         "run_summary": f"""with {RUNS} select stage, period, {BAND.format('psi_medio')} as status, psi_medio

@@ -167,32 +167,44 @@ def align_columns(spark, sf):
 
 # Drift
 
+WATCHED = (*fx.REFERENCE_PERIODS, *fx.MONITORED_PERIODS)
+FIRST_AND_MONITORED = (1, *fx.MONITORED_PERIODS)
+
+
+def _base(spark, sf, wanted: Sequence[int] | None = WATCHED):
+    """The stand-in table, stored once: reference and monitored periods are read from it several times."""
+    return fx.stored(fx.base(spark, sf, wanted), "base")
+
+
+def _features(base: DataFrame) -> DataFrame:
+    return fx.stored(C.project_features(C.clean_features(base, SPEC), SPEC), "features")
+
+
 def quantile_edges(spark, sf):
-    _, reference = halves(fx.base(spark, sf))
+    reference = fx.base(spark, sf, fx.REFERENCE_PERIODS)
     return rounded(exact_cuts(reference, fx.NUMERIC, Q), "edge")
 
 
 def drift_bins(spark, sf):
-    bins = D.drift_bins(*halves(fx.base(spark, sf)), fx.NUMERIC, Q)
+    bins = D.drift_bins(*halves(_base(spark, sf)), fx.NUMERIC, Q)
     return rounded(bins, "lo", "hi", "ref_share", "act_share", "psi_term", "kl_term")
 
 
 def psi_report_raw(spark, sf):
-    report = D.psi_report(*halves(fx.base(spark, sf)), Q, fx.NUMERIC)
+    report = D.psi_report(*halves(_base(spark, sf)), Q, fx.NUMERIC)
     return report.withColumn("status", fn.status_band(F.col("psi")))
 
 
 def psi_report_q1000(spark, sf):
-    return D.psi_report(*halves(fx.base(spark, sf)), 1000, fx.NUMERIC)
+    return D.psi_report(*halves(_base(spark, sf)), 1000, fx.NUMERIC)
 
 
 def psi_report_pre(spark, sf):
-    return D.psi_report(*halves(_prepared(spark, sf)), Q, SPEC.features)
+    return D.psi_report(*halves(_features(fx.base(spark, sf, WATCHED))), Q, SPEC.features)
 
 
 def kl_report(spark, sf):
-    columns = ["period", *fx.NUMERIC]
-    monitored, reference = halves(fx.base(spark, sf).select(*columns))
+    monitored, reference = halves(_base(spark, sf).select("period", *fx.NUMERIC))
     return rounded(D.data_drift("KL", monitored, reference, Q), "metric_value")
 
 
@@ -202,25 +214,28 @@ def psi_q1000_ties(spark, sf):
     return D.psi_report(*halves(lines), 1000)
 
 
-def _shifted(spark, sf):
+def _shifted(scored: DataFrame) -> DataFrame:
+    """A score that moves in period 6."""
     score = F.when(F.col("period") == 6, F.col("prob") * 0.8).otherwise(F.col("prob"))
-    return fx.scored(spark, sf).select("period", score.alias("predictions"))
+    return scored.select("period", score.alias("predictions"))
 
 
 def score_drift(spark, sf):
-    shifted = _shifted(spark, sf)
+    shifted = fx.stored(_shifted(fx.scored(spark, sf, FIRST_AND_MONITORED)), "shifted")
     return D.score_drift(fx.periods(shifted, fx.MONITORED_PERIODS), fx.periods(shifted, [1]), "predictions", Q)
 
 
-def _replica(spark, sf, periods: Sequence[int] | None = None):
-    scored = fx.scored(spark, sf)
-    if periods:
-        scored = fx.periods(scored, periods)
-    return postprocess(scored, SPEC, RUN_DATE)
+def _replica(base: DataFrame, periods: Sequence[int] | None = None) -> DataFrame:
+    scored = fx.with_score(base)
+    return postprocess(fx.periods(scored, periods) if periods else scored, SPEC, RUN_DATE)
+
+
+def _stored_replica(base: DataFrame, periods: Sequence[int]) -> DataFrame:
+    return fx.stored(_replica(base, periods).select("period", "grupo_ejec", "score", "puntuacion"), "replica")
 
 
 def _group_drift(spark, sf):
-    replica = _replica(spark, sf, (1, *fx.MONITORED_PERIODS))
+    replica = _stored_replica(_base(spark, sf, FIRST_AND_MONITORED), FIRST_AND_MONITORED)
     return D.group_drift(fx.periods(replica, fx.MONITORED_PERIODS), fx.periods(replica, [1]), "grupo_ejec",
                          ["score", "puntuacion"], Q)
 
@@ -229,8 +244,8 @@ def group_drift(spark, sf):
     return _group_drift(spark, sf)
 
 
-def _group_means(spark, sf, monitored: Sequence[int]):
-    replica = _replica(spark, sf, sorted({1, *monitored}))
+def _group_means(base: DataFrame, monitored: Sequence[int]) -> DataFrame:
+    replica = _stored_replica(base, sorted({1, *monitored}))
     return D.mean_psi(D.group_drift(fx.periods(replica, monitored), fx.periods(replica, [1]), "grupo_ejec",
                                     ["score", "puntuacion"], Q))
 
@@ -238,26 +253,29 @@ def _group_means(spark, sf, monitored: Sequence[int]):
 def reference_self_check(spark, sf):
     """In-sample drift: raw against the first period, prepared against all, scores and groups of the first
     period against themselves."""
-    base, prepared = fx.base(spark, sf), _prepared(spark, sf)
+    base = _base(spark, sf)
+    prepared = _features(base)
     later = (2, 3, 4)
-    score = fx.periods(fx.scored(spark, sf).select("period", F.col("prob").alias("predictions")), [1])
+    score = fx.periods(fx.with_score(base).select("period", F.col("prob").alias("predictions")), [1])
     summary = R.stage_summary({
         "raw": D.mean_psi(D.psi_report(fx.periods(base, later), fx.periods(base, [1]), Q, fx.NUMERIC)),
         "pre": D.mean_psi(D.psi_report(fx.periods(prepared, later), fx.periods(prepared, fx.REFERENCE_PERIODS), Q,
                                        SPEC.features)),
         "score": D.mean_psi(D.score_drift(score, score, "predictions", Q)),
-        "grupo": _group_means(spark, sf, [1]),
+        "grupo": _group_means(base, [1]),
     })
     return rounded(summary, "psi_medio")
 
 
 def stage_summary(spark, sf):
     """All four stages of the monitored periods, failures kept apart, with status."""
-    base, shifted, monitored = fx.base(spark, sf), _shifted(spark, sf), fx.MONITORED_PERIODS
-    replica = _replica(spark, sf, (1, *monitored))
+    base, monitored = _base(spark, sf), fx.MONITORED_PERIODS
+    shifted = _shifted(fx.with_score(base))
+    prepared = _features(base)
+    replica = _stored_replica(base, (1, *monitored))
     reports = {
         "raw": lambda: D.psi_report(*halves(base), Q, fx.NUMERIC),
-        "pre": lambda: D.psi_report(*halves(_prepared(spark, sf)), Q, SPEC.features),
+        "pre": lambda: D.psi_report(*halves(prepared), Q, SPEC.features),
         "score": lambda: D.score_drift(fx.periods(shifted, monitored), fx.periods(shifted, [1]), "predictions", Q),
         "grupo": lambda: D.group_drift(fx.periods(replica, monitored), fx.periods(replica, [1]), "grupo_ejec",
                                        ["score", "puntuacion"], Q),
@@ -276,11 +294,12 @@ def value_score(spark, sf):
 
 
 def _valued(spark, sf):
-    return with_value_score(fx.scored(spark, sf), SPEC)
+    return with_value_score(fx.scored(spark, sf), SPEC).select("row_id", "period", "key_value", "puntuacion")
 
 
 def exec_groups(spark, sf):
-    return execution_groups(_valued(spark, sf), "puntuacion").select("row_id", "period", "grupo_ejec")
+    valued = fx.stored(_valued(spark, sf), "valued")
+    return execution_groups(valued, "puntuacion").select("row_id", "period", "grupo_ejec")
 
 
 def _best_first():
@@ -288,8 +307,7 @@ def _best_first():
 
 
 def dedup_best(spark, sf):
-    best = best_per_key(_valued(spark, sf).select("period", "key_value", "row_id", "puntuacion"),
-                        ["period", "key_value"], _best_first())
+    best = best_per_key(_valued(spark, sf), ["period", "key_value"], _best_first())
     return best.select("period", "key_value", "row_id")
 
 
@@ -299,11 +317,11 @@ def order_rank(spark, sf):
 
 
 def delivery_file(spark, sf):
-    return rounded(_replica(spark, sf), "puntuacion", "score")
+    return rounded(_replica(_base(spark, sf, None)), "puntuacion", "score")
 
 
 def delivery_roundtrip(spark, sf):
-    path = writers.write_delivery(_replica(spark, sf), new_folder(spark, "delivery"))
+    path = writers.write_delivery(_replica(_base(spark, sf, None)), new_folder(spark, "delivery"))
     df = readers.read_delivery(spark, path)
     return rounded(df.select("period", "codmes", "coddoc", "grupo_ejec", "score", "orden", "variable1", "variable2"),
                    "score")
@@ -326,12 +344,13 @@ def run_summary(spark, sf):
 
 
 def psi_matrix_topn(spark, sf):
-    report = D.psi_report(*halves(fx.base(spark, sf)), Q, fx.NUMERIC)
+    report = D.psi_report(*halves(_base(spark, sf)), Q, fx.NUMERIC)
     return R.psi_matrix(report, fx.MONITORED_PERIODS, 5)
 
 
 def score_density(spark, sf):
-    return rounded(R.score_density(fx.scored(spark, sf), "prob"), "lo", "hi", "density")
+    scored = fx.stored(fx.scored(spark, sf).select("period", "prob"), "scored")
+    return rounded(R.score_density(scored, "prob"), "lo", "hi", "density")
 
 
 def stage_period_grid(spark, sf):
@@ -460,7 +479,7 @@ def model_registry(spark, sf):
 
 
 def _phase(spark, sf) -> tuple[DataFrame, str]:
-    raw = materialize(raw_with_target(spark, sf), "raw")
+    raw = fx.stored(raw_with_target(spark, sf), "raw")
     root = new_folder(spark, "engine")
     return raw, root
 
@@ -478,12 +497,14 @@ def monitoring_phase(spark, sf):
 
 def stage_run_records(spark, sf):
     """Operational rows of two stages, one of which fails and is kept with its error."""
-    base, monitored = fx.base(spark, sf), fx.MONITORED_PERIODS
+    base, monitored = _base(spark, sf), fx.MONITORED_PERIODS
     results = [
         monitor_stage(spark, "raw", lambda: D.psi_report(*halves(base), Q, fx.NUMERIC), monitored),
         monitor_stage(spark, "score", lambda: D.score_drift(*halves(base), "predictions", Q), monitored),
     ]
-    return R.ops_timeline(stage_runs(spark, results, monitored), summarise(results))
+    timeline = R.ops_timeline(stage_runs(spark, results, monitored), summarise(results))
+    timed = (F.col("duration_s") > 0).alias("timed")
+    return rounded(timeline.select("stage", "period", timed, "ram_delta_mb", "psi_medio"), "psi_medio")
 
 
 def queries() -> dict[str, Query]:

@@ -38,10 +38,14 @@ def collapse_categories(df: DataFrame, column: str, allowed: Sequence[str], othe
     return df.withColumn(column, fn.collapse_category(F.col(column), allowed, other, missing))
 
 
-def category_values(df: DataFrame, column: str) -> list[str]:
-    """Distinct values of a category, sorted. Meant for columns with few values: they become columns."""
-    rows = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct()
-    return sorted(r["v"] for r in rows.collect())
+def category_values(df: DataFrame, column: str, most: int = 1000) -> list[str]:
+    """Distinct values of a category, sorted. They become columns: more than `most` is an error, found
+    without bringing them all to the driver."""
+    values = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct()
+    rows = values.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} values: collapse it before one-hot encoding")
+    return sorted(r["v"] for r in rows)
 
 
 def one_hot(df: DataFrame, column: str, categories: Sequence[str] | None = None) -> DataFrame:

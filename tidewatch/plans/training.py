@@ -20,7 +20,6 @@ from tidewatch.plans.monitoring import (
     build_profile, monitor_stage, raw_columns, stage_reports, stage_runs, summarise,
 )
 from tidewatch.plans.prepare import prepare, split_sets, typed_raw
-from tidewatch.sources.readers import load_reference
 from tidewatch.sources.writers import write_delivery, write_table
 
 

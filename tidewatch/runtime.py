@@ -67,17 +67,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _leaf_bytes(plan) -> int:
+    leaves = plan.collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes the sources of `df` hold after partition pruning, from the optimizer's statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    return sum(sizes)
+    return _leaf_bytes(df._jdf.queryExecution().optimizedPlan())
+
+
+def within(df: DataFrame, limit: int) -> bool:
+    """Whether the sources of `df` hold at most `limit` bytes. Whole tables under the limit settle it
+    without running the optimizer; otherwise the partitions that remain after pruning decide."""
+    return _leaf_bytes(df._jdf.queryExecution().analyzed()) <= limit or input_bytes(df) <= limit
 
 
 def pick_strategy(df: DataFrame, strategy: str = "auto") -> str:
     """"one_task" (one ordered pass per group) for inputs of proven small size, else "ranges"."""
     if strategy == "auto":
-        return "one_task" if input_bytes(df) <= ONE_TASK_BYTES else "ranges"
+        return "one_task" if within(df, ONE_TASK_BYTES) else "ranges"
     if strategy not in ("one_task", "ranges"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return strategy
@@ -86,4 +95,4 @@ def pick_strategy(df: DataFrame, strategy: str = "auto") -> str:
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Hint a broadcast only when what `df` is made from is below the size bound; beyond it the join
     stays with AQE, which shuffles and splits skewed partitions."""
-    return F.broadcast(df) if input_bytes(df) <= BROADCAST_BYTES else df
+    return F.broadcast(df) if within(df, BROADCAST_BYTES) else df
