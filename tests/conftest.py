@@ -14,6 +14,7 @@ SF = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = make_session(
         "tests", "local[4]", 4, spark__driver__memory="4g", spark__ui__showConsoleProgress="false",
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session

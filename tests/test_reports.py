@@ -35,6 +35,13 @@ def test_density_equals_numpy(spark):
         np.testing.assert_allclose(part.lo, edges[:-1])
 
 
+def test_density_of_a_large_input_keeps_its_result(spark, monkeypatch):
+    df = spark.createDataFrame([(p, float(i % 17)) for p in (1, 2) for i in range(100)], "period int, s double")
+    small = sorted(R.score_density(df, "s", 10).collect())
+    monkeypatch.setattr("tidewatch.runtime.ONE_TASK_BYTES", -1)
+    assert sorted(R.score_density(df, "s", 10).collect()) == small
+
+
 def test_grid_light_summary_history(spark):
     s = summary(spark)
     grid = {(r["stage"], r["period"]): (r["psi_medio"], r["rolling_psi"]) for r in R.stage_grid(s, [11, 12]).collect()}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import as_number, status_band, status_text
 from tidewatch.operators.drift import rolling_psi
-from tidewatch.runtime import broadcast_if_small
+from tidewatch.runtime import broadcast_if_small, settle
 
 # Stages in report order, and the fields of an operational row.
 STAGES = ("raw", "pre", "score", "grupo")
@@ -50,9 +50,10 @@ def score_density(df: DataFrame, score: str, bins: int = 40, keys: Sequence[str]
         F.min("x").alias("min_x"), F.max("x").alias("max_x"), F.count("x").alias("total"))
     # One value only: a unit-wide range around it.
     flat = F.col("min_x") == F.col("max_x")
-    spans = spans.select(*keys, "total", F.when(flat, F.col("min_x") - 0.5).otherwise(F.col("min_x")).alias("from_x"),
-                         F.when(flat, F.col("max_x") + 0.5).otherwise(F.col("max_x")).alias("to_x"))
-    spans = spans.withColumn("width", (F.col("to_x") - F.col("from_x")) / bins)
+    spans = spans.select(
+        *keys, "total", F.when(flat, F.col("min_x") - 0.5).otherwise(F.col("min_x")).alias("from_x"),
+        F.when(flat, F.col("max_x") + 0.5).otherwise(F.col("max_x")).alias("to_x"))
+    spans = settle(spans.withColumn("width", (F.col("to_x") - F.col("from_x")) / bins), "score-spans")
     place = F.floor((F.col("x") - F.col("from_x")) / (F.col("to_x") - F.col("from_x")) * bins)
     counts = (
         scored.join(broadcast_if_small(spans), list(keys))

@@ -92,6 +92,12 @@ def pick_strategy(df: DataFrame, strategy: str = "auto") -> str:
     return strategy
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """A small result of a large input, written down so that its true size is known. Results of small
+    inputs stay lazy."""
+    return df if within(df, ONE_TASK_BYTES) else materialize(df, label)
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Hint a broadcast only when what `df` is made from is below the size bound; beyond it the join
     stays with AQE, which shuffles and splits skewed partitions."""
