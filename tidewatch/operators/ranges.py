@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.runtime import MIB, UNKNOWN_BYTES, broadcast_if_small, input_bytes, materialize
 
-SAMPLE_BYTES = 64 * MIB
+SAMPLE_BYTES = 32 * MIB
 SAMPLE_ROWS = 300_000
 SAMPLE_SEED = 17
 
