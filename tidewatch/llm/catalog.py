@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, token_counts, trie_bpe
+from tidewatch.llm import html_text, line_crf, mixing, quality_rules, repair, token_counts, topk, trie_bpe
 from tidewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.limit_table(token_counts.length_histogram(docs))
@@ -28,9 +31,26 @@ def op4_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.encode_documents(docs).drop("text")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.write_and_read(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_token_counts, op3_mixing, op4_trie_bpe)}
+    found = (op1_html_extraction, op2_token_counts, op3_mixing, op4_trie_bpe, op6_quality_rules, op7_topk, op9_line_crf, op10_repair)
+    return {f.__name__: f for f in found}
 
 
 def sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.SQL}
+    return {"op3_mixing": mixing.SQL, "op6_quality_rules": quality_rules.SQL, "op7_topk": topk.SQL}
