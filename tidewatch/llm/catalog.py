@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import html_text, line_crf, mixing, quality_rules, repair, token_counts, topk, trie_bpe
+from tidewatch.llm import hmm, html_text, line_crf, mixing, quality_rules, repair, token_counts, topk, trie_bpe
 from tidewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op4_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.encode_documents(docs).drop("text")
 
 
+def op5_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,8 @@ def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_html_extraction, op2_token_counts, op3_mixing, op4_trie_bpe, op6_quality_rules, op7_topk, op9_line_crf, op10_repair)
+    found = (op1_html_extraction, op2_token_counts, op3_mixing, op4_trie_bpe, op5_hidden_markov, op6_quality_rules,
+             op7_topk, op9_line_crf, op10_repair)
     return {f.__name__: f for f in found}
 
 
