@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import hmm, html_text, line_crf, mixing, quality_rules, repair, token_counts, topk, trie_bpe
+from tidewatch.llm import (
+    hmm, html_text, jaccard_join, line_crf, mixing, quality_rules, repair, token_counts, topk, trie_bpe,
+)
 from tidewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +45,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,7 +59,7 @@ def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (op1_html_extraction, op2_token_counts, op3_mixing, op4_trie_bpe, op5_hidden_markov, op6_quality_rules,
-             op7_topk, op9_line_crf, op10_repair)
+             op7_topk, op8_jaccard_join, op9_line_crf, op10_repair)
     return {f.__name__: f for f in found}
 
 
