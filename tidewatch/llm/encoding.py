@@ -9,27 +9,29 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Pieces kept per Python worker; when full, only those of the texts at hand stay.
-MOST_PIECES = 500_000
+MOST_PIECES = 800_000
 
 #: Pieces longer than this many characters are encoded each time and not kept.
 LONG_PIECE = 64
 
-_TWO_SPACES = re.compile(r"\s\s")
-
 
 def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
 class Encoder:
-    """Encodes texts to arrays of ids; keeps the ids of the pieces it has met, up to a bound."""
+    """Encodes texts to arrays of ids; keeps the ids of the pieces it has met, up to a bound.
+
+    A kept piece stands without the space before it. Pieces that begin or end with white space are kept as None: no
+    text that holds one may be cut.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
@@ -38,37 +40,47 @@ class Encoder:
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes | None] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers, by the library alone."""
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def cut(self, text: str) -> list[str] | None:
-        """The text cut before single spaces; None if it must stay whole."""
-        if _TWO_SPACES.search(text) or text[:1].isspace() or text[-1:].isspace():
-            return None
-        if self.special and self.special.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + piece for piece in rest]]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, pieces: list[str]) -> None:
+        kept = self.kept
+        safe = []
+        for piece in pieces:
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                kept[piece] = None
+            else:
+                safe.append(piece)
+        kept.update(zip(safe, self.whole([" " + p for p in safe])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null and empty texts have none."""
-        cuts = [self.cut(t) if t else [] for t in texts]
-        here = {piece for cut in cuts if cut for piece in cut}
-        if len(self.kept) > MOST_PIECES:
-            self.kept = {p: self.kept[p] for p in here if p in self.kept}
+        special = self.special
+        cuts = [t.split(" ") if t and not (special and special.search(t)) else [] for t in texts]
+        here = set().union(*[cut[1:] for cut in cuts])
         new = here.difference(self.kept)
-        kept = self.kept
-        new = list(new)
-        kept.update(zip(new, self.whole(new) if new else []))
-        wholes = [t for t, cut in zip(texts, cuts) if cut is None]
-        wholes = iter(self.whole(wholes) if wholes else [])
-        out = [next(wholes) if cut is None else b"".join([kept[p] for p in cut]) for cut in cuts]
+        if len(self.kept) > MOST_PIECES:
+            self.kept = {p: self.kept[p] for p in here.difference(new)}
+        self.learn(list(new))
+        find = self.kept.__getitem__
+        out: list[bytes | None] = []
+        for text, cut in zip(texts, cuts):
+            if not text:
+                out.append(b"")
+            elif not cut or not cut[0] or cut[0][0].isspace() or cut[0][-1].isspace():
+                out.append(None)
+            else:
+                found = list(map(find, cut[1:]))
+                out.append(None if None in found else b"".join(found))
+        # First pieces, and texts that must stay whole, go to the library as they are.
+        alone = self.whole([t if o is None else cut[0] for t, o, cut in zip(texts, out, cuts) if t])
+        rest = iter(alone)
+        out = [b"" if not t else next(rest) + (o or b"") for t, o in zip(texts, out)]
         for piece in [p for p in new if len(p) > LONG_PIECE]:
-            del kept[piece]
+            del self.kept[piece]
         return out
 
 
