@@ -22,6 +22,11 @@ MOST_PIECES = 800_000
 LONG_PIECE = 64
 
 
+#: Pieces of letters and marks, once over a line feed: the pattern cuts these at the ends of the groups.
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!-&(-/:-@\[-`{-~]*"
+_PLAIN = re.compile(f"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
+
+
 def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
@@ -41,20 +46,39 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.kept: dict[str, bytes | None] = {}
+        self.parts: dict[str, bytes] = {}
+        shown = [" ", "\n", *[chr(c) for c in range(0xC0, 0x100)]]
+        self.bytes_of = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in shown}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers, by the library alone."""
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def part(self, text: str) -> bytes:
+        """The ids of what the pattern leaves in one part; the library's merges alone."""
+        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(text.translate(self.bytes_of))]).tobytes()
+        self.parts[text] = ids
+        return ids
+
     def learn(self, pieces: list[str]) -> None:
-        kept = self.kept
-        safe = []
+        if len(self.parts) > MOST_PIECES:
+            self.parts = {}
+        kept, parts, rest = self.kept, self.parts, []
         for piece in pieces:
-            if not piece or piece[0].isspace() or piece[-1].isspace():
+            plain = _PLAIN.fullmatch(piece)
+            if plain:
+                first, *others = plain.groups()
+                first = " " + first
+                ids = parts.get(first) or self.part(first)
+                for text in others:
+                    if text:
+                        ids += parts.get(text) or self.part(text)
+                kept[piece] = ids
+            elif not piece or piece[0].isspace() or piece[-1].isspace():
                 kept[piece] = None
             else:
-                safe.append(piece)
-        kept.update(zip(safe, self.whole([" " + p for p in safe])))
+                rest.append(piece)
+        kept.update(zip(rest, self.whole([" " + p for p in rest])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null and empty texts have none."""
