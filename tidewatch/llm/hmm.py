@@ -14,7 +14,7 @@ table grows with the corpus and is only ever joined, while the model of states s
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,17 +30,17 @@ FOLDS = 5
 HELD_OUT = 1
 
 #: Latent states, words with a class of their own, classes of the other words, rounds of Baum-Welch.
-STATES = 6
+STATES = 4
 OWN_CLASSES = 2048
 ENDING_CLASSES = 2048
-ROUNDS = 3
+ROUNDS = 2
 
 #: Documents (at most about so many) that the first model is drawn from; all rounds cover all training documents.
 SEED_DOCUMENTS = 600
 
 #: Bytes of text in a block, and tokens handled at a time within one.
-BLOCK_BYTES = 24 << 20
-STRIDE = 200_000
+BLOCK_BYTES = 8 << 20
+STRIDE = 50_000
 
 #: Tokens of a segment: within segments all steps are taken side by side.
 SEGMENT = 64
@@ -68,22 +68,30 @@ def lay_out(docs: DataFrame) -> DataFrame:
     names = _names(_BLOCK)
 
     def block_of(block: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        tokens = [lower_ascii(text).split() for _, text, _ in rows]
-        every, train = Counter(), Counter()
-        for (_, _, held), found in zip(rows, tokens):
-            (every if held else train).update(found)
-        number = {w: i for i, (w, _) in enumerate((every + train).most_common())}
-        sizes = [len(t) for t in tokens]
-        ids = np.fromiter((number[w] for t in tokens for w in t), np.int64, sum(sizes))
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        parts, sizes = [], []
+        for _, text, _ in rows:
+            found = lower_ascii(text).split()
+            sizes.append(len(found))
+            parts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+        ids = np.concatenate(parts)
+        train = np.bincount(ids[np.repeat([not held for _, _, held in rows], sizes)], minlength=len(number))
+        order = np.argsort(-np.bincount(ids, minlength=len(number)), kind="stable")  # frequent words get small numbers
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        ids = rank[ids] if len(ids) else ids
+        words = list(number)
+        words = [words[i] for i in order.tolist()]
+        train = train[order]
         row = [[block], [[r[0] for r in rows]], [[r[2] for r in rows]], [np.cumsum(sizes).tolist()],
                [(ids & 0xFFFF).astype("<u2").tobytes()], [(ids >> 16).astype("u1").tobytes()], [None], [None], [None]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, _BLOCK_TYPES)], names)
-        words = list(number)
         for first in range(0, len(words), 100_000):
             some = words[first:first + 100_000]
             n = len(some)
             held = [[block] * n, *[[None] * n] * 5, list(range(first, first + n)), [w.decode() for w in some],
-                    [train.get(w, 0) for w in some]]
+                    train[first:first + n]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, _BLOCK_TYPES)], names)
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
