@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ SHARE = (4, 5)
 COMMON = 4
 
 #: Bins of the sketch, and how it is cut for adding up.
-BINS = 1 << 20
-CHUNK = 1 << 12
+BINS = 1 << 22
+CHUNK = 1 << 14
 
 #: Candidates of a query searched at a time.
 BLOCK = 256
@@ -46,6 +47,7 @@ BLOCK = 256
 BROADCAST_IDS = 32 * MIB
 
 CHUNK_BYTES = 4 << 20
+_SHIFT = np.uint64(64 - BINS.bit_length() + 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,25 +62,28 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The distinct shingles of each text as ascending 64-bit hashes. With fewer words than a shingle has, the
     sequence is the one element; without words there is none."""
     tokens = [lower_ascii(t).split() for t in texts]
-    known = {w: 0 for found in tokens for w in found}
+    known = dict.fromkeys(chain.from_iterable(tokens))
     for word in known:
         known[word] = xxhash.xxh64_intdigest(word)
-    out = []
-    for found in tokens:
-        n = len(found)
-        if not n:
-            out.append(np.zeros(0, np.uint64))
-            continue
-        codes = np.fromiter(map(known.__getitem__, found), np.uint64, n)
-        if n < SHINGLE:
-            h = np.full(1, n, np.uint64)
-            for code in codes:
-                h = _mix(h * _MULTIPLIER + code)
+    sizes = [len(found) for found in tokens]
+    codes = np.fromiter(map(known.__getitem__, chain.from_iterable(tokens)), np.uint64, sum(sizes))
+    h = np.full(len(codes), SHINGLE, np.uint64)
+    for i in range(SHINGLE):  # all texts at once; shingles across two texts are not used
+        h[:len(h) - i] = _mix(h[:len(h) - i] * _MULTIPLIER + codes[i:])
+    out, at = [], 0
+    for n in sizes:
+        if n >= SHINGLE:
+            own = np.sort(h[at:at + n - SHINGLE + 1])
+            fresh = own[1:] != own[:-1]
+            out.append(own if fresh.all() else own[np.concatenate([[True], fresh])])
+        elif n:
+            short = np.full(1, n, np.uint64)
+            for code in codes[at:at + n]:
+                short = _mix(short * _MULTIPLIER + code)
+            out.append(short)
         else:
-            h = np.full(n - SHINGLE + 1, SHINGLE, np.uint64)
-            for i in range(SHINGLE):
-                h = _mix(h * _MULTIPLIER + codes[i:n - SHINGLE + 1 + i])
-        out.append(np.unique(h))
+            out.append(np.zeros(0, np.uint64))
+        at += n
     return out
 
 
@@ -109,16 +114,17 @@ def read_sets(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "fp", "n", "chunk", "counts"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(BINS, np.int64)
+        sketch = np.zeros(BINS, np.int32)
         for part in chunks_of(batches, "text", CHUNK_BYTES):
             sets = shingle_sets(part.column("text").to_pylist())
-            sketch += np.bincount((np.concatenate(sets) >> np.uint64(44)).astype(np.int64), minlength=BINS)
+            bins, times = np.unique((np.concatenate(sets) >> _SHIFT).astype(np.int64), return_counts=True)
+            sketch[bins] += times.astype(np.int32)
             n = len(sets)
             columns = [part.column("doc_id"), [fingerprint(s) for s in sets], [len(s) for s in sets], [None] * n, [None] * n]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)], names)
         cuts = sketch.reshape(-1, CHUNK)
         there = np.flatnonzero(cuts.sum(axis=1)).tolist()
-        columns = [[None] * len(there)] * 3 + [there, [cuts[i].astype("<i8").tobytes() for i in there]]
+        columns = [[None] * len(there)] * 3 + [there, [np.minimum(cuts[i], 0xFFFF).astype("<u2").tobytes() for i in there]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     return docs.mapInArrow(read, _NODE)
@@ -131,7 +137,7 @@ def order_levels(read: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts.as_py(), "<i8")
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts.as_py(), "<u2").astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
                                          ["chunk", "counts"])
 
@@ -166,7 +172,7 @@ def list_entries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 met.add(fp)
                 first = first_shingles(n)
                 if first < n:
-                    of = level[(s >> np.uint64(44)).astype(np.int64)]
+                    of = level[(s >> _SHIFT).astype(np.int64)]
                     s = s[np.argsort(of, kind="stable")[:first]]  # s is ascending: ties go by hash
                 shingles.append(s)
                 fps.append(fp)
@@ -181,13 +187,10 @@ def list_entries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
 def shared_lists(entries: DataFrame) -> DataFrame:
     """(s, fp, n, shared): the entries of lists with two nodes at least; `shared` is how many such lists a node is in."""
-    often = entries.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("s")
-    kept = materialize(entries.join(often, "s"), "join-lists").distinct()
-    kept = materialize(kept, "join-lists-2")
-    real = kept.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("s")
-    kept = materialize(kept.join(real, "s"), "join-lists-3")
+    often = entries.groupBy("s").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("s")
+    kept = materialize(entries.join(often, "s").distinct(), "join-lists")
     shared = kept.groupBy("fp").agg(F.count(F.lit(1)).alias("shared")).withColumnRenamed("fp", "of")
-    return materialize(kept.join(shared, F.col("fp") == F.col("of")).drop("of"), "join-lists-4")
+    return materialize(kept.join(shared, F.col("fp") == F.col("of")).drop("of"), "join-shared")
 
 
 # 3. T-occurrence search
@@ -334,31 +337,55 @@ def _sizes_fit(a: str, b: str) -> str:
 
 
 def star_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each list's star and the nodes of other components that share several lists with it. The star is
-    the node that shares most first; in later turns another one by hash."""
+    """(a, b): for each node b at most two stars a of its lists, of another component: the one that shares most
+    lists altogether and the one met most often. A list's star is the node that shares most; in later turns
+    another one by hash."""
     best = F.struct("shared", "fp", "n", "comp") if not turn else F.struct(F.xxhash64("fp", F.lit(turn)).alias("h"), "fp", "n", "comp")
     stars = lists.groupBy("s").agg(F.max(best).alias("star")).select(
-        "s", F.col("star.fp").alias("a"), F.col("star.n").alias("na"), F.col("star.comp").alias("ca"))
+        "s", F.col("star").getItem(best_name(turn)).alias("rank"), F.col("star.fp").alias("a"), F.col("star.n").alias("na"),
+        F.col("star.comp").alias("ca"))
     met = lists.join(stars, "s").where(f"fp <> a and comp <> ca and {_sizes_fit('n', 'na')}")
-    return met.groupBy("a", F.col("fp").alias("b")).agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= COMMON).select("a", "b")
+    met = met.groupBy(F.col("fp").alias("b"), "a").agg(F.count(F.lit(1)).alias("common"), F.max("rank").alias("rank"))
+    met = met.where(F.col("common") >= COMMON).groupBy("b").agg(
+        F.max(F.struct("rank", "a"))["a"].alias("top"), F.max(F.struct("common", "rank", "a"))["a"].alias("often"))
+    return met.select(F.explode(F.array_distinct(F.array("top", "often"))).alias("a"), "b")
+
+
+def best_name(turn: int) -> str:
+    return "h" if turn else "shared"
+
+
+def _needed(a: str, lo: str, hi: str) -> str:
+    """The lists a set of size `a` must share with one of a size from `lo` to `hi`: the overlap they need, less the most
+    that they can share beyond their first shingles, which is the larger of the two rests."""
+    top, bottom = SHARE
+    rest = [f"({top} * {n} + {bottom - 1}) div {bottom} - {COMMON}" for n in (a, hi)]
+    return f"greatest({COMMON}, ({top} * ({a} + {lo}) + {top + bottom - 1}) div {top + bottom} - greatest({', '.join(rest)}))"
 
 
 def rest_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b): all pairs of nodes of different components that share COMMON lists and fit in size.
+    """(a, b): all pairs of nodes of different components that share enough lists and fit in size.
 
-    First nodes are counted against whole components (the node's is the one with fewer entries in all lists), and
-    only where these share enough lists the component's nodes are looked at one by one.
+    First nodes are counted against whole components (the node's is the one with fewer entries in all lists). A
+    component of one node is a pair then; in others that share enough lists the nodes are looked at one by one.
     """
-    sizes = lists.groupBy("comp").agg(F.count(F.lit(1)).alias("entries"))
+    sizes = lists.groupBy("comp").agg(
+        F.count(F.lit(1)).alias("entries"), F.min("n").alias("lo"), F.max("n").alias("hi"),
+        F.when(F.min("fp") == F.max("fp"), F.min("fp")).alias("only"))
     met = lists.join(sizes, "comp")
-    comps = met.select("s", "comp", "entries").distinct().withColumnsRenamed({"s": "s_", "comp": "comp_", "entries": "entries_"})
+    comps = met.select("s", *[F.col(c).alias(f"{c}_") for c in ("s", "comp", "entries", "lo", "hi", "only")]).drop("s").distinct()
     smaller = (F.col("entries") < F.col("entries_")) | ((F.col("entries") == F.col("entries_")) & (F.col("comp") < F.col("comp_")))
-    near = met.join(comps, (F.col("s") == F.col("s_")) & smaller).groupBy("fp", "comp_").agg(F.count(F.lit(1)).alias("common"))
-    near = materialize(near.where(F.col("common") >= COMMON).select(F.col("fp").alias("a"), F.col("comp_").alias("towards")), "join-near")
-    asked = lists.join(near, F.col("fp") == F.col("a")).select("s", "a", F.col("n").alias("na"), "towards")
+    fits = F.expr(f"{SHARE[1]} * n >= {SHARE[0]} * lo_ and {SHARE[1]} * hi_ >= {SHARE[0]} * n")
+    near = met.join(comps, (F.col("s") == F.col("s_")) & smaller & fits).groupBy(
+        "fp", "n", "comp_", "lo_", "hi_", "only_").agg(F.count(F.lit(1)).alias("common"))
+    near = materialize(near.where(f"common >= {_needed('n', 'lo_', 'hi_')}").select(
+        F.col("fp").alias("a"), F.col("comp_").alias("towards"), "only_"), "join-near")
+    single = near.where("only_ is not null").select("a", F.col("only_").alias("b"))
+    asked = lists.join(near.where("only_ is null"), F.col("fp") == F.col("a")).select("s", "a", F.col("n").alias("na"), "towards")
     pairs = asked.join(lists.select("s", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "s")
     pairs = pairs.where(f"towards = cb and {_sizes_fit('na', 'nb')}")
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= COMMON).select("a", "b")
+    pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("common"))
+    return single.union(pairs.where(f"common >= {_needed('na', 'nb', 'nb')}").select("a", "b"))
 
 
 def find_links(docs: DataFrame, nodes: DataFrame, lists: DataFrame) -> DataFrame:
@@ -366,17 +393,14 @@ def find_links(docs: DataFrame, nodes: DataFrame, lists: DataFrame) -> DataFrame
     lists = lists.withColumn("comp", F.col("fp"))
     links, left, turn = None, lists, 0
     while True:
-        found = search(docs, nodes, star_pairs(left, turn))
+        tried = materialize(star_pairs(left, turn), "join-stars")
+        found = search(docs, nodes, tried)
         links = found if links is None else links.unionByName(found)
         left = _labelled(lists.drop("comp"), links)
-        # Work that the final step would do: components met in each list, pair by pair.
-        held = left.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.approx_count_distinct("comp").alias("c")).agg(
-            F.sum("k"), F.sum(F.col("c") * F.col("k"))).first()
         turn += 1
-        if not held[0] or held[1] <= 16 * held[0] or not found.limit(1).count():
+        # Stars pay while many of them link; what they leave is searched pair by pair.
+        if 10 * found.count() <= tried.count():
             break
-    if not held[0]:
-        return links
     return links.unionByName(search(docs, nodes, rest_pairs(left)))
 
 
