@@ -373,13 +373,16 @@ def rest_pairs(lists: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("entries"), F.min("n").alias("lo"), F.max("n").alias("hi"),
         F.when(F.min("fp") == F.max("fp"), F.min("fp")).alias("only"))
     met = lists.join(sizes, "comp")
-    comps = met.select("s", *[F.col(c).alias(f"{c}_") for c in ("s", "comp", "entries", "lo", "hi", "only")]).drop("s").distinct()
+    comps = met.select(*[F.col(c).alias(f"{c}_") for c in ("s", "comp", "entries", "lo", "hi")]).distinct()
     smaller = (F.col("entries") < F.col("entries_")) | ((F.col("entries") == F.col("entries_")) & (F.col("comp") < F.col("comp_")))
     fits = F.expr(f"{SHARE[1]} * n >= {SHARE[0]} * lo_ and {SHARE[1]} * hi_ >= {SHARE[0]} * n")
-    near = met.join(comps, (F.col("s") == F.col("s_")) & smaller & fits).groupBy(
-        "fp", "n", "comp_", "lo_", "hi_", "only_").agg(F.count(F.lit(1)).alias("common"))
-    near = materialize(near.where(f"common >= {_needed('n', 'lo_', 'hi_')}").select(
-        F.col("fp").alias("a"), F.col("comp_").alias("towards"), "only_"), "join-near")
+    near = met.join(comps, (F.col("s") == F.col("s_")) & smaller & fits).groupBy("fp", "comp_").agg(
+        F.count(F.lit(1)).alias("common")).where(F.col("common") >= COMMON)
+    own = lists.select(F.col("fp").alias("a"), "n").distinct()
+    near = near.join(own, F.col("fp") == F.col("a")).join(
+        sizes.select("comp", "lo", "hi", F.col("only").alias("only_")), F.col("comp_") == F.col("comp"))
+    near = materialize(near.where(f"common >= {_needed('n', 'lo', 'hi')}").select(
+        "a", F.col("comp_").alias("towards"), "only_"), "join-near")
     single = near.where("only_ is not null").select("a", F.col("only_").alias("b"))
     asked = lists.join(near.where("only_ is null"), F.col("fp") == F.col("a")).select("s", "a", F.col("n").alias("na"), "towards")
     pairs = asked.join(lists.select("s", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "s")
