@@ -29,10 +29,10 @@ from tokenizers import Tokenizer
 from tidewatch.llm.common import chunks_of, free_name
 
 #: Words kept per Python worker; when full, only those of the slice at hand stay.
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 
 #: Pairs of tokens whose merging is remembered per Python worker.
-MOST_PAIRS = 500_000
+MOST_PAIRS = 250_000
 
 #: Words longer than this many characters are not kept.
 LONG_WORD = 64
