@@ -41,10 +41,10 @@ def reference_delivery(pdf):
     return pd.concat(out)
 
 
-@pytest.mark.parametrize("strategy", ["one_task", "ranges"])
-def test_delivery_equals_pandas(spark, strategy):
+@pytest.mark.parametrize("rows", [None, 100])
+def test_delivery_equals_pandas(spark, rows):
     pdf, df = scored(spark)
-    got = DL.postprocess(df, SPEC, dt.date(2024, 3, 9), strategy=strategy).toPandas().sort_values(["period", "orden"])
+    got = DL.postprocess(df, SPEC, dt.date(2024, 3, 9), rows_per_task=rows).toPandas().sort_values(["period", "orden"])
     want = reference_delivery(pdf).sort_values(["period", "orden"])
     assert list(got.orden) == list(want.orden) and list(got.coddoc) == list(want.key_value)
     assert list(got.grupo_ejec) == list(want.grupo)
@@ -60,24 +60,24 @@ def test_group_sizes_follow_the_fractions(spark):
     assert all(abs(sizes[10 - i] - (cuts[i + 1] - cuts[i])) <= 1 for i in range(10))
 
 
-@pytest.mark.parametrize("strategy", ["one_task", "ranges"])
-def test_equal_cuts_raise_and_null_scores_have_no_group(spark, strategy):
+@pytest.mark.parametrize("rows", [None, 100])
+def test_equal_cuts_raise_and_null_scores_have_no_group(spark, rows):
     flat = spark.createDataFrame([(1, 5.0)] * 20, "period int, s double")
     with pytest.raises(Exception, match="not unique"):
-        R.execution_groups(flat, "s", strategy=strategy).collect()
-    rows = [(1, float(i)) for i in range(100)] + [(1, None), (1, float("nan"))]
-    got = R.execution_groups(spark.createDataFrame(rows, "period int, s double"), "s", strategy=strategy)
+        R.execution_groups(flat, "s", rows_per_task=rows).collect()
+    scores = [(1, float(i)) for i in range(100)] + [(1, None), (1, float("nan"))]
+    got = R.execution_groups(spark.createDataFrame(scores, "period int, s double"), "s", rows_per_task=rows)
     assert got.where("grupo_ejec is null").count() == 2
 
 
-@pytest.mark.parametrize("strategy", ["one_task", "ranges"])
-def test_rank_is_a_permutation_even_when_one_score_fills_a_third(spark, strategy):
+@pytest.mark.parametrize("rows", [None, 100])
+def test_rank_is_a_permutation_even_when_one_score_fills_a_third(spark, rows):
     rng = np.random.default_rng(4)
     n = 3000
     pdf = pd.DataFrame({"row_id": rng.permutation(n), "period": rng.choice([1, 2, 3], n),
                         "s": np.where(rng.random(n) < 0.4, 0.5, rng.random(n))})
     df = spark.createDataFrame(pdf).withColumn("s", F.when(F.col("row_id") % 40 != 0, F.col("s")))
-    got = R.rank_rows(df, [F.desc_nulls_last("s"), F.asc("row_id")], by=("period",), strategy=strategy).toPandas()
+    got = R.rank_rows(df, [F.desc_nulls_last("s"), F.asc("row_id")], by=("period",), rows_per_task=rows).toPandas()
     pdf.loc[pdf.row_id % 40 == 0, "s"] = np.nan
     for period, part in pdf.groupby("period"):
         want = part.sort_values(["s", "row_id"], ascending=[False, True], na_position="last").row_id
@@ -87,9 +87,9 @@ def test_rank_is_a_permutation_even_when_one_score_fills_a_third(spark, strategy
 
 def test_rank_without_groups_and_with_null_group(spark):
     df = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "a")], "id int, g string")
-    got = R.rank_rows(df, [F.asc("id")], by=("g",), out="n", strategy="ranges").orderBy("id").collect()
+    got = R.rank_rows(df, [F.asc("id")], by=("g",), out="n", rows_per_task=100).orderBy("id").collect()
     assert [r["n"] for r in got] == [1, 1, 2, 2]
-    got = R.rank_rows(df, [F.desc("id")], out="n", strategy="ranges").orderBy("id").collect()
+    got = R.rank_rows(df, [F.desc("id")], out="n", rows_per_task=100).orderBy("id").collect()
     assert [r["n"] for r in got] == [4, 3, 2, 1]
 
 
@@ -107,8 +107,8 @@ def test_splits_are_stable_and_of_right_size(spark):
     one = {r["row_id"] for r in R.hash_split(df, "row_id").where("is_test").collect()}
     two = {r["row_id"] for r in R.hash_split(df.repartition(11), "row_id").where("is_test").collect()}
     assert one == two and abs(len(one) - 660) < 80
-    for strategy in ("one_task", "ranges"):
-        assert R.exact_split(df, "row_id", strategy=strategy).where("is_test").count() == 660
+    for rows in (None, 100):
+        assert R.exact_split(df, "row_id", rows_per_task=rows).where("is_test").count() == 660
     assert R.exact_split(spark.range(10).withColumnRenamed("id", "row_id"), "row_id").where("is_test").count() == 4
 
 

@@ -31,12 +31,12 @@ def sample(seed=5, n=900):
     return ref, act
 
 
-@pytest.mark.parametrize("strategy", ["one_task", "ranges"])
+@pytest.mark.parametrize("rows", [None, 100])
 @pytest.mark.parametrize("q", [1, 10, 1000])
-def test_psi_and_kl_equal_definition(spark, q, strategy):
+def test_psi_and_kl_equal_definition(spark, q, rows):
     ref, act = sample()
     columns = ["x", "k", "flag", "flat"]
-    got = D.measure_drift(spark.createDataFrame(act), spark.createDataFrame(ref), columns, q, strategy=strategy).toPandas()
+    got = D.measure_drift(spark.createDataFrame(act), spark.createDataFrame(ref), columns, q, rows_per_task=rows).toPandas()
     assert len(got) == 2 * len(columns)
     for row in got.itertuples():
         side = act[act.period == row.period][row.feature].astype(float).to_numpy()
@@ -151,3 +151,10 @@ def test_rolling_mean_skips_missing_and_later_periods(spark):
 def test_status_limits(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 0.0999, 0.1, 0.2499, 0.25, None)], "psi_medio double")
     assert [r["status"] for r in D.with_status(df).collect()] == ["OK", "OK", "WARN", "WARN", "ALARM", None]
+
+
+def test_a_side_without_values_has_no_drift(spark):
+    ref = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
+    act = spark.createDataFrame([(1, None)] * 50 + [(2, 3.0)] * 50, "period int, x double")
+    got = {r["period"]: r["metric_value"] for r in D.data_drift("KL", act, ref, 10, ["x"]).collect()}
+    assert got[1] is None and got[2] > 0

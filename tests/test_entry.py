@@ -1,5 +1,6 @@
 """Queries next to their SQL on the smallest tables; the whole list runs with tools/check_queries.py."""
 
+import re
 from pathlib import Path
 
 import duckdb
@@ -23,7 +24,7 @@ def db(sf):
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    without = set(entry.queries()) - set(entry.oracle_sql())
+    without = {n for n in set(entry.queries()) - set(entry.oracle_sql()) if not re.match(r"op\d+_|pipeline$", n)}
     assert without == {"train_candidates", "hpo_search", "batch_inference", "model_registry", "training_phase",
                        "monitoring_phase"}
 

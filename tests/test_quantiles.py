@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 from tidewatch.operators import quantiles as Q
 from tidewatch.operators import ranges as RG
 
-STRATEGIES = ("one_task", "ranges")
-
 
 def frame(spark, n=3000, seed=3):
     rng = np.random.default_rng(seed)
@@ -19,12 +17,12 @@ def frame(spark, n=3000, seed=3):
     return pdf, spark.createDataFrame(pdf)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("rows", [None, 100])
 @pytest.mark.parametrize("q", [2, 10, 1000])
-def test_cuts_equal_numpy(spark, strategy, q):
+def test_cuts_equal_numpy(spark, rows, q):
     pdf, df = frame(spark)
     columns = ["x", "few", "hot", "flat"]
-    got = Q.exact_cuts(df, columns, q, strategy=strategy).toPandas()
+    got = Q.exact_cuts(df, columns, q, rows_per_task=rows).toPandas()
     for c in columns:
         values = pdf[c].dropna().to_numpy()
         mine = got[got.feature == c].sort_values("cut")
@@ -32,22 +30,22 @@ def test_cuts_equal_numpy(spark, strategy, q):
         np.testing.assert_allclose(mine.edge, np.percentile(values, np.linspace(0, 100, q + 1))[1:-1], atol=1e-9)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_cuts_by_group_and_chosen_cuts(spark, strategy):
+@pytest.mark.parametrize("rows", [None, 100])
+def test_cuts_by_group_and_chosen_cuts(spark, rows):
     pdf, df = frame(spark)
     cuts = [0, 35, 87, 500, 1000]
-    got = Q.exact_cuts(df, ["x"], 1000, cuts, by=["g"], strategy=strategy).toPandas()
+    got = Q.exact_cuts(df, ["x"], 1000, cuts, by=["g"], rows_per_task=rows).toPandas()
     for g, part in pdf.groupby("g"):
         mine = got[got.g == g].sort_values("cut")
         assert list(mine.cut) == cuts
         np.testing.assert_allclose(mine.edge, part.x.dropna().quantile([c / 1000 for c in cuts]), atol=1e-9)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("rows", [None, 100])
 @pytest.mark.parametrize("values", [[4.0], [4.0, 7.0], [float("-inf"), 1.0, 2.0, float("inf")]])
-def test_tiny_inputs(spark, strategy, values):
+def test_tiny_inputs(spark, rows, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = Q.exact_cuts(df, ["x"], 4, strategy=strategy).orderBy("cut").toPandas()
+    got = Q.exact_cuts(df, ["x"], 4, rows_per_task=rows).orderBy("cut").toPandas()
     assert len(got) == 3
     if np.isfinite(values).all():
         np.testing.assert_allclose(got.edge, np.percentile(values, [25, 50, 75]))
@@ -55,12 +53,10 @@ def test_tiny_inputs(spark, strategy, values):
 
 def test_result_does_not_depend_on_partitioning_or_sample(spark, monkeypatch):
     _, df = frame(spark)
-    whole = Q.exact_cuts(df, ["x", "hot"], 50, strategy="ranges").orderBy("feature", "cut").collect()
-    monkeypatch.setattr(RG, "SAMPLE_ROWS", 100)
-    monkeypatch.setattr(RG, "SAMPLE_BYTES", 1)
-    monkeypatch.setattr(Q, "MIN_RANGES", 8)
+    whole = Q.exact_cuts(df, ["x", "hot"], 50, rows_per_task=100).orderBy("feature", "cut").collect()
+    monkeypatch.setattr(RG, "SAMPLE_PER_RANGE", 1)
     monkeypatch.setattr(Q, "RANGES_PER_CUT", 1)
-    coarse = Q.exact_cuts(df.repartition(7), ["x", "hot"], 50, strategy="ranges").orderBy("feature", "cut").collect()
+    coarse = Q.exact_cuts(df.repartition(7), ["x", "hot"], 50, rows_per_task=400).orderBy("feature", "cut").collect()
     assert whole == coarse
 
 
@@ -77,3 +73,17 @@ def test_position_counts_ends_at_or_below(spark):
     got = [r["p"] for r in RG.position_in(df, "value", "ends", len(ends), "p").collect()]
     assert got == [0, 1, 1, 3, 3, 4, 4, 0]
     assert RG.position_in(df, "value", "ends", 0, "p").where(F.col("p") != 0).count() == 0
+
+
+def test_null_and_unseen_keys_spread_over_ranges(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, F.lit(1)).alias("g"), F.lit("x").alias("feature"),
+                                    F.rand(3).alias("value"))
+    placed = RG.add_range(df, df.sample(0.2, 5), ["g", "feature"], 64)
+    assert placed.groupBy("g", "range_no").count().agg(F.max("count")).first()[0] < 4 * 20_000 / 64
+    unseen = RG.add_range(df, df.where("g = 1").sample(0.2, 5), ["g", "feature"], 64)
+    assert unseen.where("g is null").groupBy("range_no").count().agg(F.max("count")).first()[0] < 4 * 20_000 / 64
+    got = Q.exact_cuts(df.withColumnRenamed("value", "x").drop("feature"), ["x"], 4, by=["g"], rows_per_task=1000)
+    want = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("p")).collect()}
+    for g, edges in want.items():
+        mine = [r["edge"] for r in got.where(F.col("g").eqNullSafe(F.lit(g))).orderBy("cut").collect()]
+        assert np.allclose(mine, edges)

@@ -38,7 +38,7 @@ def test_density_equals_numpy(spark):
 def test_density_of_a_large_input_keeps_its_result(spark, monkeypatch):
     df = spark.createDataFrame([(p, float(i % 17)) for p in (1, 2) for i in range(100)], "period int, s double")
     small = sorted(R.score_density(df, "s", 10).collect())
-    monkeypatch.setattr("tidewatch.runtime.ONE_TASK_BYTES", -1)
+    monkeypatch.setattr("tidewatch.runtime.BROADCAST_BYTES", 0)
     assert sorted(R.score_density(df, "s", 10).collect()) == small
 
 
@@ -79,3 +79,10 @@ def test_latest_ignores_other_names(spark):
     assert [r["folder"] for r in R.latest(df).collect()] == ["2024-01-02_03-04-06"]
     assert R.latest(df.where(F.col("folder") == "notes")).count() == 0
     assert R.known_values(df.withColumn("x", F.length("folder")), "x") == [5, 19]
+
+
+def test_first_alerts_follow_the_order_of_stages(spark):
+    rows = [(1, s, 1, "m") for s in ("grupo", "score", "pre", "raw")] + [(1, "raw", 2, "m"), (2, "raw", 1, "m")]
+    alerts = spark.createDataFrame(rows, "kind_no int, stage string, period int, message string")
+    got = [(r["stage"], r["period"]) for r in R.first_alerts(alerts).collect()]
+    assert got == [("raw", 1), ("raw", 2), ("pre", 1), ("score", 1)]

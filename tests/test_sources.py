@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.runtime import UNKNOWN_BYTES, broadcast_if_small, input_bytes, materialize, pick_strategy, shared_folder
+from tidewatch import runtime
+from tidewatch.runtime import broadcast_counted, materialize, shared_folder, tasks_for
 from tidewatch.sources import readers, writers
 
 
@@ -65,11 +66,11 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) in (spark.conf.get("spark.checkpoint.dir"), spark.sparkContext.getCheckpointDir())
 
 
-def test_sizes_decide_strategy_and_broadcast(spark):
-    small = materialize(spark.range(1000), "small")
-    assert 0 < input_bytes(small) < 100_000 and pick_strategy(small) == "one_task"
-    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "x int")
-    assert input_bytes(unknown) >= UNKNOWN_BYTES and pick_strategy(unknown) == "ranges"
-    assert broadcast_if_small(unknown) is unknown and broadcast_if_small(small) is not small
-    with pytest.raises(ValueError):
-        pick_strategy(small, "guess")
+def test_counted_rows_decide_tasks_and_broadcast(spark, monkeypatch):
+    """A small file may hold many rows: what counts is the rows and values, not the bytes."""
+    flat = materialize(spark.range(2_000_000).selectExpr("1 as x"), "flat")
+    assert tasks_for(flat) == 2 and tasks_for(materialize(spark.range(10), "few")) == 1 and tasks_for(flat, 500_000) == 4
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", 1_000_000)
+    assert broadcast_counted(flat) is flat
+    wide = materialize(spark.range(10).selectExpr("id", "sequence(1, 100000) as ends"), "wide")
+    assert broadcast_counted(wide, F.size("ends") + 1) is wide and broadcast_counted(wide.select("id")) is not wide

@@ -385,7 +385,8 @@ def sql() -> dict[str, str]:
             select 1::int as kind_no, stage, period from runs where duration_s > 30
             union all select 2::int, stage, period from runs where ram_delta_mb > 200
             union all select 3::int, stage, period from runs where ram_sys_pct > 80)
-            select * from alerts order by kind_no, stage, period limit 4""",
+            select * from alerts order by kind_no, case stage when 'raw' then 1 when 'pre' then 2 when 'score' then 3
+              when 'grupo' then 4 end, period limit 4""",
         "ops_duration_pivot": f"""with {RUNS} select period, {', '.join(
             f"max(case when stage = '{s}' then duration_s else 0 end) as {s}" for s in ('raw', 'pre', 'score', 'grupo'))},
             round(avg(ram_sys_pct), 6) as ram_sys_pct from runs group by period""",

@@ -181,7 +181,7 @@ def _features(base: DataFrame) -> DataFrame:
 
 
 def quantile_edges(spark, sf):
-    reference = fx.base(spark, sf, fx.REFERENCE_PERIODS)
+    reference = fx.periods(_base(spark, sf), fx.REFERENCE_PERIODS)
     return rounded(exact_cuts(reference, fx.NUMERIC, Q), "edge")
 
 

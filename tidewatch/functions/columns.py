@@ -37,8 +37,9 @@ def collapse_category(col: Column, allowed: Iterable[str], other: str, missing:
 
 
 def zero_pad(col: Column, width: int) -> Column:
-    """Left-pad with zeros, keep a leading sign in front, never cut longer texts."""
-    text = col.cast("string")
+    """Left-pad with zeros, keep a leading sign in front, never cut longer texts. Whole numbers stored with a
+    fraction of zeros lose it first; other texts stay as they are."""
+    text = F.regexp_replace(col.cast("string"), r"^([+-]?\d+)\.0+$", "$1")
     signed = text.rlike("^[+-]")
     padded = F.when(
         signed, F.concat(F.substring(text, 1, 1), F.lpad(F.substr(text, F.lit(2)), width - 1, "0"))

@@ -23,14 +23,6 @@ REGISTRY_SCHEMA = "model_name string, folder string, version int, stage string,
 RUN_SCHEMA = "run_id string, name string, started_at timestamp, params map<string,string>, metrics map<string,double>"
 
 
-def _plain(value):
-    try:
-        json.dumps(value)
-        return value
-    except (TypeError, OverflowError, ValueError):
-        return str(value)
-
-
 def _append(spark: SparkSession, rows: list, schema: str, path: str) -> None:
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
@@ -49,10 +41,9 @@ def save_model(spark: SparkSession, candidate: Candidate, performance: dict, roo
     folder = now.strftime(FOLDER_TIME)
     candidate.model.write().overwrite().save(f"{root}/{folder}/model")
     learner = candidate.model.stages[-1]
-    settings = {p.name: _plain(v) for p, v in learner.extractParamMap().items()}
-    settings.update({k: _plain(v) for k, v in candidate.settings.items()})
-    row = (candidate.family, folder, json.dumps({k: _plain(v) for k, v in performance.items()}),
-           json.dumps(settings), json.dumps({"pyspark": pyspark.__version__}),
+    settings = {p.name: v for p, v in learner.extractParamMap().items()} | dict(candidate.settings)
+    row = (candidate.family, folder, json.dumps(performance, default=str),
+           json.dumps(settings, default=str), json.dumps({"pyspark": pyspark.__version__}),
            now.strftime("%Y-%m-%d %H:%M:%S"))
     _append(spark, [row], METADATA_SCHEMA, f"{root}/_models")
     return folder

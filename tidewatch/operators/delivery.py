@@ -11,6 +11,7 @@ from tidewatch import params as P
 from tidewatch.functions.columns import as_number, value_score, zero_pad
 from tidewatch.operators.ranking import best_per_key, execution_groups, rank_rows
 from tidewatch.params import FeatureSpec
+from tidewatch.runtime import materialize
 
 
 def attach_scores(post: DataFrame, scores: DataFrame, spec: FeatureSpec, score: str = "predictions",
@@ -51,15 +52,15 @@ DELIVERY_ORDER = ("codmes", "tipdoc", "coddoc", "puntuacion", "modelo", "fec_rep
 
 
 def postprocess(scored: DataFrame, spec: FeatureSpec, run_date: dt.date | None = None,
-                probability: str = "prob", strategy: str = "auto") -> DataFrame:
+                probability: str = "prob", rows_per_task: int | None = None) -> DataFrame:
     """Value score, groups per period, best row per document, rank: the delivery table with `period`.
 
     Rows without a score come last and have no group.
     """
-    df = with_value_score(scored, spec, probability)
-    df = execution_groups(df, "puntuacion", by=(spec.period,), strategy=strategy)
+    df = materialize(with_value_score(scored, spec, probability), "valued")  # read by the cuts and by the rows
+    df = execution_groups(df, "puntuacion", by=(spec.period,), rows_per_task=rows_per_task)
     df = delivery_columns(df, spec, run_date or dt.date.today(), probability)
     order = [F.desc_nulls_last("puntuacion"), F.asc(spec.row_id)]
     df = best_per_key(df, [spec.period, "coddoc"], order)
-    df = rank_rows(df, order, by=(spec.period,), strategy=strategy)
+    df = rank_rows(df, order, by=(spec.period,), rows_per_task=rows_per_task)
     return df.select(spec.period, *DELIVERY_ORDER)

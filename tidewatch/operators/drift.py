@@ -17,7 +17,7 @@ from tidewatch.functions.columns import is_numeric, status_band, status_colour
 from tidewatch.operators.quantiles import cut_arrays
 from tidewatch.operators.ranges import long_values, position_in
 from tidewatch.params import EMPTY_SHARE
-from tidewatch.runtime import broadcast_if_small
+from tidewatch.runtime import broadcast_counted, materialize
 
 PERIOD = "period"
 
@@ -30,15 +30,15 @@ def comparable_columns(actual: DataFrame, reference: DataFrame, exclude: Sequenc
 
 
 def reference_edges(reference: DataFrame, columns: Sequence[str], q: int, by: Sequence[str] = (),
-                    strategy: str = "auto") -> DataFrame:
+                    rows_per_task: int | None = None) -> DataFrame:
     """(by..., feature, n, edges): inner bin edges of the reference. Outer edges are ±infinity."""
     if q < 1:
         raise ValueError("q must be at least 1")
     if q == 1:
         long = long_values(reference, columns, by)
-        return long.groupBy(*by, "feature").agg(
-            F.count("value").alias("n"), F.array().cast("array<double>").alias("edges"))
-    return cut_arrays(reference, columns, q, by=by, strategy=strategy)
+        return materialize(long.groupBy(*by, "feature").agg(
+            F.count("value").alias("n"), F.array().cast("array<double>").alias("edges")), "cut-arrays")
+    return cut_arrays(reference, columns, q, by=by, rows_per_task=rows_per_task)
 
 
 def bin_counts(df: DataFrame, columns: Sequence[str], edges: DataFrame, q: int,
@@ -48,7 +48,7 @@ def bin_counts(df: DataFrame, columns: Sequence[str], edges: DataFrame, q: int,
     Bins are closed on the left; a value on repeated edges falls in the last of them.
     """
     long = long_values(df, columns, [*keys, *by], keep_null=True)
-    ends = broadcast_if_small(edges.select(*by, "feature", "edges"))
+    ends = broadcast_counted(edges.select(*by, "feature", "edges"), F.size("edges") + len(by) + 1)
     placed = position_in(long.join(ends, [*by, "feature"]), "value", "edges", q - 1, "bin")
     bin_no = F.expr("if(value is null, null, bin) as bin")
     return placed.groupBy(*keys, *by, "feature", bin_no).agg(F.expr("count(*) as n"))
@@ -120,39 +120,41 @@ def drift_values(terms: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def measure_drift(actual: DataFrame, reference: DataFrame | None, columns: Sequence[str], q: int,
                   by: Sequence[str] = (), edges: DataFrame | None = None,
-                  reference_counts: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
+                  reference_counts: DataFrame | None = None, rows_per_task: int | None = None) -> DataFrame:
     """PSI and KL of each column (and group) of each period against the reference.
 
     Stored `edges` and `reference_counts` spare the scans of the reference.
     """
     if edges is None:
-        edges = reference_edges(reference, columns, q, by, strategy)
+        edges = reference_edges(reference, columns, q, by, rows_per_task)
     counts = side_counts(actual, reference, columns, edges, q, by, reference_counts)
     return drift_values(drift_terms(counts, by), by)
 
 
 def data_drift(metric: str, actual: DataFrame, reference: DataFrame, q: int,
-               columns: Sequence[str] | None = None, strategy: str = "auto") -> DataFrame:
-    """(period, feature, metric_value): unrounded PSI or KL of all common numeric columns."""
+               columns: Sequence[str] | None = None, rows_per_task: int | None = None) -> DataFrame:
+    """(period, feature, metric_value): unrounded PSI or KL of all common numeric columns, NULL where a side
+    has no value."""
     name = metric.lower()
     if name not in ("psi", "kl"):
         raise ValueError(f"unknown drift metric {metric!r}: PSI or KL")
     columns = columns or comparable_columns(actual, reference, exclude=(PERIOD,))
-    values = measure_drift(actual, reference, columns, q, strategy=strategy)
-    return values.select(PERIOD, "feature", F.col(name).alias("metric_value"))
+    values = measure_drift(actual, reference, columns, q, rows_per_task=rows_per_task)
+    both = (F.col("n_ref") > 0) & (F.col("n_actual") > 0)
+    return values.select(PERIOD, "feature", F.when(both, F.col(name)).alias("metric_value"))
 
 
 def drift_bins(actual: DataFrame, reference: DataFrame, columns: Sequence[str], q: int,
-               strategy: str = "auto") -> DataFrame:
+               rows_per_task: int | None = None) -> DataFrame:
     """Bin detail with all q bins: (period, feature, bin, lo, hi, ref_share, act_share, psi_term,
     kl_term). Bins between repeated edges hold nothing; lo and hi are NULL on the open ends."""
-    edges = reference_edges(reference, columns, q, strategy=strategy)
+    edges = reference_edges(reference, columns, q, rows_per_task=rows_per_task)
     terms = drift_terms(side_counts(actual, reference, columns, edges, q))
     # q rows per column and period, whatever the data hold: filled bins keep theirs, others are added.
     parts = ("ref_share", "act_share", "psi_term", "kl_term")
     filled = terms.groupBy("feature", PERIOD).agg(
         F.map_from_entries(F.collect_list(F.struct("bin", F.struct(*parts)))).alias("filled"))
-    grid = filled.join(broadcast_if_small(edges), "feature").select(
+    grid = filled.join(broadcast_counted(edges, F.size("edges") + 2), "feature").select(
         PERIOD, "feature", "filled", "edges", F.explode(F.sequence(F.lit(0), F.lit(q - 1))).alias("bin"))
     term = F.try_element_at("filled", F.col("bin"))
     empty = {"ref_share": EMPTY_SHARE, "act_share": EMPTY_SHARE, "psi_term": 0.0, "kl_term": 0.0}
@@ -164,12 +166,12 @@ def drift_bins(actual: DataFrame, reference: DataFrame, columns: Sequence[str],
 
 def psi_report(actual: DataFrame, reference: DataFrame | None, q: int, columns: Sequence[str] | None = None,
                exclude: Sequence[str] = (), min_count: int = 10, edges: DataFrame | None = None,
-               reference_counts: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
+               reference_counts: DataFrame | None = None, rows_per_task: int | None = None) -> DataFrame:
     """(period, feature, n_ref, n_actual, psi): columns with more than `min_count` values on both
     sides, psi rounded to 5 places. Order it with `sort_report`."""
     columns = columns or comparable_columns(actual, reference, exclude=(PERIOD, *exclude))
     values = measure_drift(actual, reference, columns, q, edges=edges,
-                           reference_counts=reference_counts, strategy=strategy)
+                           reference_counts=reference_counts, rows_per_task=rows_per_task)
     enough = (F.col("n_ref") > min_count) & (F.col("n_actual") > min_count)
     return values.where(enough).select(
         PERIOD, "feature", "n_ref", "n_actual", F.bround("psi", 5).alias("psi"))
@@ -190,7 +192,7 @@ def score_drift(actual: DataFrame, reference: DataFrame, score: str, q: int,
 
 def group_drift(actual: DataFrame, reference: DataFrame | None, group: str, columns: Sequence[str], q: int,
                 min_rows: int = 10, edges: DataFrame | None = None,
-                reference_counts: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
+                reference_counts: DataFrame | None = None, rows_per_task: int | None = None) -> DataFrame:
     """(period, group, columna, psi, n_actual): drift inside each score group, bins taken from the
     group's own reference; groups under `min_rows` rows on either side are left out."""
     known = F.col(group).isNotNull()
@@ -199,7 +201,7 @@ def group_drift(actual: DataFrame, reference: DataFrame | None, group: str, colu
         shared = [c for c in shared if c in reference.columns]
         reference = reference.where(known)
     values = measure_drift(actual.where(known), reference, shared, q, by=(group,),
-                           edges=edges, reference_counts=reference_counts, strategy=strategy)
+                           edges=edges, reference_counts=reference_counts, rows_per_task=rows_per_task)
     enough = (F.col("rows_ref") >= min_rows) & (F.col("rows_actual") >= min_rows)
     return values.where(enough & (F.col("n_ref") > 0) & (F.col("n_actual") > 0)).select(
         PERIOD, group, F.col("feature").alias("columna"), F.bround("psi", 5).alias("psi"),
@@ -218,10 +220,13 @@ def with_status(df: DataFrame, psi: str = "psi_medio") -> DataFrame:
 def rolling_psi(history: DataFrame, window: int, keys: Sequence[str] = ("stage",),
                 value: str = "psi_medio") -> DataFrame:
     """Add `rolling_psi`: mean over the last `window` strictly earlier periods that have a result,
-    0 if there is none. One row per stage and period, so the list per row is as long as the history."""
-    earlier = Window.partitionBy(*keys).orderBy(PERIOD).rowsBetween(Window.unboundedPreceding, -1)
-    past = F.collect_list(value).over(earlier)
-    recent = F.slice(past, F.greatest(F.size(past) - window, F.lit(0)) + 1, F.lit(window))
-    total = F.aggregate(recent, F.lit(0.0), lambda acc, x: acc + x)
-    mean = F.when(F.size(recent) > 0, total / F.size(recent)).otherwise(F.lit(0.0))
-    return history.withColumn("rolling_psi", mean)
+    0 if there is none. Rows are numbered by the results up to them, so a frame of values spans the window."""
+    ordered = Window.partitionBy(*keys).orderBy(PERIOD)
+    known = F.col(value).isNotNull().cast("int")
+    before = F.coalesce(F.sum(known).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # A row without a result stands at the number of results before it, one with a result at its own.
+    numbered = history.withColumn("_at", before + known).withColumn("_before", before)
+    recent = Window.partitionBy(*keys).orderBy("_at").rangeBetween(-window, -1)
+    upto = Window.partitionBy(*keys).orderBy("_at").rangeBetween(-window + 1, 0)
+    mean = F.when(F.col(value).isNotNull(), F.avg(value).over(recent)).otherwise(F.avg(value).over(upto))
+    return numbered.withColumn("rolling_psi", F.coalesce(mean, F.lit(0.0))).drop("_at", "_before")

@@ -4,10 +4,10 @@ Positions are whole-number arithmetic: for cut i of q on n values the quantile l
 sorted values k and k+1, with k = i·(n-1) div q and weight (i·(n-1) mod q) / q on the upper one.
 No value can move across a cut through floating-point error in the position.
 
-Small inputs: value counts, one ordered pass per (group, feature). Large inputs: value ranges are
-counted first, and only ranges that hold a wanted position are pulled and ordered, each on its
-own task. Equal values are merged before the shuffle, so a value that fills a third of the table
-is one row per task.
+The wanted columns are written once, and their rows counted. Value ranges, as many as the rows ask for, are
+counted first, and only ranges that hold a wanted position are pulled and ordered, each on its own task; rows for
+one task are one range. Equal values are merged before the shuffle, so a value that fills a third of the
+table is one row per task.
 """
 
 from __future__ import annotations
@@ -17,11 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.ranges import add_range, long_values, range_ends, sample_for_ranges
-from tidewatch.runtime import broadcast_if_small, materialize, pick_strategy
+from tidewatch.operators.ranges import add_range, long_values, sample_for_ranges
+from tidewatch.runtime import broadcast_counted, materialize, tasks_for
 
-MIN_RANGES = 1024
-MAX_RANGES = 16384
+# Ranges per cut, where there is more than one range: fewer rows lie in a range that must be pulled.
 RANGES_PER_CUT = 16
 
 
@@ -95,29 +94,28 @@ def _pull(placed: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFram
     match = F.lit(True)
     for c, wanted_c in names.items():
         match = match & F.col(c).eqNullSafe(F.col(wanted_c))
-    return placed.join(broadcast_if_small(wanted.withColumnsRenamed(names)), match).drop(*names.values())
+    return placed.join(broadcast_counted(wanted.withColumnsRenamed(names)), match).drop(*names.values())
 
 
 def exact_cuts(df: DataFrame, columns: Sequence[str], parts: int, cuts: Sequence[int] | None = None,
-               by: Sequence[str] = (), strategy: str = "auto") -> DataFrame:
+               by: Sequence[str] = (), rows_per_task: int | None = None) -> DataFrame:
     """(by..., feature, n, cut, edge): for each cut i the i/parts quantile of each column.
 
-    `cuts` defaults to the inner ones, 1 … parts-1. `strategy` is "auto", "one_task" (one ordered
-    pass per group and column) or "ranges" (any size).
+    `cuts` defaults to the inner ones, 1 … parts-1.
     """
     cuts = sorted(set(cuts if cuts is not None else range(1, parts)))
     if not cuts or cuts[0] < 0 or cuts[-1] > parts:
         raise ValueError(f"cuts must lie within 0 and {parts}")
     keys = [*by, "feature"]
-    long = long_values(df, columns, by)
-    if pick_strategy(df, strategy) == "one_task":
-        counted = _count_values(long, keys).withColumn(
-            "n", F.sum("copies").over(Window.partitionBy(*keys)))
+    written = materialize(df.select(*by, *[c for c in columns if c not in by]), "cut-input")
+    long = long_values(written, columns, by)
+    ranges = tasks_for(written, rows_per_task)
+    if ranges == 1:
+        counted = _count_values(long, keys).withColumn("n", F.sum("copies").over(Window.partitionBy(*keys)))
         return _interpolate(counted, keys, cuts, parts)
 
-    ranges = min(MAX_RANGES, max(MIN_RANGES, RANGES_PER_CUT * len(cuts)))
-    sample = long_values(sample_for_ranges(df), columns, by)
-    placed = add_range(long, range_ends(sample, keys, ranges), keys, ranges)
+    ranges = max(ranges, RANGES_PER_CUT * len(cuts))
+    placed = add_range(long, long_values(sample_for_ranges(written, by, ranges), columns, by), keys, ranges)
     wanted = materialize(_wanted_ranges(placed, keys, parts, cuts), "wanted-ranges")
     counted = _count_values(_pull(placed, wanted, keys), [*keys, "range_no", "offset", "n"])
     counted = counted.withColumn("first", F.col("first") + F.col("offset"))
@@ -125,15 +123,10 @@ def exact_cuts(df: DataFrame, columns: Sequence[str], parts: int, cuts: Sequence
 
 
 def cut_arrays(df: DataFrame, columns: Sequence[str], parts: int, cuts: Sequence[int] | None = None,
-               by: Sequence[str] = (), strategy: str = "auto") -> DataFrame:
-    """(by..., feature, n, edges): the cuts of each key as one ascending array.
-
-    Beyond the one-task size the small result is written down: it is used once per scan, and its size
-    is then known to whoever wants to broadcast it.
-    """
-    picked = pick_strategy(df, strategy)
-    rows = exact_cuts(df, columns, parts, cuts, by, picked)
+               by: Sequence[str] = (), rows_per_task: int | None = None) -> DataFrame:
+    """(by..., feature, n, edges): the cuts of each key as one ascending array, written down: it is used once per
+    scan, and its size is then known to whoever wants to broadcast it."""
+    rows = exact_cuts(df, columns, parts, cuts, by, rows_per_task)
     ordered = F.sort_array(F.collect_list(F.struct("cut", "edge")))
-    arrays = rows.groupBy(*by, "feature", "n").agg(
-        F.transform(ordered, lambda e: e["edge"]).alias("edges"))
-    return arrays if picked == "one_task" else materialize(arrays, "cut-arrays")
+    arrays = rows.groupBy(*by, "feature", "n").agg(F.transform(ordered, lambda e: e["edge"]).alias("edges"))
+    return materialize(arrays, "cut-arrays")

@@ -11,10 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.runtime import MIB, UNKNOWN_BYTES, broadcast_if_small, input_bytes, materialize
+from tidewatch.runtime import broadcast_counted, materialize
 
-SAMPLE_BYTES = 32 * MIB
-SAMPLE_ROWS = 300_000
+# Sampled rows per range and key: enough that no range is many times the mean.
+SAMPLE_PER_RANGE = 32
 SAMPLE_SEED = 17
 
 
@@ -46,20 +46,17 @@ def position_in(df: DataFrame, value: str, ends: str, size: int, out: str) -> Da
     return df
 
 
-def sample_for_ranges(df: DataFrame) -> DataFrame:
-    """A sample of bounded size, for choosing range ends only."""
-    size = input_bytes(df)
-    if size >= UNKNOWN_BYTES:
-        fraction = SAMPLE_ROWS / max(df.count(), 1)
-    else:
-        fraction = SAMPLE_BYTES / max(size, 1)
-    return df if fraction >= 1 else df.sample(fraction=fraction, seed=SAMPLE_SEED)
+def sample_for_ranges(written: DataFrame, by: Sequence[str], ranges: int) -> DataFrame:
+    """Rows of a written table for choosing range ends only, sized by ranges and groups."""
+    n, groups = written.agg(F.count(F.lit(1)), F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)).first()
+    fraction = SAMPLE_PER_RANGE * ranges * max(groups, 1) / max(n, 1)
+    return written if fraction >= 1 else written.sample(fraction=fraction, seed=SAMPLE_SEED)
 
 
 def range_ends(long: DataFrame, keys: Sequence[str], ranges: int) -> DataFrame:
     """(keys..., ends): at most `ranges - 1` ascending cut values per key, from a long sample.
 
-    The sample is bounded, so ordering one key's part of it is a small task.
+    The sample has a set size per key, so ordering one key's part of it is a small task.
     """
     ordered = Window.partitionBy(*keys).orderBy("value")
     step = F.ceil(F.count(F.lit(1)).over(Window.partitionBy(*keys)) / ranges)
@@ -69,7 +66,21 @@ def range_ends(long: DataFrame, keys: Sequence[str], ranges: int) -> DataFrame:
         picked.where(F.col("place") % F.col("step") == 0).groupBy(*keys).agg(ends), "range-ends")
 
 
-def add_range(long: DataFrame, ends: DataFrame, keys: Sequence[str], ranges: int) -> DataFrame:
-    """Add `range_no`. Keys the sample did not see are small and stay in range 0."""
-    joined = long.join(broadcast_if_small(ends), list(keys), "left")
+def _meet(df: DataFrame, ends: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add the ends of each row's key as column `name`; NULL is a key like any other."""
+    names = {c: f"_{name}_{c}" for c in keys}
+    match = F.lit(True)
+    for c, other in names.items():
+        match = match & F.col(c).eqNullSafe(F.col(other))
+    ends = broadcast_counted(ends.withColumnsRenamed({**names, "ends": name}), F.size(name) + len(names))
+    return df.join(ends, match, "left").drop(*names.values())
+
+
+def add_range(long: DataFrame, sample: DataFrame, keys: Sequence[str], ranges: int) -> DataFrame:
+    """Add `range_no` by ends from a long sample. Keys that the sample missed are cut by the ends of all keys
+    of their feature together, so they too spread."""
+    feature = [c for c in keys if c == "feature"]
+    joined = _meet(_meet(long, range_ends(sample, keys, ranges), keys, "_own"),
+                   range_ends(sample, feature, ranges), feature, "_pooled")
+    joined = joined.withColumn("ends", F.coalesce("_own", "_pooled")).drop("_own", "_pooled")
     return position_in(joined, "value", "ends", ranges, "range_no").drop("ends")

@@ -10,28 +10,33 @@ from pyspark.sql import functions as F
 from tidewatch.functions.columns import as_number, hash_fraction
 from tidewatch.operators.quantiles import cut_arrays
 from tidewatch.params import GROUP_CUTS_PER_MILLE
-from tidewatch.runtime import broadcast_if_small, materialize, pick_strategy
+from tidewatch.runtime import broadcast_counted, materialize, tasks_for
 
 
 def execution_groups(df: DataFrame, score: str, out: str = "grupo_ejec", by: Sequence[str] = ("period",),
                      cuts: Sequence[int] = GROUP_CUTS_PER_MILLE, parts: int = 1000,
-                     strategy: str = "auto") -> DataFrame:
+                     rows_per_task: int | None = None) -> DataFrame:
     """Uneven quantile groups of each period's own scores: the highest label holds the lowest scores.
 
     Groups are closed on the right; NULL scores get no group; equal cut values are an error, as they
     would leave a group empty.
     """
-    edges = cut_arrays(df, [score], parts, cuts, by, strategy)
+    edges = cut_arrays(df, [score], parts, cuts, by, rows_per_task)
     clash = F.raise_error(F.lit(f"quantile cuts of {score} are not unique"))
     checked = F.when(F.size(F.array_distinct("edges")) == len(cuts), F.col("edges")).otherwise(
         clash.cast("array<double>"))
-    edges = edges.select(*by, checked.alias("_cuts"))
+    held = {c: f"_cut_{c}" for c in by}
+    edges = broadcast_counted(edges, F.size("edges") + len(held)).select(
+        *[F.col(c).alias(name) for c, name in held.items()], checked.alias("_cuts"))
+    match = F.lit(True)
+    for c, name in held.items():  # a NULL period is a period too
+        match = match & F.col(c).eqNullSafe(F.col(name))
     label = F.lit(len(cuts) - 1)
     for i in range(1, len(cuts) - 1):
         label = label - (F.col(score) > F.get("_cuts", F.lit(i))).cast("int")
-    joined = df.join(broadcast_if_small(edges), list(by), "left")
+    joined = df.join(edges, match, "left")
     number = as_number(F.col(score))
-    return joined.withColumn(out, F.when(number.isNotNull(), label)).drop("_cuts")
+    return joined.withColumn(out, F.when(number.isNotNull(), label)).drop("_cuts", *held.values())
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -45,19 +50,17 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def rank_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), out: str = "orden",
-              strategy: str = "auto") -> DataFrame:
+              rows_per_task: int | None = None) -> DataFrame:
     """Add the place 1..N of each row within `by`. `order` must end in a unique column.
 
-    Large inputs: one range shuffle on (by, order) spreads a period, and equal scores, over all tasks.
+    The rows are written once and counted, which gives the number of tasks. One range shuffle on (by, order) spreads a period, and equal scores, over all tasks.
     Each row's slot in its task is written down once; adding the number of rows in earlier tasks
     gives its place. No task ever holds a whole period.
     """
-    if pick_strategy(df, strategy) == "one_task":
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    written = materialize(df, "rank-input")
+    tasks = tasks_for(written, rows_per_task)
     slots = materialize(
-        df.repartitionByRange(tasks, *by, *order).sortWithinPartitions(*by, *order)
+        written.repartitionByRange(tasks, *by, *order).sortWithinPartitions(*by, *order)
         .withColumn("_slot", F.monotonically_increasing_id())
         .withColumn("_task", F.shiftrightunsigned("_slot", 33)),
         "ranked-slots")
@@ -71,7 +74,7 @@ def rank_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), ou
     for c in by:
         match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
     place = (F.col("_before") + F.col("_slot") - F.col("_first") + 1).cast("int")
-    return slots.join(broadcast_if_small(runs), match).select(*df.columns, place.alias(out))
+    return slots.join(broadcast_counted(runs), match).select(*df.columns, place.alias(out))
 
 
 def hash_split(df: DataFrame, key: str, test_share: float = 0.33, seed: int = 123,
@@ -82,9 +85,9 @@ def hash_split(df: DataFrame, key: str, test_share: float = 0.33, seed: int = 12
 
 
 def exact_split(df: DataFrame, key: str, test_share: float = 0.33, seed: int = 123,
-                out: str = "is_test", strategy: str = "auto") -> DataFrame:
+                out: str = "is_test", rows_per_task: int | None = None) -> DataFrame:
     """Mark exactly ceil(test_share · n) rows as test: the ones with the smallest key hashes."""
     hashed = df.withColumn("_hash", hash_fraction(F.col(key), seed, digits=13))
-    ranked = rank_rows(hashed, [F.col("_hash"), F.col(key)], out="_place", strategy=strategy)
+    ranked = rank_rows(hashed, [F.col("_hash"), F.col(key)], out="_place", rows_per_task=rows_per_task)
     n_test = F.ceil(F.lit(test_share) * df.agg(F.count(F.lit(1)).alias("_n")).scalar())
     return ranked.withColumn(out, F.col("_place") <= n_test).drop("_hash", "_place")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import as_number, status_band, status_text
 from tidewatch.operators.drift import rolling_psi
-from tidewatch.runtime import broadcast_if_small, settle
+from tidewatch.runtime import broadcast_counted, materialize
 
 # Stages in report order, and the fields of an operational row.
 STAGES = ("raw", "pre", "score", "grupo")
@@ -53,10 +53,10 @@ def score_density(df: DataFrame, score: str, bins: int = 40, keys: Sequence[str]
     spans = spans.select(
         *keys, "total", F.when(flat, F.col("min_x") - 0.5).otherwise(F.col("min_x")).alias("from_x"),
         F.when(flat, F.col("max_x") + 0.5).otherwise(F.col("max_x")).alias("to_x"))
-    spans = settle(spans.withColumn("width", (F.col("to_x") - F.col("from_x")) / bins), "score-spans")
+    spans = materialize(spans.withColumn("width", (F.col("to_x") - F.col("from_x")) / bins), "score-spans")
     place = F.floor((F.col("x") - F.col("from_x")) / (F.col("to_x") - F.col("from_x")) * bins)
     counts = (
-        scored.join(broadcast_if_small(spans), list(keys))
+        scored.join(broadcast_counted(spans), list(keys))
         .groupBy(*keys, F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -117,6 +117,7 @@ def ops_alerts(ops: DataFrame, max_duration_s: float = 30.0, max_ram_delta_mb: f
                max_ram_sys_pct: float = 80.0) -> DataFrame:
     """(kind_no, stage, period, message): slow stages, then memory growth, then system memory; strictly
     above the threshold."""
+    # The fields, the alert texts, and their decimal places.
     checks = [
         ("duration_s", max_duration_s, "LENTO  [%s p%d]: %.1fs > umbral %ss", 1),
         ("ram_delta_mb", max_ram_delta_mb, "RAM+   [%s p%d]: +%.0fMB > umbral %sMB", 0),
@@ -132,8 +133,10 @@ def ops_alerts(ops: DataFrame, max_duration_s: float = 30.0, max_ram_delta_mb: f
     return listed.where("alert is not null").select("alert.kind_no", "stage", "period", "alert.message")
 
 
-def first_alerts(alerts: DataFrame, n: int = 4) -> DataFrame:
-    return alerts.orderBy("kind_no", "stage", "period").limit(n)
+def first_alerts(alerts: DataFrame, n: int = 4, stages: Sequence[str] = STAGES) -> DataFrame:
+    """The first alerts by kind, then in report order of the stages, then by period."""
+    place = F.array_position(F.array(*[F.lit(s) for s in stages]), F.col("stage"))
+    return alerts.orderBy("kind_no", F.when(place > 0, place).asc_nulls_last(), "stage", "period").limit(n)
 
 
 def duration_pivot(ops: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame:

@@ -1,25 +1,21 @@
-"""Session set-up, the shared folder for cut points, and the size checks behind broadcasts."""
+"""Session set-up, the shared folder for cut points, and decisions on counted rows."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 
-# Inputs up to this size may be ranked or cumulated with one task per group; larger ones are cut
-# into value ranges first.
-ONE_TASK_BYTES = 64 * MIB
+# Rows that one task ranks or cumulates in order; tables with more are cut into that many more ranges.
+ROWS_PER_TASK = 1_000_000
 
-# A table is only hinted as broadcast when its size is known to be below this.
+# A table is only hinted as broadcast when its counted values take no more than this.
 BROADCAST_BYTES = 64 * MIB
 
-# Spark reports a size near 2^63 when it does not know one.
-UNKNOWN_BYTES = 1 << 61
-
 
 def make_session(app: str = "tidewatch", master: str | None = None,
                  shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -43,12 +39,12 @@ def make_session(app: str = "tidewatch", master: str | None = None,
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, named by `spark.checkpoint.dir`.
 
-    A machine-local folder stands in only when Spark itself runs on one machine.
+    Where it is unset, a machine-local folder stands in only when Spark itself runs on one machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="tidewatch-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -67,38 +63,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _leaf_bytes(plan) -> int:
-    leaves = plan.collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes the sources of `df` hold after partition pruning, from the optimizer's statistics."""
-    return _leaf_bytes(df._jdf.queryExecution().optimizedPlan())
-
-
-def within(df: DataFrame, limit: int) -> bool:
-    """Whether the sources of `df` hold at most `limit` bytes. Whole tables under the limit settle it
-    without running the optimizer; otherwise the partitions that remain after pruning decide."""
-    return _leaf_bytes(df._jdf.queryExecution().analyzed()) <= limit or input_bytes(df) <= limit
-
-
-def pick_strategy(df: DataFrame, strategy: str = "auto") -> str:
-    """"one_task" (one ordered pass per group) for inputs of proven small size, else "ranges"."""
-    if strategy == "auto":
-        return "one_task" if within(df, ONE_TASK_BYTES) else "ranges"
-    if strategy not in ("one_task", "ranges"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return strategy
-
-
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """A small result of a large input, written down so that its true size is known. Results of small
-    inputs stay lazy."""
-    return df if within(df, ONE_TASK_BYTES) else materialize(df, label)
+def tasks_for(written: DataFrame, rows_per_task: int | None = None) -> int:
+    """Tasks for the rows of a table just written; its rows are counted from the file footers."""
+    return max(1, -(-written.count() // (rows_per_task or ROWS_PER_TASK)))
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast only when what `df` is made from is below the size bound; beyond it the join
-    stays with AQE, which shuffles and splits skewed partitions."""
-    return F.broadcast(df) if within(df, BROADCAST_BYTES) else df
+def broadcast_counted(written: DataFrame, values: Column | None = None) -> DataFrame:
+    """Hint a broadcast of a table just written when its values, counted, are few enough; `values` is their
+    number in a row (one per column if not given). Beyond that the join stays with AQE, which shuffles and
+    splits skewed partitions."""
+    per_row = F.lit(len(written.columns)) if values is None else values
+    held = written.agg(F.sum(per_row.cast("bigint"))).first()[0] or 0
+    return F.broadcast(written) if 8 * held <= BROADCAST_BYTES else written
