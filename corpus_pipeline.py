@@ -34,7 +34,7 @@ def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids, and digests of the ids and of the decoded text, in place of the text."""
-    return trie_bpe.encode_documents(docs, ids=True).drop("text")
+    return trie_bpe.encode_documents(docs, ids=True, keep_words=False).drop("text")
 
 
 STAGES = [

@@ -29,10 +29,10 @@ from tokenizers import Tokenizer
 from tidewatch.llm.common import chunks_of, free_name
 
 #: Words kept per Python worker; when full, only those of the slice at hand stay.
-MOST_WORDS = 200_000
+MOST_WORDS = 400_000
 
 #: Pairs of tokens whose merging is remembered per Python worker.
-MOST_PAIRS = 250_000
+MOST_PAIRS = 500_000
 
 #: Words longer than this many characters are not kept.
 LONG_WORD = 64
@@ -194,6 +194,10 @@ class WordEncoder:
             self.texts[word] = " ".join(found)
         gc.enable()
 
+    def forget(self) -> None:
+        self.packed, self.texts = {}, {}
+        self.merges.apart, self.merges.whole = {}, {}
+
     def split(self, text: str) -> list[str]:
         """Special tokens and, between them, runs without space or line feed (no piece holds either)."""
         if self.special is None or not self.special.search(text):
@@ -228,12 +232,13 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def encode_documents(docs: DataFrame, text: str = "text", path: str | None = None,
-                     ids: bool = False, digests: bool = True) -> DataFrame:
+                     ids: bool = False, digests: bool = True, keep_words: bool = True) -> DataFrame:
     """The rows of `docs` with `n_tokens` and, as asked, `ids` (array) and `ids_sha256`, `decoded_sha256`.
 
     Null and empty texts have no ids, and the digests of nothing. Each row stands for itself, so ties and
     repeated rows have no effect; an empty table gives no rows. Added columns that `docs` has already
-    get underscores appended.
+    get underscores appended. `keep_words` leaves a Python worker its words for the next task; without it the memory
+    is free for what the worker does next.
     """
     path = path or default_vocabulary()
     names = ["n_tokens", *(["ids"] if ids else []), *(["ids_sha256", "decoded_sha256"] if digests else [])]
@@ -253,6 +258,8 @@ def encode_documents(docs: DataFrame, text: str = "text", path: str | None = Non
                 columns.append(pa.array([hashlib.sha256(i).hexdigest() for i, _ in found], pa.string()))
                 columns.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for _, t in found], pa.string()))
             yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *names.values()])
+        if not keep_words:
+            worker.forget()
 
     return docs.mapInArrow(encode, schema)
 
