@@ -143,7 +143,8 @@ class Block:
         return int(self.starts[-1])
 
     def read(self, start: int, stop: int) -> np.ndarray:
-        """Ids `start` to `stop`, expanding only the symbols that hold them."""
+        """Ids `start` to `stop`, or to the end, expanding only the symbols that hold them."""
+        stop = min(stop, len(self))
         if stop <= start:
             return np.empty(0, np.uint32)
         a = int(np.searchsorted(self.starts, start, "right")) - 1
