@@ -124,6 +124,8 @@ def test_zero_pad(spark):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = [r[0] for r in df.select(fn.zero_pad(F.col("x"), 10)).collect()]
     assert got == [t.zfill(10) if t else None for t in texts]
+    numbers = spark.createDataFrame([(12345.0,), (-7.0,)], "x double")
+    assert [r[0] for r in numbers.select(fn.zero_pad(F.col("x"), 10)).collect()] == ["0000012345", "-000000007"]
 
 
 def test_value_score_edges(spark):
