@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch import runtime
 from tidewatch.runtime import broadcast_counted, materialize, shared_folder, tasks_for
@@ -24,17 +25,33 @@ def test_periods_meet_by_name(spark, tmp_path):
         readers.read_raw(spark, str(tmp_path), [1], fmt="xls")
 
 
-def test_folder_scan_takes_period_from_name_and_refuses_other_headers(spark, tmp_path):
+def test_folder_scan_takes_period_from_name_and_meets_headers_by_name(spark, tmp_path):
     write(tmp_path, "p3_extrac.csv", "a,b\n1,x\n")
     write(tmp_path, "p14_extrac.csv", "a,b\n2,y\n")
     write(tmp_path, "notes.txt", "z\n")
     rows = sorted((r["period"], r["a"]) for r in readers.read_folder(spark, str(tmp_path)).collect())
     assert rows == [(3, "1"), (14, "2")]
+
     write(tmp_path, "p15_extrac.csv", "b,a\nq,9\n")
+    write(tmp_path, "p16_extrac.csv", "c,a\n7,8\n")
+    write(tmp_path, "p18_extrac.csv", "")
+    parts = tmp_path / "p17_extrac.csv"
+    parts.mkdir()
+    write(parts, "part-0.csv", "a,b\n5,s\n")
+    write(parts, "part-1.csv", "a,b\n6,t\n")
+    df = readers.read_folder(spark, str(tmp_path))
+    rows = sorted((r["period"], r["a"], r["b"], r["c"]) for r in df.fillna("-").collect())
+    assert rows == [(3, "1", "x", "-"), (14, "2", "y", "-"), (15, "9", "q", "-"), (16, "8", "-", "7"),
+                    (17, "5", "s", "-"), (17, "6", "t", "-")]
+    typed = T.StructType([T.StructField("b", T.StringType()), T.StructField("a", T.IntegerType())])
+    df = readers.read_folder(spark, str(tmp_path), schema=typed)
+    assert df.columns == ["b", "a", "period"] and df.agg(F.sum("a"), F.count("b")).first()[:] == (31, 5)
+
+    write(parts, "part-2.csv", "b,a\nu,7\n")  # parts of one file must agree
     with pytest.raises(Exception):
-        readers.read_folder(spark, str(tmp_path), schema=readers.strings(["a", "b"])).collect()
+        readers.read_folder(spark, str(tmp_path)).collect()
     (tmp_path / "empty").mkdir()
-    with pytest.raises(Exception):
+    with pytest.raises(FileNotFoundError):
         readers.read_folder(spark, str(tmp_path / "empty")).collect()
 
 

@@ -16,6 +16,7 @@ REFERENCE_PARTS = ("raw", "pre", "scores", "replica")
 
 PERIOD_IN_NAME = r".*\bp(\d+)_"
 MODEL_IN_NAME = r".*\bp\d+_([^_./]+)"
+PERIOD_FILE = r"^(.*/p\d+_[^/]*\.csv)"
 
 
 def strings(columns: Iterable[str]) -> T.StructType:
@@ -62,15 +63,40 @@ def read_periods(spark: SparkSession, folder: str, periods: Iterable[int], model
     return out
 
 
+def _units(spark: SparkSession, folder: str) -> list[str]:
+    """Files below a folder to be scanned as one: a period file, or a period's folder of parts. Only the
+    listing is read, and as many names come back as there are such files."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+             .option("recursiveFileLookup", True).load(folder).select("path"))
+    period_file = F.regexp_extract("path", PERIOD_FILE, 1)
+    unit = F.when(period_file != "", period_file).otherwise(F.col("path"))
+    return sorted(r["unit"] for r in files.select(unit.alias("unit")).distinct().collect())
+
+
 def read_folder(spark: SparkSession, folder: str, schema: T.StructType | None = None,
                 drop_bad_rows: bool = False, skip_corrupt_files: bool = False) -> DataFrame:
-    """Every CSV file of a folder in one scan, the period taken from the file name. Unreadable files
-    and rows stop the job unless the caller opts to skip them; a folder without CSV files is an error."""
-    df = _csv(spark, folder, schema, drop_bad_rows, skip_corrupt_files, pathGlobFilter="*.csv",
-              recursiveFileLookup=True)
-    if not df.columns:
+    """Every CSV file of a folder, the period taken from the file name. Files are met by column name: those
+    of one header are one scan, and a column that some lack is NULL in their rows. With a `schema` its
+    columns are returned, in its order and types. Unreadable files and rows stop the job unless the
+    caller opts to skip them; a folder without CSV files is an error, files without a header have no rows."""
+    options = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for unit in _units(spark, folder):
+        header = tuple(_csv(spark, unit, None, drop_bad_rows, skip_corrupt_files, **options).columns)
+        if header:
+            by_header.setdefault(header, []).append(unit)
+    if not by_header:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    return df.select("*", period_from_path(F.col("_metadata.file_path")).alias("period"))
+    typed = {field.name: field for field in schema or ()}
+    out = None
+    for header, units in by_header.items():
+        own = T.StructType([typed.get(c, T.StructField(c, T.StringType())) for c in header]) if typed else None
+        part = _csv(spark, units, own, drop_bad_rows, skip_corrupt_files, **options)
+        wanted = [(F.col(f"`{c}`") if c in header else F.lit(None).cast(f.dataType)).alias(c)
+                  for c, f in typed.items()] or ["*"]
+        part = part.select(*wanted, period_from_path(F.col("_metadata.file_path")).alias("period"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_raw(spark: SparkSession, folder: str, periods: Iterable[int], model: str = "extrac",
