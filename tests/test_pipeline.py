@@ -14,6 +14,9 @@ from tidewatch.plans.monitoring import run_monitoring_phase
 from tidewatch.plans.training import run_training_phase
 from tidewatch.runtime import materialize
 
+SMALL_SETTINGS = {"gbt": {"maxIter": 8, "maxDepth": 3}, "forest": {"numTrees": 8, "maxDepth": 4},
+                  "logistic": {"maxIter": 20}}
+
 
 @pytest.fixture(scope="module")
 def sets(spark, sf):
@@ -22,7 +25,7 @@ def sets(spark, sf):
 
 def test_candidates_champion_and_registry(spark, sets, tmp_path):
     train, test, features = sets
-    fitted = fit_candidates(train, features, "target", "row_id", settings=Q.SMALL_SETTINGS)
+    fitted = fit_candidates(train, features, "target", "row_id", settings=SMALL_SETTINGS)
     metrics = evaluate(fitted, train, test, "target")
     rows = {r["ml_name"]: r for r in metrics.collect()}
     assert set(rows) == {"gbt", "forest", "logistic"} and all(0.5 < r["auc_train"] <= 1 for r in rows.values())
@@ -63,7 +66,7 @@ def test_training_then_monitoring(spark, sf, tmp_path):
     with pytest.raises(FileNotFoundError, match="raw"):
         run_monitoring_phase(spark, raw, params, root)
     trained = run_training_phase(spark, raw, params, root, dt.date(2024, 1, 31), families=["logistic"],
-                                 settings=Q.SMALL_SETTINGS)
+                                 settings=SMALL_SETTINGS)
     got = {(r["stage"], r["period"]): r["psi_medio"] for r in trained["stage_summary"].collect()}
     assert set(got) == {(s, p) for s in ("raw", "pre") for p in (2, 3, 4)} | {("score", 1), ("grupo", 1)}
     assert got["score", 1] == 0 and got["grupo", 1] == 0 and all(v is not None for v in got.values())
@@ -75,7 +78,12 @@ def test_training_then_monitoring(spark, sf, tmp_path):
     assert tables["traffic_light"].count() == 3 and tables["stage_grid"].count() == 12
     assert tables["psi_matrix_pre"].columns == ["feature", "p5", "p6", "p99"]
     assert tables["delivery"].select("period").distinct().count() == 2
-    assert spark.read.parquet(f"{root}/metric_history").count() == len([r for r in rows.values() if r["psi_medio"] is not None])
+    history = spark.read.parquet(f"{root}/metric_history").where("run_id like 'monitoring%'")
+    assert history.where("ts is not null").count() == len([r for r in rows.values() if r["psi_medio"] is not None])
+    records = spark.read.parquet(f"{root}/stage_records").where("run_id like 'monitoring%'").collect()
+    assert len(records) == 12 and all(r["ts"] and r["duration_s"] > 0 for r in records)
+    assert all((r["values_compared"] > 0) == (r["period"] != 99) for r in records if r["stage"] != "grupo")
+    assert spark.read.parquet(f"{root}/drift_raw").select("run_id").distinct().count() == 2
     again = run_training_phase(spark, raw, params, root, dt.date(2024, 1, 31), retrain=False)
     assert "metrics" not in again and reg.registry(spark, f"{root}/models").count() == 1
 
@@ -84,7 +92,7 @@ def test_no_champion_leaves_production_alone(spark, sf, tmp_path):
     raw = materialize(Q.raw_with_target(spark, sf), "raw")
     params = replace(fx.PARAMS, max_decay_pct=-1000.0)
     with pytest.raises(RuntimeError, match="production keeps"):
-        run_training_phase(spark, raw, params, str(tmp_path / "e"), families=["logistic"], settings=Q.SMALL_SETTINGS)
+        run_training_phase(spark, raw, params, str(tmp_path / "e"), families=["logistic"], settings=SMALL_SETTINGS)
     assert reg.production_folder(spark, str(tmp_path / "e/models"), params.model_name) is None
     assert isinstance(Candidate("logistic", None, 0.0, {}).settings, dict)
 

@@ -279,6 +279,8 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 def sql() -> dict[str, str]:
     month_count = "select {0}::varchar as fmt, period, count(*) as n, round(sum(o_totalprice), 2) as total from o group by all"
+    learners = """select unnest(['gbt', 'forest', 'logistic']) as ml_name, true as auc_in_bounds,
+        true as decay_holds, true as timed"""
     orders_cte = "o as (select cast(year(o_orderdate) - 1994 as int) as period, o_orderpriority, o_totalprice from orders)"
     return {
         "scan_period_union": f"""with {orders_cte}
@@ -286,6 +288,14 @@ def sql() -> dict[str, str]:
                    round(sum(o_totalprice), 2) as total from o group by all""",
         "scan_csv_roundtrip": f"with {orders_cte} " + " union all ".join(
             month_count.format(f"'{fmt}'") for fmt in ("csv", "folder", "parquet")),
+        "scan_folder_by_name": """select cast(year(o_orderdate) - 1994 as int) as period, count(*) as n,
+            count(o_orderpriority) as n_priority,
+            count(case when (year(o_orderdate) - 1994) % 3 = 2 then o_orderstatus end) as n_status,
+            min(o_orderpriority) as first_priority, round(sum(o_totalprice), 2) as total from orders group by period""",
+        "feature_tables": f"""with {SCORED} {"union all".join(f"""
+            select '{name}' as name, period, count(*) as n, round(min({value}), 6) as low, round(max({value}), 6) as high
+            from scored group by period """ for name, value in (
+                ('features', 'coalesce(sum_qty::float, -9999999::float)::double'), ('post', 'monto::double'), ('scores', 'prob')))}""",
         "clean_null_tokens": f"""with {TEXTS}
             select row_id, case when raw_value not in ('', 'null', 'None') then o_totalprice::float::double end as value
             from texts""",
@@ -335,6 +345,18 @@ def sql() -> dict[str, str]:
             select 'raw' as stage, period::int as period, true as timed, 0.0::double as ram_delta_mb,
                    round(avg(round_even(psi, 5)), 6) as psi_medio from d_psi where {ENOUGH} group by period
             union all select 'score', p::int, true, 0.0::double, null from (select unnest([5, 6]) as p)""",
+        "stored_run": f"""{RAW},
+            record as (select period::int as period, count(*) as report_rows, sum(n_actual)::bigint as values_compared,
+                              round(avg(round_even(psi, 5)), 6) as psi_medio, max(round_even(psi, 5)) as worst
+                       from d_psi where {ENOUGH} group by period)
+            select 'run-1' as run_id, '2024-01-31 08:30' as at, 'raw' as stage, period, false as failed, report_rows,
+                   values_compared, psi_medio, psi_medio as value, worst from record
+            union all select 'run-1', '2024-01-31 08:30', 'score', p::int, true, 0::bigint, 0::bigint, null, null, null
+            from (select unnest([5, 6]) as p)""",
+        "train_candidates": learners, "hpo_search": learners,
+        "batch_inference": f"with {BASE} select row_id, period, true as is_probability from base",
+        "model_registry": """select 'extrac' as model_name, folder, version, 'produccion' as stage, true as auc_in_bounds
+            from (values ('2024-01-01_00-00-00', 1), ('2024-01-02_00-00-00', 2)) as v(folder, version)""",
         "rolling_psi": f"""with {RUNS}, {rolled('history')}
             select stage, period, round(rolling_psi, 6) as rolling_psi from rolled""",
         "run_summary": f"""with {RUNS} select stage, period, {BAND.format('psi_medio')} as status, psi_medio

@@ -23,7 +23,9 @@ from tidewatch.operators.ranking import (
     best_per_key, exact_split, execution_groups, hash_split, rank_rows,
 )
 from tidewatch.operators.quantiles import exact_cuts
-from tidewatch.plans.monitoring import monitor_stage, run_monitoring_phase, stage_runs, summarise
+from tidewatch.plans.monitoring import (
+    monitor_stage, run_monitoring_phase, stage_runs, store_run, summarise,
+)
 from tidewatch.plans.prepare import prepare, split_sets
 from tidewatch.plans.training import run_training_phase
 from tidewatch.runtime import materialize, new_folder
@@ -32,8 +34,6 @@ from tidewatch.sources import readers, writers
 Query = Callable[[SparkSession, str], DataFrame]
 
 Q = 10
-YEARS = range(1, 8)
-DAYS = range(1, 31)
 RUN_DATE = dt.date(2024, 1, 31)
 SPEC = fx.SPEC
 
@@ -57,7 +57,7 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
 def scan_period_union(spark, sf):
     """Period frames met by column name; the first one lacks a column."""
     orders, union = _orders(spark, sf), None
-    for period in YEARS:
+    for period in R.known_values(orders, "period"):
         part = orders.where(F.col("period") == period)
         part = part.drop("o_orderpriority") if period == 1 else part
         union = part if union is None else union.unionByName(part, allowMissingColumns=True)
@@ -69,13 +69,14 @@ def scan_period_union(spark, sf):
 def scan_csv_roundtrip(spark, sf):
     """Orders as period CSV files and as a parquet folder, read back by period list, by folder, and typed."""
     orders, csv, parquet = _orders(spark, sf), new_folder(spark, "csv"), new_folder(spark, "parquet")
-    for period in YEARS:
+    years = R.known_values(orders, "period")
+    for period in years:
         writers.write_csv(orders.where(F.col("period") == period).drop("period"), f"{csv}/p{period}_extrac.csv")
     writers.write_table(orders, parquet)
     reads = {
-        "csv": readers.read_periods(spark, csv, YEARS),
+        "csv": readers.read_periods(spark, csv, years),
         "folder": readers.read_folder(spark, csv),
-        "parquet": readers.read_raw(spark, parquet, YEARS, fmt="parquet"),
+        "parquet": readers.read_raw(spark, parquet, years, fmt="parquet"),
     }
     out = None
     for name, df in reads.items():
@@ -86,6 +87,21 @@ def scan_csv_roundtrip(spark, sf):
     return out
 
 
+def scan_folder_by_name(spark, sf):
+    """Period CSV files of one folder with their columns in other orders, some with one column more."""
+    orders = fx.table(spark, sf, "orders").withColumn("period", F.year("o_orderdate") - 1994)
+    folder = new_folder(spark, "folder")
+    layouts = (["o_totalprice", "o_orderpriority"], ["o_orderpriority", "o_totalprice"],
+               ["o_orderstatus", "o_totalprice", "o_orderpriority"])
+    for period in R.known_values(orders, "period"):
+        columns = layouts[period % len(layouts)]
+        writers.write_csv(orders.where(F.col("period") == period).select(columns), f"{folder}/p{period}_extrac.csv")
+    return readers.read_folder(spark, folder).groupBy("period").agg(
+        F.count(F.lit(1)).alias("n"), F.count("o_orderpriority").alias("n_priority"),
+        F.count("o_orderstatus").alias("n_status"), F.min("o_orderpriority").alias("first_priority"),
+        F.round(F.sum(F.col("o_totalprice").cast("double")), 2).alias("total"))
+
+
 # Cleaning and projections
 
 def _texts(spark, sf):
@@ -140,6 +156,22 @@ def project_post(spark, sf):
     return rounded(C.project_post(_prepared(spark, sf), SPEC), "prob_value_contact")
 
 
+def feature_tables(spark, sf):
+    """Features, attributes and scores written as three tables and read back."""
+    clean, paths = _prepared(spark, sf), {n: new_folder(spark, n) for n in ("features", "post", "scores")}
+    writers.write_features(clean, SPEC, paths["features"])
+    writers.write_post(clean, SPEC, paths["post"])
+    writers.write_scores(fx.scored(spark, sf), SPEC, paths["scores"], "prob")
+    out = None
+    for name, column in (("features", "sum_qty"), ("post", "monto"), ("scores", "prob")):
+        value = F.col(column).cast("double")
+        part = spark.read.parquet(paths[name]).groupBy("period").agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.min(value), 6).alias("low"), F.round(F.max(value), 6).alias("high"))
+        part = part.select(F.lit(name).alias("name"), "period", "n", "low", "high")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _order_ids(spark, sf):
     return fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"))
 
@@ -354,7 +386,8 @@ def score_density(spark, sf):
 
 
 def stage_period_grid(spark, sf):
-    return rounded(R.stage_grid(_history(spark, sf), DAYS), "rolling_psi")
+    history = _history(spark, sf)
+    return rounded(R.stage_grid(history, R.known_values(history, "period")), "rolling_psi")
 
 
 def group_matrix(spark, sf):
@@ -362,7 +395,8 @@ def group_matrix(spark, sf):
 
 
 def traffic_light(spark, sf):
-    return R.traffic_light(_history(spark, sf), DAYS)
+    history = _history(spark, sf)
+    return R.traffic_light(history, R.known_values(history, "period"))
 
 
 def ops_timeline(spark, sf):
@@ -382,7 +416,8 @@ def ops_duration_pivot(spark, sf):
 
 
 def ops_ram_pivot(spark, sf):
-    return R.memory_pivot(fx.stage_runs(spark, sf), DAYS)
+    runs = fx.stage_runs(spark, sf)
+    return R.memory_pivot(runs, R.known_values(runs, "period"))
 
 
 def metric_history(spark, sf):
@@ -427,9 +462,7 @@ def champion_query(spark, sf):
     return rounded(champion(_decay(spark, sf), FAMILIES).select("ml_name", "auc_test"), "auc_test")
 
 
-# Quick settings: the queries show the work, the defaults are the library's.
-SMALL_SETTINGS = {"gbt": {"maxIter": 8, "maxDepth": 3}, "forest": {"numTrees": 8, "maxDepth": 4},
-                  "logistic": {"maxIter": 20}}
+# Narrow ranges for the search: the library's take 135 fits of up to 500 rounds each.
 SMALL_SPACES = {
     "gbt": {"maxIter": whole(3, 6), "stepSize": real(0.05, 0.2), "maxDepth": whole(2, 4)},
     "forest": {"numTrees": whole(3, 8), "maxDepth": whole(3, 5), "featureSubsetStrategy": column_share(0.7, 0.3)},
@@ -448,22 +481,31 @@ def _sets(spark, sf):
     return prepare_sets(train, test, SPEC.target, keep=[SPEC.row_id])
 
 
+def _evaluated(metrics: DataFrame) -> DataFrame:
+    """What holds of any fit: AUCs better than chance and at most 1, and the decay that follows from them."""
+    train, test = F.col("auc_train"), F.col("auc_test")
+    return metrics.select(
+        "ml_name", (train.between(0.5, 1) & test.between(0.5, 1)).alias("auc_in_bounds"),
+        (F.abs(F.col("decay_percent") - (train - test) / train * 100) < 1e-9).alias("decay_holds"),
+        (F.col("training_time_segs") > 0).alias("timed"))
+
+
 def train_candidates(spark, sf):
     train, test, features = _sets(spark, sf)
-    fitted = fit_candidates(train, features, SPEC.target, SPEC.row_id, settings=SMALL_SETTINGS)
-    return evaluate(fitted, train, test, SPEC.target)
+    return _evaluated(evaluate(fit_candidates(train, features, SPEC.target, SPEC.row_id), train, test, SPEC.target))
 
 
 def hpo_search(spark, sf):
     train, test, features = _sets(spark, sf)
     found = search(train, features, SPEC.target, SPEC.row_id, spaces=SMALL_SPACES, n_iter=2, folds=3)
-    return evaluate(found, train, test, SPEC.target)
+    return _evaluated(evaluate(found, train, test, SPEC.target))
 
 
 def batch_inference_query(spark, sf):
     train, _, features = _sets(spark, sf)
-    fitted = fit_candidates(train, features, SPEC.target, SPEC.row_id, families=["logistic"], settings=SMALL_SETTINGS)
-    return batch_inference(fitted[0].model, prepare(fx.base(spark, sf), SPEC), ["row_id", "period"])
+    fitted = fit_candidates(train, features, SPEC.target, SPEC.row_id, families=["logistic"])
+    scored = batch_inference(fitted[0].model, prepare(fx.base(spark, sf), SPEC), ["row_id", "period"])
+    return scored.select("row_id", "period", F.col("predictions").between(0, 1).alias("is_probability"))
 
 
 def model_registry(spark, sf):
@@ -471,11 +513,12 @@ def model_registry(spark, sf):
     train, test, features = _sets(spark, sf)
     root = new_folder(spark, "models")
     for day, family in enumerate(("logistic", "forest"), start=1):
-        fitted = fit_candidates(train, features, SPEC.target, SPEC.row_id, [family], settings=SMALL_SETTINGS)
+        fitted = fit_candidates(train, features, SPEC.target, SPEC.row_id, [family])
         row = evaluate(fitted, train, test, SPEC.target).first().asDict()
         folder = reg.save_model(spark, fitted[0], row, root, dt.datetime(2024, 1, day))
         reg.promote(spark, root, "extrac", folder, row["auc_test"])
-    return reg.registry(spark, root).drop("registered_at")
+    return reg.registry(spark, root).select(
+        "model_name", "folder", "version", "stage", F.col("auc_test").between(0.5, 1).alias("auc_in_bounds"))
 
 
 def _phase(spark, sf) -> tuple[DataFrame, str]:
@@ -486,27 +529,47 @@ def _phase(spark, sf) -> tuple[DataFrame, str]:
 
 def training_phase(spark, sf):
     raw, root = _phase(spark, sf)
-    return run_training_phase(spark, raw, fx.PARAMS, root, RUN_DATE, settings=SMALL_SETTINGS)["stage_summary"]
+    return run_training_phase(spark, raw, fx.PARAMS, root, RUN_DATE)["stage_summary"]
 
 
 def monitoring_phase(spark, sf):
     raw, root = _phase(spark, sf)
-    run_training_phase(spark, raw, fx.PARAMS, root, RUN_DATE, families=["logistic"], settings=SMALL_SETTINGS)
+    run_training_phase(spark, raw, fx.PARAMS, root, RUN_DATE)
     return run_monitoring_phase(spark, raw.drop("target"), fx.PARAMS, root, RUN_DATE)["stage_summary"]
 
 
-def stage_run_records(spark, sf):
-    """Operational rows of two stages, one of which fails and is kept with its error."""
+def _two_stages(spark, sf):
+    """Two stages, one of which fails: the base has no scores."""
     base, monitored = _base(spark, sf), fx.MONITORED_PERIODS
-    results = [
+    return [
         monitor_stage(spark, "raw", lambda: D.psi_report(*halves(base), Q, fx.NUMERIC), monitored),
         monitor_stage(spark, "score", lambda: D.score_drift(*halves(base), "predictions", Q), monitored),
     ]
+
+
+def stage_run_records(spark, sf):
+    """Operational rows of two stages, one of which fails and is kept with its error."""
+    results, monitored = _two_stages(spark, sf), fx.MONITORED_PERIODS
     timeline = R.ops_timeline(stage_runs(spark, results, monitored), summarise(results))
     timed = (F.col("duration_s") > 0).alias("timed")
     return rounded(timeline.select("stage", "period", timed, "ram_delta_mb", "psi_medio"), "psi_medio")
 
 
+def stored_run(spark, sf):
+    """Stage records of a run, met with its stored drift reports and metric history, read back from their tables."""
+    root = new_folder(spark, "engine")
+    store_run(spark, root, "run-1", _two_stages(spark, sf), fx.MONITORED_PERIODS, dt.datetime(2024, 1, 31, 8, 30))
+    records, history, report = (spark.read.parquet(f"{root}/{n}") for n in ("stage_records", "metric_history", "drift_raw"))
+    named = records.withColumn("name", F.format_string("psi_%s_p%d", "stage", "period"))
+    worst = report.groupBy("run_id", "period").agg(F.max("psi").alias("worst")).withColumn("stage", F.lit("raw"))
+    joined = (named.join(history.drop("ts"), ["run_id", "name"], "left")
+              .join(worst, ["run_id", "stage", "period"], "left"))
+    return joined.select(
+        "run_id", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("at"), "stage", "period",
+        F.col("error").isNotNull().alias("failed"), "report_rows", "values_compared",
+        F.round("psi_medio", 6).alias("psi_medio"), F.round("value", 6).alias("value"), "worst")
+
+
 def queries() -> dict[str, Query]:
     plain = [
         scan_period_union, scan_csv_roundtrip, clean_null_tokens, fill_sentinel, missing_counts, collapse_category,
@@ -516,7 +579,8 @@ def queries() -> dict[str, Query]:
         exec_groups, dedup_best, order_rank, delivery_file, delivery_roundtrip, psi_matrix_topn, score_density,
         stage_period_grid, group_matrix, traffic_light, ops_timeline, ops_alerts, ops_first_alerts,
         ops_duration_pivot, ops_ram_pivot, metric_history, latest_model, auc_decay, train_candidates, hpo_search,
-        model_registry, training_phase, monitoring_phase, stage_run_records,
+        model_registry, training_phase, monitoring_phase, stage_run_records, stored_run,
+        scan_folder_by_name, feature_tables,
     ]
     named = {f.__name__: f for f in plain}
     named.update(hash_split=hash_split_query, exact_split=exact_split_query, roc_auc=roc_auc_query,

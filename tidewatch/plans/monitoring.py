@@ -6,6 +6,7 @@ import datetime as dt
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -89,6 +90,38 @@ def stage_runs(spark: SparkSession, results: Sequence[StageResult], periods: Seq
     return df.withColumns({c: F.lit(None).cast("double") for c in R.OPS_FIELDS if c != "duration_s"})
 
 
+def stage_records(spark: SparkSession, results: Sequence[StageResult], periods: Sequence[int]) -> DataFrame:
+    """`stage_runs` with what came of each stage: psi_medio, the rows of its report and the values they
+    compare (0 where a stage failed)."""
+    records = stage_runs(spark, results, periods).join(
+        R.stage_summary({r.stage: r.summary for r in results}), ["stage", "period"], "left")
+    counted = [r.report.groupBy("period").agg(F.count(F.lit(1)).alias("report_rows"),
+                                              F.sum("n_actual").alias("values_compared"))
+               .withColumn("stage", F.lit(r.stage)) for r in results if r.report is not None]
+    if not counted:
+        zero = F.lit(0).cast("long")
+        return records.withColumns({"report_rows": zero, "values_compared": zero})
+    sizes = reduce(DataFrame.unionByName, counted)
+    return records.join(sizes, ["stage", "period"], "left").fillna(0, ["report_rows", "values_compared"])
+
+
+def store_run(spark: SparkSession, root: str, run_id: str, results: Sequence[StageResult],
+              periods: Sequence[int], at: dt.datetime | None = None) -> None:
+    """Append a run's stage records, drift reports and metric history to the tables in `root`, each row
+    with the run's name and time. Reports of a stage go to `drift_{stage}`."""
+    mark = {"run_id": F.lit(run_id), "ts": F.lit(at or dt.datetime.now())}
+
+    def append(df: DataFrame, name: str) -> None:
+        df.withColumns(mark).write.mode("append").parquet(f"{root}/{name}")
+
+    append(stage_records(spark, results, periods).coalesce(1), "stage_records")
+    append(R.metric_history(R.stage_summary({r.stage: r.summary for r in results}), run_id).coalesce(1),
+           "metric_history")
+    for result in results:
+        if result.report is not None:
+            append(result.report, f"drift_{result.stage}")
+
+
 def stage_reports(spark: SparkSession, params: MonitorParams, periods: Sequence[int], raw: DataFrame | None,
                   prepared: DataFrame | None, scores: DataFrame | None, replica: DataFrame | None,
                   profiles: dict[str, Profile]) -> list[StageResult]:
@@ -131,7 +164,8 @@ def run_monitoring_phase(spark: SparkSession, raw: DataFrame, params: MonitorPar
                          run_date: dt.date | None = None) -> dict[str, DataFrame]:
     """Prepare, score, deliver and watch all monitored periods at once. Returns the report tables.
 
-    `raw` needs row identity and period; `root` holds what the training phase stored.
+    `raw` needs row identity and period; `root` holds what the training phase stored, and takes the run's
+    stage records, drift reports and metric history.
     """
     spec, periods = params.spec, list(params.monitoring_periods)
     load_reference(spark, root)
@@ -174,6 +208,6 @@ def run_monitoring_phase(spark: SparkSession, raw: DataFrame, params: MonitorPar
     if by_stage.get("grupo") is not None:
         tables["drift_grupo"] = by_stage["grupo"]
         tables["group_matrix"] = R.group_matrix(by_stage["grupo"], periods, params.group_col)
-    run_id = f"monitoring_{dt.datetime.now():%Y%m%d_%H%M%S}"
-    R.metric_history(summary, run_id).coalesce(1).write.mode("append").parquet(f"{root}/metric_history")
+    now = dt.datetime.now()
+    store_run(spark, root, f"monitoring_{now:%Y%m%d_%H%M%S}", results, periods, now)
     return tables

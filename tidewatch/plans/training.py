@@ -17,7 +17,7 @@ from tidewatch.operators import drift as D
 from tidewatch.operators.delivery import postprocess
 from tidewatch.params import MonitorParams
 from tidewatch.plans.monitoring import (
-    build_profile, monitor_stage, raw_columns, stage_reports, stage_runs, summarise,
+    build_profile, monitor_stage, raw_columns, stage_reports, stage_runs, store_run, summarise,
 )
 from tidewatch.plans.prepare import prepare, split_sets, typed_raw
 from tidewatch.sources.writers import write_delivery, write_table
@@ -98,6 +98,9 @@ def run_training_phase(spark: SparkSession, raw: DataFrame, params: MonitorParam
         by=(params.group_col,))
     reference = stage_reports(spark, params, [first], None, None, scored, replica, profiles)
 
+    now = dt.datetime.now()
+    for results, watched_periods in ((in_sample, later), (reference, [first])):
+        store_run(spark, root, f"training_{now:%Y%m%d_%H%M%S}", results, watched_periods, now)
     summary = summarise([*in_sample, *reference])
     runs = stage_runs(spark, in_sample, later).unionByName(stage_runs(spark, reference, [first]))
     tables = {"stage_summary": summary, "stage_runs": runs, "delivery": replica}

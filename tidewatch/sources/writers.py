@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidewatch.operators.cleaning import project_features, project_post
 from tidewatch.params import FeatureSpec
@@ -54,9 +53,3 @@ def save_reference(parts: dict[str, DataFrame], root: str) -> str:
     for part, df in parts.items():
         df.write.mode("overwrite").parquet(f"{root}/reference_{part}")
     return root
-
-
-def append_rows(df: DataFrame, path: str) -> str:
-    """Append to a log table (runs, metrics, registry)."""
-    df.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
-    return path
