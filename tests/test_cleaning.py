@@ -46,6 +46,8 @@ def test_one_hot_null_and_unseen_values(spark):
     assert C.one_hot(df, "cat").columns == ["id", "cat_X", "cat_new"]
     with pytest.raises(ValueError, match="more than 1"):
         C.category_values(df, "cat", most=1)
+    with pytest.raises(ValueError):
+        C.one_hot(df, "cat", most=1)
 
 
 def test_normalise_and_align(spark):
@@ -77,7 +79,8 @@ def test_typed_raw_fills_nothing(spark):
 def test_row_id_from_key_or_position(spark):
     spec = FeatureSpec(row_id="rid")
     assert [r["rid"] for r in with_row_id(raw(spark), spec, "key_value").collect()] == ["k1", "k2", "k3"]
-    assert with_row_id(raw(spark), spec).select("rid").distinct().count() == 3
+    numbered = with_row_id(raw(spark), spec)
+    assert numbered.select("rid").distinct().count() == 3 and numbered.inputFiles()
 
 
 def test_split_sets_cover_all_rows_once(spark):

@@ -139,7 +139,8 @@ def test_value_score_edges(spark):
 def test_delivery_file_roundtrip(spark, tmp_path):
     _, df = scored(spark, 200)
     replica = DL.postprocess(df, SPEC, dt.date(2024, 3, 9))
-    path = writers.write_delivery(replica, str(tmp_path / "delivery"))
+    path = writers.write_delivery(replica, str(tmp_path / "delivery"), rows_per_task=40)
+    assert len(list((tmp_path / "delivery").rglob("*.csv"))) > replica.select("period").distinct().count()
     lines = [p.read_text().splitlines() for p in sorted((tmp_path / "delivery").rglob("*.csv"))]
     assert all(x[0] == "|".join(DL.DELIVERY_ORDER) for x in lines)
     assert all(x.endswith("|") and '"' not in x for block in lines for x in block[1:])

@@ -38,6 +38,8 @@ def test_candidates_champion_and_registry(spark, sets, tmp_path):
     for day in (1, 2):
         folder = reg.save_model(spark, winner, row, root, dt.datetime(2024, 1, day))
         assert reg.promote(spark, root, "m", folder, row["auc_test"]) == day
+    with pytest.raises(Exception):
+        reg.save_model(spark, winner, row, root, dt.datetime(2024, 1, 2))
     with pytest.raises(ValueError):
         reg.promote(spark, root, "m", None, None)
     assert reg.production_folder(spark, root, "m") == folder == "2024-01-02_00-00-00"

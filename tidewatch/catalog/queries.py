@@ -353,7 +353,8 @@ def delivery_file(spark, sf):
 
 
 def delivery_roundtrip(spark, sf):
-    path = writers.write_delivery(_replica(_base(spark, sf, None)), new_folder(spark, "delivery"))
+    replica = materialize(_replica(_base(spark, sf, None)), "replica")
+    path = writers.write_delivery(replica, new_folder(spark, "delivery"))
     df = readers.read_delivery(spark, path)
     return rounded(df.select("period", "codmes", "coddoc", "grupo_ejec", "score", "orden", "variable1", "variable2"),
                    "score")

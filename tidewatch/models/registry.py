@@ -36,10 +36,11 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def save_model(spark: SparkSession, candidate: Candidate, performance: dict, root: str,
                now: dt.datetime | None = None) -> str:
-    """Write the fitted pipeline and a metadata row; returns the folder name."""
+    """Write the fitted pipeline and a metadata row; returns the folder name. A folder that is there already,
+    from a run in the same second, is an error: stored models are never replaced."""
     now = now or dt.datetime.now()
     folder = now.strftime(FOLDER_TIME)
-    candidate.model.write().overwrite().save(f"{root}/{folder}/model")
+    candidate.model.write().save(f"{root}/{folder}/model")
     learner = candidate.model.stages[-1]
     settings = {p.name: v for p, v in learner.extractParamMap().items()} | dict(candidate.settings)
     row = (candidate.family, folder, json.dumps(performance, default=str),
@@ -84,9 +85,9 @@ def promote(spark: SparkSession, root: str, model_name: str, folder: str | None,
 
 
 def production_folder(spark: SparkSession, root: str, model_name: str) -> str | None:
-    """Folder of the version in production: the highest number registered."""
+    """Folder of the version in production: the highest number, the last registered of equal ones."""
     known = registry(spark, root).where(F.col("model_name") == model_name)
-    row = known.orderBy(F.desc("version")).select("folder").first()
+    row = known.orderBy(F.desc("version"), F.desc("registered_at")).select("folder").first()
     return row["folder"] if row else None
 
 

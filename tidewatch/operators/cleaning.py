@@ -48,12 +48,13 @@ def category_values(df: DataFrame, column: str, most: int = 1000) -> list[str]:
     return sorted(r["v"] for r in rows)
 
 
-def one_hot(df: DataFrame, column: str, categories: Sequence[str] | None = None) -> DataFrame:
+def one_hot(df: DataFrame, column: str, categories: Sequence[str] | None = None, most: int = 1000) -> DataFrame:
     """Replace a category by one boolean column per value; NULL rows are false everywhere.
 
-    With `categories` the columns are fixed, whatever the data hold; without, they are discovered.
+    With `categories` the columns are fixed, whatever the data hold; without, they are discovered, and more
+    than `most` of them are an error, since each becomes a column of the table.
     """
-    values = list(categories) if categories is not None else category_values(df, column)
+    values = list(categories) if categories is not None else category_values(df, column, most)
     flags = [
         F.coalesce(F.col(column) == F.lit(v), F.lit(False)).alias(f"{column}_{v}") for v in values
     ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from tidewatch.operators.cleaning import project_features, project_post
 from tidewatch.params import FeatureSpec
+from tidewatch.runtime import tasks_for
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", by_period: bool = True) -> str:
@@ -29,12 +30,13 @@ def write_scores(scored: DataFrame, spec: FeatureSpec, path: str, score: str = "
     return write_table(scored.select(spec.row_id, spec.period, score), path)
 
 
-def write_delivery(delivery: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_delivery(delivery: DataFrame, path: str, mode: str = "overwrite", rows_per_task: int | None = None) -> str:
     """Pipe-delimited text with a header, a folder per period, best rows first within each file.
 
     Rows are spread over tasks by ranges of the rank, so a large period becomes several ordered files.
+    `delivery` should be a written table: its rows are counted, which gives the tasks, then sampled and read.
     """
-    tasks = int(delivery.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks_for(delivery, rows_per_task)
     (
         delivery.repartitionByRange(tasks, "period", "orden").sortWithinPartitions("period", "orden")
         .write.mode(mode).partitionBy("period")
