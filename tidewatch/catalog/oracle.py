@@ -187,6 +187,22 @@ select stage, period::int as period, round(psi_medio, 6) as psi_medio from (
             where rows_ref >= 10 and rows_actual >= 10 group by period)"""
 
 
+PHASE_COLUMNS = ["key_value", "codunicocli", "prob_value_contact", "monto", *NUMERIC]
+
+
+def phase(reference: str, watched: str, rest: str) -> str:
+    """Raw and prepared drift of a phase; `rest` are the rows of the stages that stand on the fitted model."""
+    raw = sides("w", "base", PHASE_COLUMNS, 10, ref=reference, act=watched)
+    pre = sides("p", "prepared", PREPARED_FEATURES, 10, ref=REF, act=watched)
+    return f"""with {PREPARED}, {raw}, {pre},
+means as (
+  select 'raw' as stage, period, avg(round_even(psi, 5)) as psi_medio from w_psi where {ENOUGH} group by period
+  union all select 'pre', period, avg(round_even(psi, 5)) from p_psi where {ENOUGH} group by period
+  union all {rest})
+select stage, period::int as period, round(psi_medio, 6) as psi_medio,
+       {BAND.format('psi_medio')} as status, {COLOUR.format('psi_medio')} as colour, true as has_result from means"""
+
+
 def all_stages() -> str:
     raw = sides("w", "base", NUMERIC, 10)
     pre = sides("p", "prepared", PREPARED_FEATURES, 10)
@@ -353,6 +369,9 @@ def sql() -> dict[str, str]:
                    values_compared, psi_medio, psi_medio as value, worst from record
             union all select 'run-1', '2024-01-31 08:30', 'score', p::int, true, 0::bigint, 0::bigint, null, null, null
             from (select unnest([5, 6]) as p)""",
+        "training_phase": phase("period = 1", "period between 2 and 4", "select unnest(['score', 'grupo']), 1, 0.0::double"),
+        "monitoring_phase": phase(REF, ACT, """select stage, period, null::double
+            from (select unnest(['score', 'grupo']) as stage), (select unnest([5, 6]) as period)"""),
         "train_candidates": learners, "hpo_search": learners,
         "batch_inference": f"with {BASE} select row_id, period, true as is_probability from base",
         "model_registry": """select 'extrac' as model_name, folder, version, 'produccion' as stage, true as auc_in_bounds

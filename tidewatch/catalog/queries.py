@@ -530,13 +530,19 @@ def _phase(spark, sf) -> tuple[DataFrame, str]:
 
 def training_phase(spark, sf):
     raw, root = _phase(spark, sf)
-    return run_training_phase(spark, raw, fx.PARAMS, root, RUN_DATE)["stage_summary"]
+    summary = run_training_phase(spark, raw, fx.PARAMS, root, RUN_DATE)["stage_summary"]
+    return rounded(summary, "psi_medio").withColumn("has_result", F.col("psi_medio").isNotNull())
 
 
 def monitoring_phase(spark, sf):
+    """All stages have a result; the drift of scores and groups hangs on the fitted model and is not shown."""
     raw, root = _phase(spark, sf)
     run_training_phase(spark, raw, fx.PARAMS, root, RUN_DATE)
-    return run_monitoring_phase(spark, raw.drop("target"), fx.PARAMS, root, RUN_DATE)["stage_summary"]
+    summary = run_monitoring_phase(spark, raw.drop("target"), fx.PARAMS, root, RUN_DATE)["stage_summary"]
+    fixed = F.col("stage").isin("raw", "pre")
+    return rounded(summary, "psi_medio").select(
+        "stage", "period", *[F.when(fixed, F.col(c)).alias(c) for c in ("psi_medio", "status", "colour")],
+        F.col("psi_medio").isNotNull().alias("has_result"))
 
 
 def _two_stages(spark, sf):
