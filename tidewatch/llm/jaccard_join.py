@@ -43,8 +43,14 @@ CHUNK = 1 << 14
 #: Candidates of a query searched at a time.
 BLOCK = 256
 
-#: Ids are broadcast up to this many bytes, counted before; beyond it they are joined by a shuffle.
-BROADCAST_IDS = 32 * MIB
+#: Shingles of a level above this one are frequent, and their lists are dealt by node into so many parts. A list of any
+#: other shingle holds at most about 2^OFTEN / BINS of all shingles.
+OFTEN = 4
+PARTS = 64
+
+#: What is asked of the documents is broadcast up to this many bytes, at so many a row; beyond, it is joined by a shuffle.
+BROADCAST_ROLES = 32 * MIB
+ROLE_BYTES = 40
 
 CHUNK_BYTES = 4 << 20
 _SHIFT = np.uint64(64 - BINS.bit_length() + 1)
@@ -153,13 +159,14 @@ def order_levels(read: DataFrame) -> np.ndarray:
 # 2. Inverted lists of first shingles
 
 def list_entries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(s, fp, n): each set's first shingles. Copies met by the same task enter once."""
+    """(s, fp, n, often): each set's first shingles, and which of them are frequent. Copies met by the same task enter
+    once."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, met = shared.value, set()
         for part in chunks_of(batches, "text", CHUNK_BYTES):
-            shingles, fps, sizes = [], [], []
+            shingles, fps, sizes, often = [], [], [], []
             for s in shingle_sets(part.column("text").to_pylist()):
                 n = len(s)
                 if n < COMMON:  # so small sets link with equal ones only
@@ -171,24 +178,35 @@ def list_entries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                     met.clear()
                 met.add(fp)
                 first = first_shingles(n)
+                of = level[(s >> _SHIFT).astype(np.int64)]
                 if first < n:
-                    of = level[(s >> _SHIFT).astype(np.int64)]
-                    s = s[np.argsort(of, kind="stable")[:first]]  # s is ascending: ties go by hash
+                    chosen = np.argsort(of, kind="stable")[:first]  # s is ascending: ties go by hash
+                    s, of = s[chosen], of[chosen]
                 shingles.append(s)
+                often.append(of > OFTEN)
                 fps.append(fp)
                 sizes.append(n)
             lens = [len(s) for s in shingles]
             flat = np.concatenate(shingles).view(np.int64) if shingles else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(np.array(fps, np.int64), lens)),
-                                              pa.array(np.repeat(np.array(sizes, np.int32), lens))], ["s", "fp", "n"])
+                                              pa.array(np.repeat(np.array(sizes, np.int32), lens)),
+                                              pa.array(np.concatenate(often) if often else np.zeros(0, bool))],
+                                             ["s", "fp", "n", "often"])
 
-    return docs.mapInArrow(read, "s bigint, fp bigint, n int")
+    return docs.mapInArrow(read, "s bigint, fp bigint, n int, often boolean")
 
 
 def shared_lists(entries: DataFrame) -> DataFrame:
-    """(s, fp, n, shared): the entries of lists with two nodes at least; `shared` is how many such lists a node is in."""
-    often = entries.groupBy("s").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("s")
-    kept = materialize(entries.join(often, "s").distinct(), "join-lists")
+    """(s, fp, n, shared): the entries of lists with two nodes at least, and of frequent shingles; `shared` is how many
+    such lists a node is in.
+
+    One shuffle by shingle drops repeated entries and counts the nodes of a list. The lists of frequent shingles are dealt
+    by shingle and node, and kept: only a text with very many copies can be alone in one.
+    """
+    dealt = entries.withColumn("part", F.when(F.col("often"), F.pmod(F.xxhash64("fp"), F.lit(PARTS))).otherwise(0).cast("int"))
+    dealt = dealt.repartition("s", "part").dropDuplicates(["s", "part", "fp", "n"])
+    dealt = dealt.withColumn("nodes", F.count(F.lit(1)).over(Window.partitionBy("s", "part")))
+    kept = materialize(dealt.where("often or nodes > 1").select("s", "fp", "n"), "join-lists")
     shared = kept.groupBy("fp").agg(F.count(F.lit(1)).alias("shared")).withColumnRenamed("fp", "of")
     return materialize(kept.join(shared, F.col("fp") == F.col("of")).drop("of"), "join-shared")
 
@@ -246,35 +264,49 @@ def divide_skip(query: np.ndarray, candidates: list[np.ndarray], mu: float = 0.0
     return list(zip(found[good].tolist(), counts[good].tolist()))
 
 
-def needed_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(fp, shingles): the sets of the wanted nodes (fp), read again from one document each."""
-    ids = materialize(nodes.join(wanted.withColumnRenamed("fp", "wanted"), F.col("fp") == F.col("wanted")).select(
-        F.col("rep").alias("rep"), F.col("fp").alias("wanted")), "join-wanted")
-    ids = F.broadcast(ids) if 16 * ids.count() <= BROADCAST_IDS else ids
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "wanted")
+def role_sets(docs: DataFrame, roles: DataFrame) -> DataFrame:
+    """(a, block, b, shingles): the set of every role (rep, fp, a, block, b), read again from one document of the node.
+
+    Rows of one text follow each other, so its set is made once in a slice of them.
+    """
+    held = F.broadcast(roles) if ROLE_BYTES * roles.count() <= BROADCAST_ROLES else roles
+    texts = docs.join(held, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "fp", "a", "block", "b")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[tuple] = set()  # repeated ids ask for the same again
         for part in chunks_of(batches, "text", CHUNK_BYTES):
-            found = [(w, s.tobytes()) for w, s in zip(part.column("wanted").to_pylist(), shingle_sets(part.column("text").to_pylist()))
-                     if fingerprint(s) == w]  # repeated ids may stand for other texts
-            columns = list(zip(*found)) if found else [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], ["fp", "shingles"])
+            asked = list(zip(*[part.column(c).to_pylist() for c in ("text", "fp", "a", "block", "b")]))
+            texts = list({text for text, *_ in asked})
+            sets = {text: (fingerprint(s), s.tobytes()) for text, s in zip(texts, shingle_sets(texts))}
+            if len(met) > 500_000:
+                met.clear()
+            out = []
+            for text, fp, *role in asked:
+                found, data = sets[text]
+                key = (fp, *role)
+                if found == fp and key not in met:  # repeated ids may stand for other texts
+                    met.add(key)
+                    out.append((*role, data))
+            columns = list(zip(*out)) if out else [[]] * 4
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "block", "b", "shingles"])
 
-    return texts.mapInArrow(read, "fp bigint, shingles binary").groupBy("fp").agg(F.first("shingles").alias("shingles"))
+    return texts.mapInArrow(read, "a bigint, block int, b bigint, shingles binary")
 
 
 def search(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b): the linked ones among candidate pairs (a, b), each a a query with its candidates b."""
+    """(a, b): the linked ones among candidate pairs (a, b), each a a query with its candidates b.
+
+    The texts of the nodes are met where they are scanned, and each set goes once to every block that needs it.
+    """
     pairs = materialize(pairs, "join-pairs")
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    sets = materialize(needed_sets(docs, nodes, wanted), "join-sets")
     width = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).withColumnRenamed("a", "q")
     dealt = pairs.join(width, F.col("a") == F.col("q")).select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
-    asked = dealt.select("a", "block").distinct().join(sets, F.col("a") == F.col("fp")).select(
-        "a", "block", F.lit(None).cast("bigint").alias("b"), "shingles")
-    held = dealt.join(sets, F.col("b") == F.col("fp")).select("a", "block", "b", "shingles")
-    rows = asked.unionByName(held).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+    asked = dealt.select("a", "block").distinct().select("a", "block", F.lit(None).cast("bigint").alias("b"))
+    roles = asked.unionByName(dealt.select("a", "block", "b")).withColumn("of", F.coalesce("b", "a"))
+    roles = materialize(roles.join(nodes, F.col("of") == F.col("fp")).select("rep", "fp", "a", "block", "b"), "join-roles")
+    rows = role_sets(docs, roles).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query, own, ids, sets_here = np.zeros(0, np.uint64), None, [], []
@@ -413,8 +445,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     read = materialize(read_sets(rows), "join-read")
     sets = read.where("chunk is null").select("doc_id", "fp", "n")
     nodes = materialize(sets.where("n > 0").groupBy("fp", "n").agg(F.min("doc_id").alias("rep")).select("fp", "rep"), "join-nodes")
-    entries = materialize(list_entries(rows, order_levels(read)), "join-entries")
-    links = find_links(rows, nodes, shared_lists(entries))
+    links = find_links(rows, nodes, shared_lists(list_entries(rows, order_levels(read))))
     labels = components(links).withColumnRenamed("fp", "of")
     return sets, nodes.join(labels, F.col("fp") == F.col("of"), "left").select("fp", "rep", F.coalesce("comp", "fp").alias("comp"))
 
