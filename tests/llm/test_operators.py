@@ -387,6 +387,7 @@ def test_components(spark, seed, monkeypatch):
     rows = copies(seed) + (HARD if seed == 1 else [])
     if seed == 2:
         monkeypatch.setattr(jaccard_join, "BLOCK", 3)
+        monkeypatch.setattr(jaccard_join, "SIDE", 2)
         monkeypatch.setattr(jaccard_join, "BROADCAST_ROLES", 0)
     df = spark.createDataFrame(rows, DOCS).repartition(5).withColumns({"fp": F.lit(1), "n": F.lit(2), "s": F.lit(3)})
     key = lambda r: tuple((x is not None, x) for x in r)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import chunks_of, free_name, lower_ascii
-from tidewatch.runtime import MIB, materialize
+from tidewatch.runtime import MIB, broadcast_counted, materialize
 
 SHINGLE = 5
 #: Linked: SHARE[1] * intersection >= SHARE[0] * union.
@@ -43,6 +43,9 @@ CHUNK = 1 << 14
 #: Candidates of a query searched at a time.
 BLOCK = 256
 
+#: Nodes of a component, and nodes that look for partners in it, that meet in one block.
+SIDE = 512
+
 #: Shingles of a level above this one are frequent, and their lists are dealt by node into so many parts. A list of any
 #: other shingle holds at most about 2^OFTEN / BINS of all shingles.
 OFTEN = 4
@@ -231,8 +234,15 @@ def divide_skip(query: np.ndarray, candidates: list[np.ndarray], mu: float = 0.0
     order = np.lexsort((of, place))
     place, of = place[order], of[order]
     cuts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
-    lists = [of[a:b] for a, b in zip(cuts, cuts[1:])]
-    lists.sort(key=len, reverse=True)
+    return reach([of[a:b] for a, b in zip(cuts, cuts[1:])], need, mu)
+
+
+def reach(lists: list[np.ndarray], need: np.ndarray, mu: float = 0.02) -> list[tuple[int, int]]:
+    """(candidate, lists it is in) of the candidates that are in as many of the lists as they need.
+
+    The lists hold candidates, ascending, as places of `need`.
+    """
+    lists = sorted(lists, key=len, reverse=True)
     least = int(need.min())
     if len(lists) < least:
         return []
@@ -399,11 +409,12 @@ def rest_pairs(lists: DataFrame) -> DataFrame:
     """(a, b): all pairs of nodes of different components that share enough lists and fit in size.
 
     First nodes are counted against whole components (the node's is the one with fewer entries in all lists). A
-    component of one node is a pair then; in others that share enough lists the nodes are looked at one by one.
+    component of one node is a pair then; in others that share enough lists the nodes meet in blocks.
     """
     sizes = lists.groupBy("comp").agg(
         F.count(F.lit(1)).alias("entries"), F.min("n").alias("lo"), F.max("n").alias("hi"),
-        F.when(F.min("fp") == F.max("fp"), F.min("fp")).alias("only"))
+        F.when(F.min("fp") == F.max("fp"), F.min("fp")).alias("only"), F.countDistinct("fp").alias("nodes"))
+    sizes = broadcast_counted(materialize(sizes, "join-sizes"))
     met = lists.join(sizes, "comp")
     comps = met.select(*[F.col(c).alias(f"{c}_") for c in ("s", "comp", "entries", "lo", "hi")]).distinct()
     smaller = (F.col("entries") < F.col("entries_")) | ((F.col("entries") == F.col("entries_")) & (F.col("comp") < F.col("comp_")))
@@ -416,11 +427,65 @@ def rest_pairs(lists: DataFrame) -> DataFrame:
     near = materialize(near.where(f"common >= {_needed('n', 'lo', 'hi')}").select(
         "a", F.col("comp_").alias("towards"), "only_"), "join-near")
     single = near.where("only_ is not null").select("a", F.col("only_").alias("b"))
-    asked = lists.join(near.where("only_ is null"), F.col("fp") == F.col("a")).select("s", "a", F.col("n").alias("na"), "towards")
-    pairs = asked.join(lists.select("s", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "s")
-    pairs = pairs.where(f"towards = cb and {_sizes_fit('na', 'nb')}")
-    pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("common"))
-    return single.union(pairs.where(f"common >= {_needed('na', 'nb', 'nb')}").select("a", "b"))
+    return single.union(block_pairs(lists, near.where("only_ is null").select("a", "towards"), sizes))
+
+
+def block_pairs(lists: DataFrame, near: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b): of each node a and component `towards`, the nodes b of the component that share enough lists with a.
+
+    Nodes carry their lists as one array. Blocks of a component's nodes meet blocks of the nodes that ask, so a
+    component of any size is split, and the lists are merged there; only pairs that reach the number come out.
+    """
+    held = materialize(lists.groupBy("fp", "comp").agg(
+        F.first("n").alias("n"), F.sort_array(F.collect_list("s")).alias("held")), "join-held")  # at most a text's first shingles
+    blocks = near.groupBy(F.col("towards").alias("of")).agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("asking"))
+    blocks = blocks.join(sizes.select("comp", F.ceil(F.col("nodes") / SIDE).cast("int").alias("holding")), F.col("of") == F.col("comp"))
+    blocks = broadcast_counted(materialize(blocks.select("of", "asking", "holding"), "join-blocks"))
+    asks = near.join(blocks, F.col("towards") == F.col("of")).join(held.drop("comp"), F.col("a") == F.col("fp")).select(
+        "of", F.explode(F.sequence(F.lit(0), F.col("holding") - 1)).alias("row"),
+        F.pmod(F.xxhash64("fp"), F.col("asking")).cast("int").alias("column"), F.lit(True).alias("asks"), "fp", "n", "held")
+    members = held.join(blocks, F.col("comp") == F.col("of")).select(
+        "of", F.pmod(F.xxhash64("fp"), F.col("holding")).cast("int").alias("row"),
+        F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("column"), F.lit(False).alias("asks"), "fp", "n", "held")
+    place = ["of", "row", "column"]
+    rows = members.unionByName(asks).repartition(*place).sortWithinPartitions(*place, "asks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, ids, sizes, own, index = None, [], [], [], None
+        for batch in batches:
+            out = []
+            keys = zip(*[batch.column(c).to_pylist() for c in place])
+            for key, asking, fp, n, s in zip(keys, *[batch.column(c).to_pylist() for c in ("asks", "fp", "n")], batch.column("held")):
+                if key != here:
+                    here, ids, sizes, own, index = key, [], [], [], None
+                s = s.values.to_numpy(zero_copy_only=False)
+                if not asking:
+                    ids.append(fp)
+                    sizes.append(n)
+                    own.append(s)
+                    continue
+                if not ids:
+                    continue
+                if index is None:
+                    flat, of = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+                    order = np.argsort(flat, kind="stable")
+                    index = flat[order], of[order], np.array(sizes, np.int64)
+                need = lists_needed(n, index[2])
+                starts, stops = (np.searchsorted(index[0], s, side) for side in ("left", "right"))
+                out += [(fp, ids[i]) for i, _ in reach([index[1][a:b] for a, b in zip(starts, stops) if a < b], need)]
+            columns = list(zip(*out)) if out else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return rows.mapInArrow(run, "a bigint, b bigint")
+
+
+def lists_needed(n: int, sizes: np.ndarray) -> np.ndarray:
+    """`_needed` of a set of size n against sets of these sizes; more than it has where sizes do not fit."""
+    top, bottom = SHARE
+    larger = np.maximum(n, sizes)
+    need = -(-top * (n + sizes) // (top + bottom)) - (-(-top * larger // bottom) - COMMON)
+    fits = bottom * np.minimum(n, sizes) >= top * larger
+    return np.where(fits, np.maximum(need, COMMON), n + 1)
 
 
 def find_links(docs: DataFrame, nodes: DataFrame, lists: DataFrame) -> DataFrame:
