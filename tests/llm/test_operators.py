@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import html as html_lib
+import inspect
 import re
 import zlib
 from collections import Counter
@@ -305,6 +306,13 @@ def test_scores_and_base(spark, real, clashing, empty):
     assert hmm.score_texts(empty).collect() == []
 
 
+def test_model_of_full_size():
+    assert (hmm.STATES, hmm.ROUNDS) == (6, 3)
+    for f in (hmm.score_texts, hmm.train, hmm.first_model):
+        wanted = {"states": 6, "k": 6, "rounds": 3}
+        assert all(p.default == wanted[n] for n, p in inspect.signature(f).parameters.items() if n in wanted)
+
+
 # 6 quality rules
 
 def test_rules_pipeline_form(spark, clashing, empty, real):

@@ -23,23 +23,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import lower_ascii, training_remainder
+from tidewatch.llm.common import chunks_of, lower_ascii, training_remainder
 from tidewatch.runtime import materialize
 
 FOLDS = 5
 HELD_OUT = 1
 
 #: Latent states, words with a class of their own, classes of the other words, rounds of Baum-Welch.
-STATES = 4
+STATES = 6
 OWN_CLASSES = 2048
 ENDING_CLASSES = 2048
-ROUNDS = 2
+ROUNDS = 3
 
 #: Documents (at most about so many) that the first model is drawn from; all rounds cover all training documents.
 SEED_DOCUMENTS = 600
 
-#: Bytes of text in a block, and tokens handled at a time within one.
+#: Bytes of text in a block and in a slice of it that is read at a time, and tokens handled at a time within one.
 BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 STRIDE = 50_000
 
 #: Tokens of a segment: within segments all steps are taken side by side.
@@ -67,16 +68,9 @@ def lay_out(docs: DataFrame) -> DataFrame:
     n_train) from rows (doc_id, text, held)."""
     names = _names(_BLOCK)
 
-    def block_of(block: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        number: dict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        parts, sizes = [], []
-        for _, text, _ in rows:
-            found = lower_ascii(text).split()
-            sizes.append(len(found))
-            parts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+    def block_of(block: int, number: dict, parts: list, sizes: list, doc_ids: list, held: list) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate(parts)
-        train = np.bincount(ids[np.repeat([not held for _, _, held in rows], sizes)], minlength=len(number))
+        train = np.bincount(ids[np.repeat(np.logical_not(held), sizes)], minlength=len(number))
         order = np.argsort(-np.bincount(ids, minlength=len(number)), kind="stable")  # frequent words get small numbers
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
@@ -84,27 +78,38 @@ def lay_out(docs: DataFrame) -> DataFrame:
         words = list(number)
         words = [words[i] for i in order.tolist()]
         train = train[order]
-        row = [[block], [[r[0] for r in rows]], [[r[2] for r in rows]], [np.cumsum(sizes).tolist()],
+        row = [[block], [doc_ids], [held], [np.cumsum(sizes).tolist()],
                [(ids & 0xFFFF).astype("<u2").tobytes()], [(ids >> 16).astype("u1").tobytes()], [None], [None], [None]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, _BLOCK_TYPES)], names)
         for first in range(0, len(words), 100_000):
             some = words[first:first + 100_000]
             n = len(some)
-            held = [[block] * n, *[[None] * n] * 5, list(range(first, first + n)), [w.decode() for w in some],
-                    train[first:first + n]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, _BLOCK_TYPES)], names)
+            table = [[block] * n, *[[None] * n] * 5, list(range(first, first + n)), [w.decode() for w in some],
+                     train[first:first + n]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(table, _BLOCK_TYPES)], names)
+
+    def fresh() -> tuple[dict, list, list, list, list]:
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        return number, [], [], [], []
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, total, task, made = [], 0, 0, 0
-        for batch in batches:
+        total, task, made = 0, 0, 0
+        number, parts, sizes, doc_ids, helds = fresh()
+        for batch in chunks_of(batches, "text", SLICE_BYTES):
             for doc_id, text, held, task in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "held", "task")]):
                 if total and total + len(text or "") > BLOCK_BYTES:
-                    yield from block_of((task << 32) + made, rows)
-                    rows, total, made = [], 0, made + 1
-                rows.append((doc_id, text, held))
+                    yield from block_of((task << 32) + made, number, parts, sizes, doc_ids, helds)
+                    total, made = 0, made + 1
+                    number, parts, sizes, doc_ids, helds = fresh()
+                found = lower_ascii(text).split()  # texts go as soon as they are numbers
+                sizes.append(len(found))
+                parts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+                doc_ids.append(doc_id)
+                helds.append(held)
                 total += len(text or "")
-        if rows:
-            yield from block_of((task << 32) + made, rows)
+        if sizes:
+            yield from block_of((task << 32) + made, number, parts, sizes, doc_ids, helds)
 
     return docs.withColumn("task", F.spark_partition_id().cast("bigint")).mapInArrow(lay, _BLOCK)
 
