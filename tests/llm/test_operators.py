@@ -313,6 +313,20 @@ def test_model_of_full_size():
         assert all(p.default == wanted[n] for n, p in inspect.signature(f).parameters.items() if n in wanted)
 
 
+def test_first_model_of_any_ids(spark):
+    """All training documents shape the first states, whatever their ids and number."""
+    classes = np.array([1, 1, 0, 2, 2, 0] * 2, "<u2").tobytes()
+    coded = spark.createDataFrame([([None, -1, 5, 5], [False] * 4, [3, 6, 9, 12], classes, [0] * 4, [0.0] * 4, [0.0] * 4)], hmm._CODED)
+    size = 1 + hmm.OWN_CLASSES + hmm.ENDING_CLASSES
+    model = hmm.first_model(coded, hmm.Vocabulary(10 ** 9, 2, 10 ** 9, np.zeros(size), np.zeros(size)), 2)
+    assert np.argmax(model.emits[1]) != np.argmax(model.emits[2])
+    texts = [" ".join(f"{'ab'[i % 2]}{j % (5 + i)}" for j in range(40)) for i in range(20)]
+    same = [sorted(r["score"] for r in hmm.score_texts(spark.createDataFrame([(i, t) for t in texts], "doc_id bigint, text string")).collect())
+            for i in (None, -7, 4)]
+    assert all(zlib.crc32(str(i).encode()) % 5 != 1 for i in (-7, 4))
+    assert np.allclose(same[0], same[1]) and np.allclose(same[0], same[2])
+
+
 # 6 quality rules
 
 def test_rules_pipeline_form(spark, clashing, empty, real):

@@ -35,8 +35,10 @@ OWN_CLASSES = 2048
 ENDING_CLASSES = 2048
 ROUNDS = 3
 
-#: Documents (at most about so many) that the first model is drawn from; all rounds cover all training documents.
-SEED_DOCUMENTS = 600
+#: Groups that the training documents are dealt to at first, and rounds over all of them that sort whole documents
+#: to states before Baum-Welch begins.
+GROUPS = 64
+SORTING_ROUNDS = 3
 
 #: Bytes of text in a block and in a slice of it that is read at a time, and tokens handled at a time within one.
 BLOCK_BYTES = 8 << 20
@@ -377,45 +379,63 @@ def next_model(rows: list, size: int, k: int) -> Model:
     return Model(start / start.sum(), moves / moves.sum(axis=1)[:, None], emits / emits.sum(axis=0))
 
 
-def first_model(coded: DataFrame, docs: int, size: int, k: int = STATES) -> Model:
-    """States around the centres of some documents' class shares: centres far from each other, then their means."""
-    share = min(1.0, SEED_DOCUMENTS / max(docs, 1))
-    limit = int(share * (1 << 20))
+def group_sums(coded: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """Class counts (C x K) of the training documents, each counted at the state whose weights fit its classes best."""
+    size, k = weights.shape
+    names = ["what", *[f"n{i}" for i in range(k)]]
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for classes, ends, held, batch, row in _rows(batches):
-            ids = np.array([0 if i is None else i for i in batch.column("doc_ids")[row].as_py()], dtype=np.uint64)
-            mixed = (ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
-            for _, some, sizes in _strides(classes, ends, ~held & (mixed < limit)):
-                for part in np.split(some, np.cumsum(sizes)[:-1]):
-                    kinds, n = np.unique(part, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([kinds], pa.list_(pa.int64())), pa.array([n], pa.list_(pa.int64()))],
-                                                     ["kinds", "n"])
-
-    found = coded.mapInArrow(pick, "kinds array<bigint>, n array<bigint>").collect()  # about SEED_DOCUMENTS rows
-    found.sort(key=lambda r: (r[0], r[1]))
-    counts = np.zeros((max(len(found), 1), size))
-    for i, (kinds, n) in enumerate(found):
-        counts[i, kinds] = n
-    # Ends and marks aside, roots of shares compare by their inner product.
-    roots = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
-    centres = [roots.mean(axis=0)]
-    centres = [roots[int(np.argmin(roots @ centres[0]))]]
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(size * k, np.int64)
+        for classes, ends, held, _, _ in _rows(batches):
+            for _, some, sizes in _strides(classes, ends, ~held):
+                own = np.argmax(np.add.reduceat(weights[some], np.cumsum(sizes) - sizes, axis=0), axis=1)
+                sums += np.bincount(some * k + np.repeat(own, sizes), minlength=size * k)
+        table = sums.reshape(size, k)
+        there = np.flatnonzero(table.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), *[pa.array(table[there, i]) for i in range(k)]], names)
+
+    parts = coded.mapInArrow(add, ", ".join(f"{n} bigint" for n in names))
+    sums = np.zeros((size, k))
+    for what, *n in parts.groupBy("what").agg(*[F.sum(n).alias(n) for n in names[1:]]).collect():  # a row per class
+        sums[what] = n
+    return sums
+
+
+def far_apart(sums: np.ndarray, k: int) -> np.ndarray:
+    """Class counts (C x K) of `k` sets of groups: centres far from each other, then each group to its nearest."""
+    total = sums.sum(axis=0)
+    sums = sums[:, (total > 0) & (4 * total >= total.mean())]  # roots of shares compare by their inner product
+    if not sums.shape[1]:
+        return np.zeros((len(sums), k))
+    roots = np.sqrt(sums / sums.sum(axis=0)).T
+    centres = [roots[int(np.argmin(roots @ roots.mean(axis=0)))]]
     while len(centres) < k:
         centres.append(roots[int(np.argmin(np.max(roots @ np.array(centres).T, axis=1)))])
-    centres = np.array(centres)
-    for _ in range(10):
-        own = np.argmax(roots @ centres.T, axis=1)
-        for i in range(k):
-            if (own == i).any():
-                mean = roots[own == i].mean(axis=0)
-                centres[i] = mean / max(np.linalg.norm(mean), 1e-9)
-    base = counts.sum(axis=0) + 1
-    base /= base.sum()
-    emits = np.empty((size, k))
-    for i in range(k):
-        part = counts[own == i].sum(axis=0)
-        emits[:, i] = 0.2 * base + 0.8 * (part / part.sum() if part.sum() else base)
+    own = np.argmax(roots @ np.array(centres).T, axis=1)
+    return np.stack([sums[:, own == i].sum(axis=1) for i in range(k)], axis=1)
+
+
+def first_model(coded: DataFrame, vocabulary: Vocabulary, k: int = STATES) -> Model:
+    """States from class counts of all training documents: a seeded projection of their class shares deals them to
+    groups, the groups make states far from each other, then each document goes to the state that gives its classes the
+    highest probability, some rounds long.
+
+    Only sums per class and group leave the tasks. Seeded noise keeps states apart whose documents are alike.
+    """
+    rng = np.random.default_rng(5)
+    base = vocabulary.class_tokens + 1
+    base[END_CLASS] += vocabulary.docs
+    base = base / base.sum()
+    lean = rng.standard_normal((len(base), GROUPS))
+    noise = np.exp(0.1 * rng.standard_normal((len(base), k)))
+    sums = far_apart(group_sums(coded, lean - base @ lean), k)
+    for turn in range(SORTING_ROUNDS + 1):
+        total = sums.sum(axis=0)
+        share = np.where(total > 0, sums / np.maximum(total, 1), base[:, None])
+        emits = (0.2 * base[:, None] + 0.8 * share) * noise
+        emits /= emits.sum(axis=0)
+        if turn < SORTING_ROUNDS:
+            sums = group_sums(coded, np.log(emits))
     moves = np.full((k, k), 0.1 / max(k - 1, 1))
     np.fill_diagonal(moves, 0.9 if k > 1 else 1.0)
     return Model(np.full(k, 1 / k), moves, emits)
@@ -444,9 +464,9 @@ def score(coded: DataFrame, model: Model) -> DataFrame:
     return coded.mapInArrow(run, _SCORED)
 
 
-def train(coded: DataFrame, docs: int, states: int = STATES, rounds: int = ROUNDS) -> Model:
+def train(coded: DataFrame, vocabulary: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
     size = 1 + OWN_CLASSES + ENDING_CLASSES
-    model = first_model(coded, docs, size, states)
+    model = first_model(coded, vocabulary, states)
     for _ in range(rounds):
         model = next_model(expected_counts(coded, model), size, states)
     return model
@@ -468,7 +488,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sta
     counted = materialize(count_words(laid), "hmm-words")
     classed, vocabulary = classify(counted, n_docs)
     coded = materialize(code(laid, classed, vocabulary), "hmm-classes")
-    scored = score(coded, train(coded, n_docs, states, rounds))
+    scored = score(coded, train(coded, vocabulary, states, rounds))
     base = F.lit(float(np.log10(vocabulary.tokens + SMOOTH * (vocabulary.distinct + 1))))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"),
                          (F.col("counts_log") - F.col("n_tokens") * base).alias("base_score"), F.col("model_log").alias("score"))
