@@ -120,6 +120,30 @@ def test_html_repeated_runs_on_a_host(spark):
     assert html_text.extract(lone).first()["text"].startswith(top)
 
 
+def test_html_copies_are_one_page(spark):
+    """A page held under many urls keeps its text; menus of different pages go, also where a copy is among them."""
+    menu = "welcome to our little site about all sorts of things"
+    def page(i, url):
+        return (i, f"https://host.example/{url}", f"<div><p>{menu}</p></div><div><p>story {i // 10} begins with many words of its own {i // 10}</p></div>")
+    rows = [page(i, f"a?session={i}#{i}") for i in range(5)] + [page(0, "a?session=0#0")]
+    extract = lambda rows: sorted((r["page_id"], r["text"]) for r in html_text.extract(
+        spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)).collect())
+    story = "story 0 begins with many words of its own 0"
+    assert extract(rows) == [(i, f"{menu} {story}") for i in (0, 0, 1, 2, 3, 4)]
+    more = rows + [page(10, "b"), page(20, "c")]
+    assert extract(more) == [(i, story) for i in (0, 0, 1, 2, 3, 4)] + [
+        (10 * i, f"story {i} begins with many words of its own {i}") for i in (1, 2)]
+
+
+@pytest.mark.parametrize("repeated", ["<h2>Background of it</h2>", "<blockquote><p>Background of it</p></blockquote>", "<pre>Background of it</pre>",
+                                      "<table><tr><td>Background of it</td></tr></table>"])
+def test_html_repeated_parts_inside_a_text(spark, repeated):
+    pages = [(i, f"https://host.example/{i}", f"<body><h2>Home of us</h2><div><p>story {i} begins {i}</p>{repeated}<p>and story {i} ends {i}</p></div>")
+             for i in range(4)]
+    got = html_text.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"story {i} begins {i} Background of it and story {i} ends {i}" for i in range(4)}
+
+
 def test_html_runs_counted_like_windows():
     pages = [("h", ["a b c d e f g h i j", "x y"]), ("h", ["b c d e f g h i", "x y", "x y"]), ("g", ["x y"])]
     got = {(h, run): n for h, run, n in html_text.count_runs(pages)}
