@@ -12,7 +12,7 @@ from tidewatch.catalog import fixtures as fx
 from tidewatch.functions import columns as fn
 from tidewatch.models import registry as reg
 from tidewatch.models.learners import FAMILIES, batch_inference
-from tidewatch.models.search import column_share, real, search, whole
+from tidewatch.models.search import search
 from tidewatch.models.training import evaluate, fit_candidates, prepare_sets
 from tidewatch.operators import cleaning as C
 from tidewatch.operators import drift as D
@@ -463,14 +463,6 @@ def champion_query(spark, sf):
     return rounded(champion(_decay(spark, sf), FAMILIES).select("ml_name", "auc_test"), "auc_test")
 
 
-# Narrow ranges for the search: the library's take 135 fits of up to 500 rounds each.
-SMALL_SPACES = {
-    "gbt": {"maxIter": whole(3, 6), "stepSize": real(0.05, 0.2), "maxDepth": whole(2, 4)},
-    "forest": {"numTrees": whole(3, 8), "maxDepth": whole(3, 5), "featureSubsetStrategy": column_share(0.7, 0.3)},
-    "logistic": {"maxIter": whole(5, 20), "regParam": real(0.01, 1.0)},
-}
-
-
 def raw_with_target(spark, sf):
     return fx.base(spark, sf).withColumn("target", _label())
 
@@ -498,7 +490,7 @@ def train_candidates(spark, sf):
 
 def hpo_search(spark, sf):
     train, test, features = _sets(spark, sf)
-    found = search(train, features, SPEC.target, SPEC.row_id, spaces=SMALL_SPACES, n_iter=2, folds=3)
+    found = search(train, features, SPEC.target, SPEC.row_id)
     return _evaluated(evaluate(found, train, test, SPEC.target))
 
 
