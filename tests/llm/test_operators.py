@@ -208,6 +208,14 @@ def test_grammar_replaces_frequent_pairs():
     assert len(block.seq) < 20 and len(block) == 800
 
 
+def test_grammar_of_a_full_shard_has_rare_pairs():
+    ids = np.arange(repair.SHARD_IDS, dtype=np.uint32) + 100
+    ids[np.arange(300) * 800] = 7
+    ids[np.arange(300) * 800 + 1] = 8
+    block = repair.Block(repair.compress(ids))
+    assert list(zip(block.left.tolist(), block.right.tolist())) == [(7, 8)] and len(block.seq) == len(ids) - 300
+
+
 def test_repair_query(spark, clashing, empty, tmp_path):
     repair.write_shards(clashing, str(tmp_path / "f"), shard_ids=300)
     got = [tuple(r) for r in repair.read_documents(spark, str(tmp_path / "f")).collect()]

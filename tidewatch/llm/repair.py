@@ -32,8 +32,7 @@ from tidewatch.runtime import new_folder
 #: Ids of a shard, at which it is closed (a longer document is a shard of its own).
 SHARD_IDS = 1 << 18
 
-#: A pair is frequent if it stands for at least one in so many of the shard's ids, and never below MIN_COUNT.
-ONE_IN = 512
+#: A pair is frequent from so many occurrences on, whatever the size of its shard.
 MIN_COUNT = 8
 
 END = 0
@@ -88,11 +87,11 @@ def replace(seq: np.ndarray, pairs: list[tuple[int, int]], first: int) -> np.nda
     return out[keep]
 
 
-def compress(ids: np.ndarray, one_in: int = ONE_IN, min_count: int = MIN_COUNT) -> bytes:
-    """The block of a sequence of ids."""
+def compress(ids: np.ndarray, one_in: int | None = None, min_count: int = MIN_COUNT) -> bytes:
+    """The block of a sequence of ids; `one_in` leaves pairs that stand for less than one in so many ids spelled out."""
     seq = np.asarray(ids, dtype=np.uint32)
     first = int(seq.max(initial=0)) + 1
-    least = max(min_count, len(seq) // one_in)
+    least = max(min_count, len(seq) // one_in if one_in else 0)
     rules: list[tuple[int, int]] = []
     lengths: list[int] = []
     while len(seq) > 1:
