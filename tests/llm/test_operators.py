@@ -271,6 +271,17 @@ def test_trie_equals_library(spark, clashing, empty, real):
     assert all(r["decoded"] == tokenizer.decode(r["ids"], skip_special_tokens=False) for r in rows)
 
 
+def test_trie_decodes_the_ids_it_gives():
+    """A fault in the ids shows in the decoded text."""
+    worker = trie_bpe.WordEncoder(trie_bpe.default_vocabulary())
+    (ids, text), = worker.encode(["the quick fox"])
+    numbers = np.frombuffer(ids, "<u4").tolist()
+    assert text == worker.tokenizer.decode(numbers, skip_special_tokens=False)
+    worker.packed["quick"] = worker.packed["fox"]
+    (ids, text), = worker.encode(["the quick fox"])
+    assert text == worker.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False) != ""
+
+
 @given(st.lists(st.text(st.characters(codec="utf-8"), max_size=12), max_size=5))
 @settings(max_examples=80, deadline=None)
 def test_trie_any_text(words):

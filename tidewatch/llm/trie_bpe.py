@@ -166,7 +166,8 @@ class WordEncoder:
         self.special_ids = special
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.packed: dict[str, bytes] = {}  # word -> ids
-        self.texts: dict[str, str] = {}  # word -> decoded text
+        names = self.merges.names | {i: t for t, i in special.items()}
+        self.names = np.array([names.get(i, "") for i in range(max(names, default=-1) + 1)], dtype=object)  # id -> token
         letters = [chr(c) for c in range(0xC0, 0x100)]
         self.bytes_of = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters if c.isalpha()}
 
@@ -191,11 +192,10 @@ class WordEncoder:
         for word, pieces in cut.items():
             found = [t for p in pieces for t in tokens[p]]
             self.packed[word] = b"".join([packed[t] for t in found])
-            self.texts[word] = " ".join(found)
         gc.enable()
 
     def forget(self) -> None:
-        self.packed, self.texts = {}, {}
+        self.packed = {}
         self.merges.apart, self.merges.whole = {}, {}
 
     def split(self, text: str) -> list[str]:
@@ -207,22 +207,25 @@ class WordEncoder:
             out += [part] if i % 2 else [w for w in part.replace("\n", " ").split(" ") if w]
         return out
 
+    def decode(self, ids: bytes) -> str:
+        """The text of packed ids: tokens joined by a space, as this vocabulary (decoder null) decodes."""
+        return " ".join(self.names[np.frombuffer(ids, "<u4")])
+
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
+        """(ids as little-endian unsigned 32-bit integers, text decoded from them) of each text."""
         cuts = [self.split(t) if t else [] for t in texts]
         here = {w for cut in cuts for w in cut}
         new = here.difference(self.packed)
         if len(self.packed) > MOST_WORDS:
-            stay = here.difference(new)
-            self.packed = {w: self.packed[w] for w in stay}
-            self.texts = {w: self.texts[w] for w in stay}
+            self.packed = {w: self.packed[w] for w in here.difference(new)}
         self.learn({w for w in new if w not in self.special_ids})
         for token, i in self.special_ids.items():
-            self.packed[token], self.texts[token] = i.to_bytes(4, "little"), token
-        packed, decoded = self.packed, self.texts
-        out = [(b"".join([packed[w] for w in cut]), " ".join(filter(None, [decoded[w] for w in cut]))) for cut in cuts]
+            self.packed[token] = i.to_bytes(4, "little")
+        packed = self.packed
+        found = [b"".join([packed[w] for w in cut]) for cut in cuts]
+        out = [(ids, self.decode(ids)) for ids in found]
         for word in [w for w in new if len(w) > LONG_WORD]:
-            del packed[word], decoded[word]
+            del packed[word]
         return out
 
 
