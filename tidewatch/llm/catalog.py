@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import (
-    hmm, html_text, jaccard_join, line_crf, mixing, quality_rules, repair, token_counts, topk, trie_bpe,
+    hmm, html_text, jaccard_join, line_crf, mixing, pu_toxicity, quality_rules, repair, segment_resampling, token_counts,
+    topk, trie_bpe,
 )
 from tidewatch.llm.common import table
 
@@ -57,9 +58,17 @@ def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.write_and_read(table(spark, sf_dir, "documents"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     found = (op1_html_extraction, op2_token_counts, op3_mixing, op4_trie_bpe, op5_hidden_markov, op6_quality_rules,
-             op7_topk, op8_jaccard_join, op9_line_crf, op10_repair)
+             op7_topk, op8_jaccard_join, op9_line_crf, op10_repair, op12_resampling, op13_toxicity)
     return {f.__name__: f for f in found}
 
 

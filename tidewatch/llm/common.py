@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.runtime import materialize
+from tidewatch.runtime import ROWS_PER_TASK, materialize
 
 #: A word: a run of characters other than space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,14 +57,15 @@ def chunks_of(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Itera
         yield batch.slice(start)
 
 
-def running_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str], label: str) -> DataFrame:
+def running_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str], label: str, rows: int = 0) -> DataFrame:
     """Add `before_<c>` for each column c of `sums`: its sum over all rows earlier in `order`.
 
     Rows are range-partitioned and written with their task number; each task then needs only the totals of
     the tasks before it (one row a task), so no task ever holds more than its own range. Rows equal in
-    `order` come in any order among themselves.
+    `order` come in any order among themselves. `rows`, where the caller has counted them, raises the tasks to
+    one for every `ROWS_PER_TASK` rows.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
     laid = materialize(df.repartitionByRange(tasks, *order).withColumn("_task", F.spark_partition_id()), label)
     ahead = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     totals = laid.groupBy("_task").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums]).select(
