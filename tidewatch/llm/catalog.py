@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import (
-    hmm, html_text, jaccard_join, line_crf, mixing, pu_toxicity, quality_rules, repair, segment_resampling, token_counts,
-    topk, trie_bpe,
+    collocations, hmm, html_text, jaccard_join, line_crf, mixing, pu_toxicity, quality_rules, repair, segment_resampling,
+    token_counts, topk, trie_bpe,
 )
 from tidewatch.llm.common import table
 
@@ -58,6 +58,10 @@ def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.write_and_read(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -68,9 +72,11 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (op1_html_extraction, op2_token_counts, op3_mixing, op4_trie_bpe, op5_hidden_markov, op6_quality_rules,
-             op7_topk, op8_jaccard_join, op9_line_crf, op10_repair, op12_resampling, op13_toxicity)
+             op7_topk, op8_jaccard_join, op9_line_crf, op10_repair, op11_collocations,
+             op12_resampling, op13_toxicity)
     return {f.__name__: f for f in found}
 
 
 def sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.SQL, "op6_quality_rules": quality_rules.SQL, "op7_topk": topk.SQL}
+    return {"op3_mixing": mixing.SQL, "op6_quality_rules": quality_rules.SQL, "op7_topk": topk.SQL,
+            "op11_collocations": collocations.SQL, "op12_resampling": segment_resampling.SQL}

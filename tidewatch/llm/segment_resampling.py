@@ -207,3 +207,56 @@ def resample(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: s
     drawn = F.col("eligible") & (F.col("before_one") < percent * n // 100)
     return ranked.select("doc_id", "n_features", "weight", "score",
                          F.when(drawn, (F.col("before_one") + 1).cast("bigint")).alias("rank"))
+
+
+#: The same rows in SQL. CRC-32 is folded over the bytes of each distinct feature, with its table made from the polynomial.
+SQL = r"""
+with crc_table as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as crcs
+  from range(256) r(i)
+), texts as (
+  select 0 as kind, row_number() over () as nth, doc_id, text from documents
+  union all select 1, row_number() over (), null, text from benchmark
+), worded as (
+  select kind, nth, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as words
+  from texts
+), features as (
+  select kind, nth, unnest(list_concat(words, list_concat(
+    [words[i] || ' ' || words[i+1] for i in range(1, len(words))],
+    [words[i] || ' ' || words[i+1] || ' ' || words[i+2] for i in range(1, len(words) - 1)]))) as feature
+  from worded
+), counted as (select kind, nth, feature, count(*) as n from features group by all
+), placed as (
+  select feature, xor(list_reduce(
+    list_concat([4294967295::bigint], [('0x' || substr(h, 2*i+1, 2))::bigint for i in range(0, len(h)//2)]),
+    lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 as place
+  from (select feature, hex(encode(feature)) as h from (select distinct feature from counted)), crc_table
+), held as (
+  select kind, nth, place, n from counted join placed using (feature)
+), places as (
+  select p.place, coalesce(sum(n) filter (kind = 0), 0)::double as s, coalesce(sum(n) filter (kind = 1), 0)::double as t
+  from range(10000) p(place) left join held on held.place = p.place group by p.place
+), gains as (
+  select place, floor(1000 * ln((t + 1) * ((select sum(s) from places) + 10000)
+    / ((s + 1) * ((select sum(t) from places) + 10000))))::bigint as gain
+  from places
+), weighed as (
+  select nth, sum(n * gain)::bigint as weight from held join gains using (place) where kind = 0 group by nth
+), noisy as (
+  select nth, doc_id, len(words) as n_words, ('0x' || substr(sha256('42:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h
+  from worded where kind = 0
+), scored as (
+  select doc_id, n_words, n_words + greatest(n_words - 1, 0) + greatest(n_words - 2, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0)))::bigint as score
+  from noisy left join weighed using (nth)
+), ranked as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place,
+    count(*) filter (n_words >= 20) over () as eligible
+  from scored
+)
+select doc_id, n_features::bigint as n_features, weight::bigint as weight, score::bigint as score,
+  case when n_words >= 20 and place <= 5 * eligible // 100 then place end as rank
+from ranked
+"""
