@@ -35,6 +35,9 @@ LEAST = 10
 COVERED = 50
 TOP = 2000
 
+#: Each language's best are first found in so many shares of its phrases, so that no task ranks a whole language.
+SHARES = 64
+
 #: Bytes of text for one route, entries that one group may hold, groups a task sorts one after another.
 ROUTE_BYTES = 8 << 20
 MOST_ENTRIES = 2_000_000
@@ -265,11 +268,11 @@ def frequent_phrases(blocks: DataFrame, least: int = LEAST, most: int = MOST_ENT
 
 
 def score_phrases(phrases: DataFrame) -> DataFrame:
-    """(lang, phrase, a, l, r, score, k) of every phrase of two or three words: its worst cut, in whole numbers."""
-    size = 4 + F.ceil(F.octet_length("_part") / 8)
+    """(lang, phrase, a, l, r, score, k) of every phrase of two or three words: its worst cut, in whole numbers.
+
+    Common words are parts of many phrases; the joins carry counts only and are left to AQE, which splits such keys."""
     shorter = phrases.where("w3 = ''").select(
         F.col("lang").alias("_lang"), F.expr("if(w2 = '', w1, concat(w1, ' ', w2))").alias("_part"), F.col("f").alias("_f"))
-    shorter = broadcast_counted(shorter, size)
     pair, triple = F.expr("concat(w1, ' ', w2)"), F.expr("concat(w1, ' ', w2, ' ', w3)")
     two = phrases.where("w2 != '' and w3 = ''").select(
         "lang", pair.alias("phrase"), F.col("f").alias("a"), F.lit(1).alias("k"), F.col("w1").alias("left"), F.col("w2").alias("right"))
@@ -302,8 +305,12 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     inside = inside.groupBy("_lang", "_part").agg(F.max("f").alias("longest"))
     scored = score_phrases(phrases).join(inside, (F.col("lang") == F.col("_lang")) & (F.col("phrase") == F.col("_part")), "left")
     kept = scored.where(F.coalesce(100 * F.col("longest") < covered * F.col("a"), F.lit(True)))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()))
-    ranked = kept.select("lang", "phrase", "a", "l", "r", "score", place.alias("rank")).where(F.col("rank") <= top)
+    best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    ranked = kept.select("lang", "phrase", "a", "l", "r", "score", share.alias("share"))
+    for keys in (["lang", "share"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*best))
+        ranked = ranked.withColumn("rank", place).where(F.col("rank") <= top)
     return ranked.join(totals, F.col("lang") == F.col("_lang")).select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 

@@ -48,7 +48,8 @@ CHUNK_BYTES = 4 << 20
 GRAIN = 1 << 62
 
 LETTERS = byte_table(range(48, 58), range(97, 123), range(128, 256))
-LEVELS = (1.5, 2.0, 3.0)
+LEVELS = (1.5, 2.0, 3.0, 4.0)
+LONG_TEXT = 256
 N_SIGNALS = 4 + len(LEVELS)
 
 
@@ -80,7 +81,8 @@ def read_words(column: pa.Array) -> Words:
 
 
 def signals(column: pa.Array, lifts: np.ndarray) -> np.ndarray:
-    """(texts x N_SIGNALS): highest lift of a word, lift above 1 in all and by length, words above each level, length."""
+    """(texts x N_SIGNALS): highest lift of a word, lift above 1 in all and by length, words above each level, and
+    shortness: long texts hold more lifted words by chance. A text without words has 0 throughout."""
     words = read_words(column)
     n = words.n_texts
     of_word = np.append(lifts, lifts.min(initial=0.0))[words.features].max(axis=1, initial=0.0)
@@ -89,11 +91,12 @@ def signals(column: pa.Array, lifts: np.ndarray) -> np.ndarray:
     highest = np.zeros(n)
     if len(lift):
         met = np.flatnonzero(count)
-        highest[met] = np.maximum.reduceat(lift, np.searchsorted(words.text, met))
+        highest[met] = np.maximum(np.maximum.reduceat(lift, np.searchsorted(words.text, met)), 0)
     above = np.bincount(words.text, np.maximum(lift - 1, 0), n)
     return np.column_stack([
         highest, np.log1p(above), above / np.sqrt(np.maximum(count, 1)),
-        *[np.log1p(np.bincount(words.text, lift > level, n)) for level in LEVELS], np.log1p(count) / 5])
+        *[np.log1p(np.bincount(words.text, lift > level, n)) for level in LEVELS],
+        -np.log1p(count / LONG_TEXT)])
 
 
 def confirmed_and_prior(labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic",
@@ -161,7 +164,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights (the last one constant) by gradient steps on the non-negative risk."""
+    """Weights (the last one constant) by gradient steps on the non-negative risk. Signals speak for toxicity only:
+    their weights stay at 0 or above, no text is toxic for what it lacks."""
     p, u = (np.hstack([x, np.ones((len(x), 1))]) for x in (positive, unlabelled))
     weights = np.zeros(p.shape[1])
     first, second = np.zeros_like(weights), np.zeros_like(weights)
@@ -173,6 +177,7 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: in
         slope = slope + DECAY * weights
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope ** 2
         weights = weights - STEP * (first / (1 - 0.9 ** turn)) / (np.sqrt(second / (1 - 0.99 ** turn)) + 1e-8)
+        weights[:-1] = np.maximum(weights[:-1], 0)
     return weights
 
 
