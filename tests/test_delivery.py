@@ -1,4 +1,6 @@
 import datetime as dt
+import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -107,9 +109,24 @@ def test_splits_are_stable_and_of_right_size(spark):
     one = {r["row_id"] for r in R.hash_split(df, "row_id").where("is_test").collect()}
     two = {r["row_id"] for r in R.hash_split(df.repartition(11), "row_id").where("is_test").collect()}
     assert one == two and abs(len(one) - 660) < 80
-    for rows in (None, 100):
-        assert R.exact_split(df, "row_id", rows_per_task=rows).where("is_test").count() == 660
+    whole = {r["row_id"] for r in R.exact_split(df, "row_id").where("is_test").collect()}
+    hashes = sorted((r["h"], r["row_id"]) for r in df.withColumn("h", fn.hash_fraction(F.col("row_id"), 123, 13)).collect())
+    assert whole == {i for _, i in hashes[:660]}
+    for buckets in (1, 7, 1 << 20):
+        assert {r["row_id"] for r in R.exact_split(df, "row_id", buckets=buckets).where("is_test").collect()} == whole
     assert R.exact_split(spark.range(10).withColumnRenamed("id", "row_id"), "row_id").where("is_test").count() == 4
+    assert R.exact_split(df.where("row_id < 0"), "row_id").count() == 0
+
+
+def test_exact_split_with_repeated_and_null_keys(spark):
+    keys = [None] * 5 + ["a"] * 40 + list("bcdefgh")
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i int")
+    order = [r["k"] for r in df.withColumn("h", fn.hash_fraction(F.col("k"), 123, 13)).orderBy("h", "k").collect()]
+    for share in (0.02, 0.05, 0.33, 0.6, 0.95, 1.0):
+        split = R.exact_split(df, "k", share)
+        n = math.ceil(share * len(keys))
+        assert split.count() == len(keys) and split.select("i").distinct().count() == len(keys)
+        assert Counter(r["k"] for r in split.where("is_test").collect()) == Counter(order[:n])
 
 
 def test_scores_meet_attributes_on_identity(spark):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import quantiles as Q
 from tidewatch.operators import ranges as RG
+from tidewatch.runtime import materialize
 
 
 def frame(spark, n=3000, seed=3):
@@ -78,12 +79,32 @@ def test_position_counts_ends_at_or_below(spark):
 def test_null_and_unseen_keys_spread_over_ranges(spark):
     df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, F.lit(1)).alias("g"), F.lit("x").alias("feature"),
                                     F.rand(3).alias("value"))
-    placed = RG.add_range(df, df.sample(0.2, 5), ["g", "feature"], 64)
-    assert placed.groupBy("g", "range_no").count().agg(F.max("count")).first()[0] < 4 * 20_000 / 64
-    unseen = RG.add_range(df, df.where("g = 1").sample(0.2, 5), ["g", "feature"], 64)
-    assert unseen.where("g is null").groupBy("range_no").count().agg(F.max("count")).first()[0] < 4 * 20_000 / 64
+    written = materialize(df, "ranged")
+    plan, most = RG.plan_ranges(written, ["g"], 400)
+    assert most == 50 and plan.count() == 2
+    sample = RG.sample_for_ranges(written, plan, ["g"])
+    for held in (sample, sample.where("g = 1")):  # without rows of a key, the ends of all keys serve
+        placed = RG.add_range(written, held, plan, ["g"], most)
+        assert placed.groupBy("g", "range_no").count().agg(F.max("count")).first()[0] < 4 * 400
     got = Q.exact_cuts(df.withColumnRenamed("value", "x").drop("feature"), ["x"], 4, by=["g"], rows_per_task=1000)
     want = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("p")).collect()}
     for g, edges in want.items():
         mine = [r["edge"] for r in got.where(F.col("g").eqNullSafe(F.lit(g))).orderBy("cut").collect()]
         assert np.allclose(mine, edges)
+
+
+def test_a_key_with_half_the_table_among_thousands(spark):
+    """Each key is sampled at its own rate, so no window sees more than a key's own ranges ask for."""
+    rows = spark.range(120_000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 3001).alias("g"),
+                                       F.rand(5).alias("x"))
+    written = materialize(rows, "hot")
+    plan, most = RG.plan_ranges(written, ["g"], 1000)
+    assert [(r["g"], r["rows"], r["ranges"]) for r in plan.collect()] == [(-1, 60_000, 60)]
+    sample = RG.sample_for_ranges(written, plan, ["g"])
+    assert sample.count() < 2 * RG.SAMPLE_PER_RANGE * 60
+    placed = RG.add_range(RG.long_values(written, ["x"], ["g"]), RG.long_values(sample, ["x"], ["g", "ranges"]), plan, ["g"], most)
+    assert placed.groupBy("g", "range_no").count().agg(F.max("count")).first()[0] < 3 * 1000
+    got = {(r["g"], r["cut"]): r["edge"] for r in Q.exact_cuts(rows, ["x"], 4, by=["g"], rows_per_task=1000).collect()}
+    want = rows.groupBy("g").agg(F.percentile("x", [0.25, 0.5, 0.75]).alias("p")).collect()
+    assert len(got) == 3 * len(want)
+    assert all(np.isclose(got[(r["g"], k + 1)], r["p"][k]) for r in want for k in range(3))

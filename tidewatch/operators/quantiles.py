@@ -4,9 +4,9 @@ Positions are whole-number arithmetic: for cut i of q on n values the quantile l
 sorted values k and k+1, with k = i·(n-1) div q and weight (i·(n-1) mod q) / q on the upper one.
 No value can move across a cut through floating-point error in the position.
 
-The wanted columns are written once, and their rows counted. Value ranges, as many as the rows ask for, are
-counted first, and only ranges that hold a wanted position are pulled and ordered, each on its own task; rows for
-one task are one range. Equal values are merged before the shuffle, so a value that fills a third of the
+The wanted columns are written once, and their rows counted by key. Value ranges, as many as a key's rows ask for, are
+counted first, and only ranges that hold a wanted position are pulled and ordered, each on its own task; a key with
+rows for one task is one range. Equal values are merged before the shuffle, so a value that fills a third of the
 table is one row per task.
 """
 
@@ -17,8 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.ranges import add_range, long_values, sample_for_ranges
-from tidewatch.runtime import broadcast_counted, materialize, tasks_for
+from tidewatch.operators.ranges import add_range, long_values, plan_ranges, sample_for_ranges
+from tidewatch.runtime import broadcast_counted, materialize, tasks_for, written_columns
 
 # Ranges per cut, where there is more than one range: fewer rows lie in a range that must be pulled.
 RANGES_PER_CUT = 16
@@ -107,15 +107,17 @@ def exact_cuts(df: DataFrame, columns: Sequence[str], parts: int, cuts: Sequence
     if not cuts or cuts[0] < 0 or cuts[-1] > parts:
         raise ValueError(f"cuts must lie within 0 and {parts}")
     keys = [*by, "feature"]
-    written = materialize(df.select(*by, *[c for c in columns if c not in by]), "cut-input")
+    written = written_columns(df, [*by, *[c for c in columns if c not in by]], "cut-input")
     long = long_values(written, columns, by)
-    ranges = tasks_for(written, rows_per_task)
-    if ranges == 1:
+    if tasks_for(written, rows_per_task) == 1:
         counted = _count_values(long, keys).withColumn("n", F.sum("copies").over(Window.partitionBy(*keys)))
         return _interpolate(counted, keys, cuts, parts)
 
-    ranges = max(ranges, RANGES_PER_CUT * len(cuts))
-    placed = add_range(long, long_values(sample_for_ranges(written, by, ranges), columns, by), keys, ranges)
+    plan, most = plan_ranges(written, by, rows_per_task, RANGES_PER_CUT * len(cuts))
+    placed = long.withColumn("range_no", F.lit(0))
+    if most > 1:
+        sample = long_values(sample_for_ranges(written, plan, by), columns, [*by, "ranges"])
+        placed = add_range(long, sample, plan, by, most)
     wanted = materialize(_wanted_ranges(placed, keys, parts, cuts), "wanted-ranges")
     counted = _count_values(_pull(placed, wanted, keys), [*keys, "range_no", "offset", "n"])
     counted = counted.withColumn("first", F.col("first") + F.col("offset"))

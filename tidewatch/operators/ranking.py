@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.columns import as_number, hash_fraction
 from tidewatch.operators.quantiles import cut_arrays
 from tidewatch.params import GROUP_CUTS_PER_MILLE
-from tidewatch.runtime import broadcast_counted, materialize, tasks_for
+from tidewatch.runtime import broadcast_counted, materialize, tasks_for, written_columns
 
 
 def execution_groups(df: DataFrame, score: str, out: str = "grupo_ejec", by: Sequence[str] = ("period",),
@@ -57,7 +57,7 @@ def rank_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), ou
     Each row's slot in its task is written down once; adding the number of rows in earlier tasks
     gives its place. No task ever holds a whole period.
     """
-    written = materialize(df, "rank-input")
+    written = written_columns(df, df.columns, "rank-input")
     tasks = tasks_for(written, rows_per_task)
     slots = materialize(
         written.repartitionByRange(tasks, *by, *order).sortWithinPartitions(*by, *order)
@@ -84,10 +84,38 @@ def hash_split(df: DataFrame, key: str, test_share: float = 0.33, seed: int = 12
     return df.withColumn(out, bucket < round(test_share * 10000))
 
 
+#: Buckets of the key's hash in `exact_split`; only the one that holds the cut is put in order.
+SPLIT_BUCKETS = 1 << 16
+
+
 def exact_split(df: DataFrame, key: str, test_share: float = 0.33, seed: int = 123,
-                out: str = "is_test", rows_per_task: int | None = None) -> DataFrame:
-    """Mark exactly ceil(test_share · n) rows as test: the ones with the smallest key hashes."""
-    hashed = df.withColumn("_hash", hash_fraction(F.col(key), seed, digits=13))
-    ranked = rank_rows(hashed, [F.col("_hash"), F.col(key)], out="_place", rows_per_task=rows_per_task)
-    n_test = F.ceil(F.lit(test_share) * df.agg(F.count(F.lit(1)).alias("_n")).scalar())
-    return ranked.withColumn(out, F.col("_place") <= n_test).drop("_hash", "_place")
+                out: str = "is_test", buckets: int = SPLIT_BUCKETS) -> DataFrame:
+    """Mark exactly ceil(test_share · n) rows as test: the ones with the smallest key hashes, ties by key.
+
+    Only the cut matters: rows are counted by bucket of their hash, the bucket in which the count is reached is
+    counted by (hash, key), and all rows are compared with the cut found there. NULL keys come first.
+    """
+    digest = F.coalesce(hash_fraction(F.col(key), seed, digits=13), F.lit(-1))
+    bucket = F.floor(digest / float(1 << 52) * buckets)
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    whole = F.sum("n").over(Window.partitionBy())
+    # At most one row a bucket.
+    counts = counts.select("bucket", "n", upto.alias("upto"), F.ceil(F.lit(test_share) * whole).alias("wanted"))
+    held = counts.where("upto >= wanted").orderBy("bucket").first()
+    if held is None or held["wanted"] == 0:
+        return df.withColumn(out, F.lit(False))
+    inside = df.where(bucket == held["bucket"]).groupBy(digest.alias("digest"), F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("digest", "key").rowsBetween(Window.unboundedPreceding, 0))
+    need = held["wanted"] - (held["upto"] - held["n"])
+    cut = inside.withColumn("upto", upto).where(F.col("upto") >= need).orderBy("digest", "key").first()
+    same = F.col(key).eqNullSafe(F.lit(cut["key"]).cast(df.schema[key].dataType)) & (digest == cut["digest"])
+    # NULL compares as unknown, and has the hash that is first.
+    below = F.coalesce((digest < cut["digest"]) | ((digest == cut["digest"]) & (F.col(key) < F.lit(cut["key"]))), F.lit(False))
+    spare = cut["upto"] - need
+    if spare == 0:
+        return df.withColumn(out, below | same)
+    # Rows with one key several times, of which only some fit: any of them will do.
+    some = df.where(same).withColumn(out, F.row_number().over(Window.orderBy(F.lit(0))) <= cut["n"] - spare)
+    return df.where(~same).withColumn(out, below).unionByName(some)

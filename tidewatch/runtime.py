@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
@@ -55,23 +57,45 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Rows of tables written by `materialize`, as observed while they were written.
+_ROWS: weakref.WeakKeyDictionary[DataFrame, int] = weakref.WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back: the lineage ends there, and
-    lost executors cost no recomputation."""
+    lost executors cost no recomputation. The writing job counts the rows on its way."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    _ROWS[written] = counted.get["rows"]
+    return written
+
+
+def rows_of(written: DataFrame) -> int:
+    """Rows of a table just written: observed by `materialize`, else counted from the file footers."""
+    known = _ROWS.get(written)
+    return written.count() if known is None else known
+
+
+def written_columns(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """The columns of `df` as a written table: those of a table that `materialize` gave are read from it again."""
+    wanted = df.select(*columns)
+    if df not in _ROWS:
+        return materialize(wanted, label)
+    _ROWS[wanted] = _ROWS[df]
+    return wanted
 
 
 def tasks_for(written: DataFrame, rows_per_task: int | None = None) -> int:
-    """Tasks for the rows of a table just written; its rows are counted from the file footers."""
-    return max(1, -(-written.count() // (rows_per_task or ROWS_PER_TASK)))
+    """Tasks for the rows of a table just written."""
+    return max(1, -(-rows_of(written) // (rows_per_task or ROWS_PER_TASK)))
 
 
 def broadcast_counted(written: DataFrame, values: Column | None = None) -> DataFrame:
     """Hint a broadcast of a table just written when its values, counted, are few enough; `values` is their
     number in a row (one per column if not given). Beyond that the join stays with AQE, which shuffles and
     splits skewed partitions."""
-    per_row = F.lit(len(written.columns)) if values is None else values
-    held = written.agg(F.sum(per_row.cast("bigint"))).first()[0] or 0
+    held = rows_of(written) * len(written.columns) if values is None else (
+        written.agg(F.sum(values.cast("bigint"))).first()[0] or 0)
     return F.broadcast(written) if 8 * held <= BROADCAST_BYTES else written
