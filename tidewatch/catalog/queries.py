@@ -24,7 +24,7 @@ from tidewatch.operators.ranking import (
 )
 from tidewatch.operators.quantiles import exact_cuts
 from tidewatch.plans.monitoring import (
-    monitor_stage, run_monitoring_phase, stage_runs, store_run, summarise,
+    monitor_stage, monitor_stages, run_monitoring_phase, stage_runs, store_run, summarise,
 )
 from tidewatch.plans.prepare import prepare, split_sets
 from tidewatch.plans.training import run_training_phase
@@ -312,8 +312,7 @@ def stage_summary(spark, sf):
         "grupo": lambda: D.group_drift(fx.periods(replica, monitored), fx.periods(replica, [1]), "grupo_ejec",
                                        ["score", "puntuacion"], Q),
     }
-    results = [monitor_stage(spark, stage, report, monitored) for stage, report in reports.items()]
-    return rounded(summarise(results), "psi_medio")
+    return rounded(summarise(monitor_stages(spark, reports, monitored)), "psi_medio")
 
 
 # Scoring and delivery

@@ -6,7 +6,7 @@ import datetime as dt
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from tidewatch.operators import reports as R
 from tidewatch.operators.delivery import postprocess
 from tidewatch.params import MonitorParams
 from tidewatch.plans.prepare import prepare, typed_raw
-from tidewatch.runtime import materialize
+from tidewatch.runtime import materialize, side_by_side
 from tidewatch.sources.readers import load_reference
 from tidewatch.sources.writers import write_delivery, write_table
 
@@ -82,6 +82,13 @@ def monitor_stage(spark: SparkSession, stage: str, report: Callable[[], DataFram
     return StageResult(stage, table, summary, round(time.monotonic() - began, 2), error)
 
 
+def monitor_stages(spark: SparkSession, reports: dict[str, Callable[[], DataFrame]],
+                   periods: Sequence[int]) -> list[StageResult]:
+    """All stages side by side, results in their order. Each records its own failure, so none stops another."""
+    calls = [partial(monitor_stage, spark, stage, report, periods) for stage, report in reports.items()]
+    return side_by_side(spark, calls, len(REPORT_STAGES), "stages")
+
+
 def stage_runs(spark: SparkSession, results: Sequence[StageResult], periods: Sequence[int]) -> DataFrame:
     """Operational rows: a stage's wall time, shared by the periods it handled together. Host readings
     belong to single machines and stay NULL."""
@@ -125,7 +132,7 @@ def store_run(spark: SparkSession, root: str, run_id: str, results: Sequence[Sta
 def stage_reports(spark: SparkSession, params: MonitorParams, periods: Sequence[int], raw: DataFrame | None,
                   prepared: DataFrame | None, scores: DataFrame | None, replica: DataFrame | None,
                   profiles: dict[str, Profile]) -> list[StageResult]:
-    """The four stages against stored reference profiles."""
+    """The stages whose tables are given, against stored reference profiles."""
     q, spec = params.psi_quantiles, params.spec
 
     def against(stage: str, actual: DataFrame, columns: Sequence[str]) -> Callable[[], DataFrame]:
@@ -133,20 +140,19 @@ def stage_reports(spark: SparkSession, params: MonitorParams, periods: Sequence[
         return lambda: D.psi_report(actual.where(F.col("period").isin(*periods)), None, q, columns,
                                     edges=profile.edges, reference_counts=profile.counts)
 
-    results = []
+    reports = {}
     if raw is not None:
-        results.append(monitor_stage(spark, "raw", against("raw", raw, raw_columns(raw, params)), periods))
+        reports["raw"] = against("raw", raw, raw_columns(raw, params))
     if prepared is not None:
-        results.append(monitor_stage(spark, "pre", against("pre", prepared, list(spec.features)), periods))
+        reports["pre"] = against("pre", prepared, list(spec.features))
     if scores is not None:
-        results.append(monitor_stage(
-            spark, "score", against("score", scores, [params.score_col]), periods))
+        reports["score"] = against("score", scores, [params.score_col])
     if replica is not None:
         profile = profiles["grupo"]
-        results.append(monitor_stage(spark, "grupo", lambda: D.group_drift(
+        reports["grupo"] = lambda: D.group_drift(
             replica.where(F.col("period").isin(*periods)), None, params.group_col,
-            ["score", params.points_col], q, edges=profile.edges, reference_counts=profile.counts), periods))
-    return results
+            ["score", params.points_col], q, edges=profile.edges, reference_counts=profile.counts)
+    return monitor_stages(spark, reports, periods)
 
 
 def raw_columns(raw: DataFrame, params: MonitorParams, exclude: Sequence[str] = ()) -> list[str]:

@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
@@ -57,25 +60,27 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-#: Rows of tables written by `materialize`, as observed while they were written.
-_ROWS: weakref.WeakKeyDictionary[DataFrame, int] = weakref.WeakKeyDictionary()
+#: Tables written by `materialize` and their rows, once counted. (An `Observation` on the writing job would spare the
+#: count, but a session that has used one can no longer serialise Spark ML's models: SparkSession holds its manager.)
+_ROWS: weakref.WeakKeyDictionary[DataFrame, int | None] = weakref.WeakKeyDictionary()
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back: the lineage ends there, and
-    lost executors cost no recomputation. The writing job counts the rows on its way."""
+    lost executors cost no recomputation."""
     path = new_folder(df.sparkSession, label)
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df.write.parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
-    _ROWS[written] = counted.get["rows"]
+    _ROWS[written] = None
     return written
 
 
 def rows_of(written: DataFrame) -> int:
-    """Rows of a table just written: observed by `materialize`, else counted from the file footers."""
+    """Rows of a table just written, counted once from the file footers."""
     known = _ROWS.get(written)
-    return written.count() if known is None else known
+    if known is None:
+        known = _ROWS[written] = written.count()
+    return known
 
 
 def written_columns(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
@@ -83,7 +88,7 @@ def written_columns(df: DataFrame, columns: Sequence[str], label: str) -> DataFr
     wanted = df.select(*columns)
     if df not in _ROWS:
         return materialize(wanted, label)
-    _ROWS[wanted] = _ROWS[df]
+    _ROWS[wanted] = rows_of(df)
     return wanted
 
 
@@ -99,3 +104,29 @@ def broadcast_counted(written: DataFrame, values: Column | None = None) -> DataF
     held = rows_of(written) * len(written.columns) if values is None else (
         written.agg(F.sum(values.cast("bigint"))).first()[0] or 0)
     return F.broadcast(written) if 8 * held <= BROADCAST_BYTES else written
+
+
+def side_by_side(spark: SparkSession, calls: Sequence[Callable[[], Any]], threads: int, label: str) -> list:
+    """The results of several pieces of Spark work in the order of `calls`, at most `threads` of them at a time.
+
+    Each runs its jobs under one job group and in a scheduler pool of its own, so that under
+    `spark.scheduler.mode=FAIR` a long one does not hold back the others. When one raises, the jobs of all others are
+    cancelled, what has not begun is left out, and the error is raised.
+    """
+    context, group = spark.sparkContext, f"{label}-{uuid.uuid4().hex}"
+
+    def work(place: int, call: Callable[[], Any]) -> Any:
+        context.setJobGroup(group, f"{label} {place}", interruptOnCancel=False)
+        context.setLocalProperty("spark.scheduler.pool", f"{label}-{place % threads}")
+        return call()
+
+    with ThreadPoolExecutor(max(1, threads)) as pool:
+        # Every call gets a copy of the caller's local properties; what `work` sets stays with its own thread.
+        futures = [pool.submit(inheritable_thread_target(spark)(work), place, call) for place, call in enumerate(calls)]
+        done, waiting = wait(futures, return_when=FIRST_EXCEPTION)
+        if waiting:
+            for future in waiting:
+                future.cancel()
+            context.cancelJobGroup(group)
+            raise next(f.exception() for f in done if f.exception())
+    return [future.result() for future in futures]
