@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch import runtime
+from tidewatch.models import registry
 from tidewatch.runtime import broadcast_counted, materialize, shared_folder, tasks_for
 from tidewatch.sources import readers, writers
 
@@ -91,3 +92,41 @@ def test_counted_rows_decide_tasks_and_broadcast(spark, monkeypatch):
     assert broadcast_counted(flat) is flat
     wide = materialize(spark.range(10).selectExpr("id", "sequence(1, 100000) as ends"), "wide")
     assert broadcast_counted(wide, F.size("ends") + 1) is wide and broadcast_counted(wide.select("id")) is not wide
+
+
+def test_overwriting_a_period_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "scores")
+
+    def put(rows, **options):
+        writers.write_table(spark.createDataFrame(rows, "period int, x string"), path, **options)
+
+    put([(5, "a"), (6, "b")], replace=writers.PERIODS)
+    put([(6, "c"), (6, "d"), (7, "e")], replace=writers.PERIODS)
+    assert sorted((r["period"], r["x"]) for r in spark.read.parquet(path).collect()) == [(5, "a"), (6, "c"), (6, "d"), (7, "e")]
+    put([(8, "f")])
+    assert [r["period"] for r in spark.read.parquet(path).collect()] == [8]
+
+
+def test_quarantine_names_files_and_rows(spark, tmp_path):
+    write(tmp_path, "p1_extrac.csv", "a,b\n1,x\n2\n3,y,z\n4,w\n")
+    write(tmp_path, "p2_extrac.csv", "b,a,_record\nq,notanumber,k\nr,9,k\n")
+    write(tmp_path, "p3_extrac.csv", "\n")
+    write(tmp_path, "p4_extrac.csv", "")
+    rows, rejected = readers.read_folder_checked(spark, str(tmp_path))
+    assert sorted((r["period"], r["a"]) for r in rows.collect()) == [(1, "1"), (1, "4"), (2, "9"), (2, "notanumber")]
+    found = sorted((r["period"], r["record"] or "", r["reason"]) for r in rejected.collect())
+    assert [f[:2] for f in found] == [(1, "2"), (1, "3,y,z"), (3, "")] and found[2][2] == "no header"
+    assert all(r["file"].endswith(f"p{r['period']}_extrac.csv") for r in rejected.collect())
+    typed = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    rows, rejected = readers.read_folder_checked(spark, str(tmp_path), typed)
+    assert rows.columns == ["a", "b", "period"] and rows.agg(F.sum("a")).first()[0] == 14
+    assert rejected.where("record is not null").count() == 3 and rows.select("b").count() == 3
+
+
+def test_promotions_at_one_moment_get_numbers_of_their_own(spark, tmp_path):
+    root = str(tmp_path)
+    numbers = runtime.side_by_side(spark, [lambda k=k: registry.promote(spark, root, "m", f"f{k}", 0.5) for k in range(6)], 6, "race")
+    assert sorted(numbers) == [1, 2, 3, 4, 5, 6]
+    held = {r["version"]: r["folder"] for r in registry.registry(spark, root).collect()}
+    assert held == {n: f"f{k}" for k, n in enumerate(numbers)} and registry.production_folder(spark, root, "m") == held[6]
+    assert registry.promote(spark, root, "other", "g", None) == 1

@@ -308,6 +308,14 @@ def sql() -> dict[str, str]:
             count(o_orderpriority) as n_priority,
             count(case when (year(o_orderdate) - 1994) % 3 = 2 then o_orderstatus end) as n_status,
             min(o_orderpriority) as first_priority, round(sum(o_totalprice), 2) as total from orders group by period""",
+        "scan_quarantine": """select cast(year(o_orderdate) - 1994 as int) as period, count(*) filter (o_orderkey % 25 != 0) as n,
+            round(max(case when o_orderkey % 25 != 0 then o_totalprice end), 2) as highest,
+            count(*) filter (o_orderkey % 25 = 0) as n_rejected, count(*) filter (o_orderkey % 25 = 0) as n_torn
+            from orders group by period""",
+        "rerun_period": f"""with {SCORED} select period, count(*) as n, sum(row_id)::bigint as ids, round(max(prob), 6) as highest
+            from scored where period = 6 or (period = 5 and row_id % 3 != 0) group by period""",
+        "promotion_race": f"""with {CANDIDATES} select ml_name as name, is_test, n_pos, round(auc, 6) as auc,
+            (select array_to_string(range(1, count(*) + 1), ',') from auc) as versions from auc""",
         "feature_tables": f"""with {SCORED} {"union all".join(f"""
             select '{name}' as name, period, count(*) as n, round(min({value}), 6) as low, round(max({value}), 6) as high
             from scored group by period """ for name, value in (
@@ -338,7 +346,18 @@ def sql() -> dict[str, str]:
             (l_returnflag = 'R')::int as returned, round_even(l_extendedprice / 7, 4) as seventh,
             round_even(l_tax::float::double, 4) as l_tax from lineitem""",
         "align_columns": """select o_orderkey, o_totalprice, 0::int as brand_new, o_custkey from orders""",
-        "quantile_edges": f"{RAW} select feature, n, i as cut, round(edge, 6) as edge from d_edges",
+        "quantile_edges": f"""with {BASE}, ranked as (
+            select feature, value, row_number() over (partition by feature order by value) - 1 as place,
+              count(*) over (partition by feature) as n
+            from (unpivot (select {', '.join(f'{c}::double as {c}' for c in NUMERIC)} from base where {REF})
+                  on {', '.join(NUMERIC)} into name feature value value)
+            where value is not null and not isnan(value)
+        ), wanted as (
+            select feature, n, i, (i * (n - 1)) // 10 as k, ((i * (n - 1)) % 10) / 10.0::double as weight
+            from (select distinct feature, n from ranked), (select unnest(range(1, 10)) as i))
+        select w.feature, w.n, w.i::int as cut, round(lo.value + case when weight = 0 then 0 else (hi.value - lo.value) * weight end, 6) as edge
+        from wanted w join ranked lo on lo.feature = w.feature and lo.place = w.k
+        left join ranked hi on hi.feature = w.feature and hi.place = w.k + 1""",
         "drift_bins": f"""{RAW} select g.period, g.feature, g.bin::int as bin, round(lo.edge, 6) as lo, round(hi.edge, 6) as hi,
             round(r, 6) as ref_share, round(a, 6) as act_share, round((r - a) * ln(r / a), 6) as psi_term,
             round(r * ln(r / a), 6) as kl_term

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from tidewatch.plans.monitoring import (
 )
 from tidewatch.plans.prepare import prepare, split_sets
 from tidewatch.plans.training import run_training_phase
-from tidewatch.runtime import materialize, new_folder
+from tidewatch.runtime import materialize, new_folder, side_by_side
 from tidewatch.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,6 +173,55 @@ def feature_tables(spark, sf):
     return out
 
 
+def scan_quarantine(spark, sf):
+    """A folder in which every 25th row has a field too many and one file has no header: rows kept and rows put aside."""
+    orders = fx.table(spark, sf, "orders").withColumn("period", F.year("o_orderdate") - 1994)
+    folder = new_folder(spark, "quarantine")
+    extra = F.when(F.col("o_orderkey") % 25 == 0, ",torn").otherwise("")
+    line = F.concat(F.col("o_totalprice").cast("double").cast("string"), F.lit(","), F.col("o_orderpriority"), extra)
+    for period in R.known_values(orders, "period"):
+        here = orders.where(F.col("period") == period).select(line.alias("price,priority"))
+        here.write.option("header", True).option("sep", "|").csv(f"{folder}/p{period}_extrac.csv")
+    orders.limit(0).select("o_orderkey").write.csv(f"{folder}/p99_extrac.csv")
+    rows, rejected = readers.read_folder_checked(spark, folder)
+    price = F.col("price").cast("double")
+    kept = rows.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.round(F.max(price), 2).alias("highest"))
+    aside = rejected.groupBy(F.col("period").alias("_period")).agg(
+        F.count("record").alias("n_rejected"), F.count_if(F.col("record").endswith(",torn")).alias("n_torn"))
+    return kept.join(aside, F.col("period") == F.col("_period"), "left").select("period", "n", "highest", "n_rejected", "n_torn")
+
+
+def rerun_period(spark, sf):
+    """Scores of period 5, then 6, then 5 again with other rows: the second run of 5 replaces the first, 6 stays."""
+    scored, path = fx.scored(spark, sf), new_folder(spark, "scores")
+    for period, some in ((5, F.lit(True)), (6, F.lit(True)), (5, F.col("row_id") % 3 != 0)):
+        writers.write_scores(fx.periods(scored, [period]).where(some), SPEC, path, "prob")
+    return spark.read.parquet(path).groupBy("period").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("row_id").alias("ids"), F.round(F.max("prob"), 6).alias("highest"))
+
+
+def promotion_race(spark, sf):
+    """Every candidate's AUC logged as a run and promoted, all at the same moment: runs and versions read back."""
+    root = new_folder(spark, "race")
+    found = roc_auc(_candidate_scores(spark, sf), "score", "label", ["ml_name", "is_test"]).collect()
+
+    def promoted(row):
+        name = f"{row['ml_name']}-{'test' if row['is_test'] else 'train'}"
+        reg.log_run(spark, f"{root}/_runs", name, row["ml_name"], {"is_test": row["is_test"]},
+                    {"auc": row["auc"], "n_pos": row["n_pos"]})
+        return reg.promote(spark, root, "extrac", name, row["auc"])
+
+    side_by_side(spark, [partial(promoted, row) for row in found], len(found), "promotion")
+    versions = reg.registry(spark, root)
+    logged = reg.runs(spark, f"{root}/_runs").select(
+        F.col("run_id").alias("folder"), "name", F.round(F.col("metrics")["auc"], 6).alias("auc"),
+        F.col("metrics")["n_pos"].cast("bigint").alias("n_pos"), (F.col("params")["is_test"] == "True").alias("is_test"))
+    numbers = versions.agg(F.sort_array(F.collect_list("version")).alias("numbers"))
+    # One row.
+    return versions.join(logged, "folder").crossJoin(F.broadcast(numbers)).select(
+        "name", "is_test", "n_pos", "auc", F.array_join("numbers", ",").alias("versions"))
+
+
 def _order_ids(spark, sf):
     return fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"))
 
@@ -578,7 +628,7 @@ def queries() -> dict[str, Query]:
         stage_period_grid, group_matrix, traffic_light, ops_timeline, ops_alerts, ops_first_alerts,
         ops_duration_pivot, ops_ram_pivot, metric_history, latest_model, auc_decay, train_candidates, hpo_search,
         model_registry, training_phase, monitoring_phase, stage_run_records, stored_run,
-        scan_folder_by_name, feature_tables,
+        scan_folder_by_name, feature_tables, scan_quarantine, rerun_period, promotion_race,
     ]
     named = {f.__name__: f for f in plain}
     named.update(hash_split=hash_split_query, exact_split=exact_split_query, roc_auc=roc_auc_query,

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 import pyspark
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +26,14 @@ RUN_SCHEMA = "run_id string, name string, started_at timestamp, params map<strin
 
 
 def _append(spark: SparkSession, rows: list, schema: str, path: str) -> None:
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    """A folder of its own for every append: writers of one folder share its staging area, and the first of them to
+    commit would take away that of the others."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
 def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
 
@@ -68,17 +72,46 @@ def log_run(spark: SparkSession, path: str, run_id: str, name: str, params: dict
     _append(spark, [row], RUN_SCHEMA, path)
 
 
+def runs(spark: SparkSession, path: str) -> DataFrame:
+    """The logged training runs."""
+    return _table(spark, path, RUN_SCHEMA)
+
+
 def registry(spark: SparkSession, root: str) -> DataFrame:
     return _table(spark, f"{root}/_registry", REGISTRY_SCHEMA)
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not be there yet; False where it is. One of several callers succeeds: local
+    files are created exclusively, stores behind Hadoop's file systems by create without overwrite."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(where.getParent())
+    try:
+        if store.getScheme() == "file":
+            plain = store.makeQualified(where).toUri().getPath()
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(plain).toPath(), spark.sparkContext._gateway.new_array(
+                jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            store.create(where, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
 def promote(spark: SparkSession, root: str, model_name: str, folder: str | None, auc_test: float | None) -> int:
     """Register a candidate as the next production version and return its number. Without a champion
-    nothing changes: earlier versions stay, and the call is an error."""
+    nothing changes: earlier versions stay, and the call is an error. The number is claimed by a file of its own before
+    the row is written, so runs that promote at the same moment get different numbers."""
     if folder is None:
         raise ValueError("no champion to promote; production keeps its model")
     known = registry(spark, root).where(F.col("model_name") == model_name)
     version = (known.agg(F.max("version")).first()[0] or 0) + 1
+    while not _claim(spark, f"{root}/_claims/{model_name}-{version}"):
+        version += 1
     _append(spark, [(model_name, folder, version, "produccion", auc_test, dt.datetime.now())],
             REGISTRY_SCHEMA, f"{root}/_registry")
     return version

@@ -21,7 +21,7 @@ from tidewatch.params import MonitorParams
 from tidewatch.plans.prepare import prepare, typed_raw
 from tidewatch.runtime import materialize, side_by_side
 from tidewatch.sources.readers import load_reference
-from tidewatch.sources.writers import write_delivery, write_table
+from tidewatch.sources.writers import PERIODS, write_delivery, write_table
 
 REPORT_STAGES = {"raw": "raw", "pre": "preprocessed", "score": "score", "grupo": "grupo_ejec"}
 
@@ -170,6 +170,7 @@ def run_monitoring_phase(spark: SparkSession, raw: DataFrame, params: MonitorPar
                          run_date: dt.date | None = None) -> dict[str, DataFrame]:
     """Prepare, score, deliver and watch all monitored periods at once. Returns the report tables.
 
+    Prepared rows, scores and deliveries of the monitored periods replace those of earlier runs; other periods stay.
     `raw` needs row identity and period; `root` holds what the training phase stored, and takes the run's
     stage records, drift reports and metric history.
     """
@@ -182,11 +183,12 @@ def run_monitoring_phase(spark: SparkSession, raw: DataFrame, params: MonitorPar
 
     raw = raw.where(F.col(spec.period).isin(*periods))
     typed = typed_raw(raw, spec)
-    write_table(prepare(raw, spec), f"{root}/prepared_oot")
-    prepared = spark.read.parquet(f"{root}/prepared_oot")
+    monitored = F.col(spec.period).isin(*periods)
+    write_table(prepare(raw, spec), f"{root}/prepared_oot", replace=PERIODS)
+    prepared = spark.read.parquet(f"{root}/prepared_oot").where(monitored)
     held = [spec.row_id, spec.period, *spec.post_columns]
-    write_table(batch_inference(model, prepared, held, params.score_col), f"{root}/scored_oot")
-    scored = spark.read.parquet(f"{root}/scored_oot")
+    write_table(batch_inference(model, prepared, held, params.score_col), f"{root}/scored_oot", replace=PERIODS)
+    scored = spark.read.parquet(f"{root}/scored_oot").where(monitored)
     replica = materialize(postprocess(scored, spec, run_date, params.score_col), "replica")
     write_delivery(replica, f"{root}/delivery_oot")
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.operators.delivery import DELIVERY_ORDER
+from tidewatch.runtime import materialize
 
 # Parts of a stored reference, as the training phase writes them.
 REFERENCE_PARTS = ("raw", "pre", "scores", "replica")
@@ -99,6 +102,52 @@ def read_folder(spark: SparkSession, folder: str, schema: T.StructType | None =
     return out
 
 
+def read_folder_checked(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected): `read_folder`, with what cannot be read put aside and named.
+
+    rejected is (file, period, record, reason): a row with more or fewer fields than its header, or with a value that is
+    none of its type, is there with its text; a file without a readable header has one row without a record; files of no bytes are not listed. Every row of
+    every file is in one of the two tables. Both come from one written scan, so they agree whatever columns
+    are read later.
+    """
+    options = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    unread = []
+    for unit in _units(spark, folder):
+        try:
+            header = tuple(_csv(spark, unit, None, **options).columns)
+        except (CapturedException, Py4JJavaError) as error:
+            unread.append((unit, type(error).__name__))
+            continue
+        if header:
+            by_header.setdefault(header, []).append(unit)
+        else:
+            unread.append((unit, "no header"))
+    typed = {field.name: field for field in schema or ()}
+    out = None
+    for header, units in by_header.items():
+        bad = "_record"
+        while bad in header:
+            bad += "_"
+        own = T.StructType([typed.get(c, T.StructField(c, T.StringType())) for c in header] + [T.StructField(bad, T.StringType())])
+        part = _csv(spark, units, own, columnNameOfCorruptRecord=bad, **options)
+        wanted = [(F.col(f"`{c}`") if c in header else F.lit(None).cast(f.dataType)).alias(c)
+                  for c, f in typed.items()] or [F.col(f"`{c}`") for c in header]
+        file = F.col("_metadata.file_path")
+        part = part.select(F.struct(*wanted).alias("fields"), F.struct(
+            file.alias("file"), period_from_path(file).alias("period"), F.col(bad).alias("record")).alias("found"))
+        part = part.select("fields.*", "found")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    named = spark.createDataFrame(unread, "file string, reason string").select(
+        "file", period_from_path(F.col("file")).alias("period"), F.lit(None).cast("string").alias("record"), "reason")
+    if out is None:
+        return spark.createDataFrame([], T.StructType([*typed.values(), T.StructField("period", T.IntegerType())])), named
+    scan = materialize(out, "checked-scan")
+    rows = scan.where("found.record is null").select(*[F.col(f"`{c}`") for c in scan.columns if c != "found"], "found.period")
+    rejected = scan.where("found.record is not null").select("found.*", F.lit("fields do not fit the header").alias("reason"))
+    return rows, rejected.unionByName(named)
+
+
 def read_raw(spark: SparkSession, folder: str, periods: Iterable[int], model: str = "extrac",
              fmt: str = "csv") -> DataFrame:
     """Raw rows of the wanted periods from CSV files or from a parquet folder. A parquet table with a
