@@ -165,7 +165,10 @@ class WordEncoder:
         special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special_ids = special
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        if self.tokenizer.decoder is not None:
+            raise ValueError("tokens are decoded by joining them with a space; this vocabulary has a decoder of its own")
         self.packed: dict[str, bytes] = {}  # word -> ids
+        self.spoken: dict[str, str] = {}  # word -> text decoded from its ids
         names = self.merges.names | {i: t for t, i in special.items()}
         self.names = np.array([names.get(i, "") for i in range(max(names, default=-1) + 1)], dtype=object)  # id -> token
         letters = [chr(c) for c in range(0xC0, 0x100)]
@@ -184,18 +187,24 @@ class WordEncoder:
 
     def learn(self, words: set[str]) -> None:
         gc.disable()  # many small objects that hold no cycles
-        cut = {w: self.pieces(w) for w in words}
-        trie = PrefixTrie(self.merges)
-        for piece in {p for pieces in cut.values() for p in pieces}:
-            trie.insert(piece)
-        tokens, packed = trie.encode(), self.merges.packed
-        for word, pieces in cut.items():
-            found = [t for p in pieces for t in tokens[p]]
-            self.packed[word] = b"".join([packed[t] for t in found])
-        gc.enable()
+        try:
+            cut = {w: self.pieces(w) for w in words}
+            trie = PrefixTrie(self.merges)
+            for piece in {p for pieces in cut.values() for p in pieces}:
+                trie.insert(piece)
+            tokens, packed = trie.encode(), self.merges.packed
+            for word, pieces in cut.items():
+                self.keep(word, b"".join([packed[t] for p in pieces for t in tokens[p]]))
+        finally:
+            gc.enable()
+
+    def keep(self, word: str, ids: bytes) -> None:
+        """A word's ids, and the text decoded from them: words are decoded once, and texts joined from words."""
+        self.packed[word] = ids
+        self.spoken[word] = self.decode(ids)
 
     def forget(self) -> None:
-        self.packed = {}
+        self.packed, self.spoken = {}, {}
         self.merges.apart, self.merges.whole = {}, {}
 
     def split(self, text: str) -> list[str]:
@@ -217,15 +226,16 @@ class WordEncoder:
         here = {w for cut in cuts for w in cut}
         new = here.difference(self.packed)
         if len(self.packed) > MOST_WORDS:
-            self.packed = {w: self.packed[w] for w in here.difference(new)}
+            known = here.difference(new)
+            self.packed, self.spoken = {w: self.packed[w] for w in known}, {w: self.spoken[w] for w in known}
         self.learn({w for w in new if w not in self.special_ids})
         for token, i in self.special_ids.items():
-            self.packed[token] = i.to_bytes(4, "little")
-        packed = self.packed
-        found = [b"".join([packed[w] for w in cut]) for cut in cuts]
-        out = [(ids, self.decode(ids)) for ids in found]
+            self.keep(token, i.to_bytes(4, "little"))
+        packed, spoken = self.packed, self.spoken
+        # A word without ids adds nothing to the text, not even a space.
+        out = [(b"".join([packed[w] for w in cut]), " ".join([t for w in cut if (t := spoken[w])])) for cut in cuts]
         for word in [w for w in new if len(w) > LONG_WORD]:
-            del packed[word]
+            del packed[word], spoken[word]
         return out
 
 
