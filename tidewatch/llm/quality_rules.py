@@ -1,20 +1,25 @@
-"""Quality rules whose thresholds come from the data of each language and source.
+"""Quality rules whose thresholds come from the data of each language and source alone.
 
 Every document gets a few counts, and from them whole-number ratios. The ratios of each (language, source) go into
 a quantile sketch: a histogram whose buckets keep the six leading bits of a value. Such sketches merge by adding
 counts, in any order, so partial aggregation builds them, the sketch of a language is the sum of those of its
-sources, and reruns agree. Quartiles read from the sketches give the fences; documents meet the fences of
-their group by a join.
+sources, and reruns agree. Documents meet the fences of their group by a join.
+
+A fence lies some spreads beyond the group's outer quartile; the spread is the way from the median to that quartile. Where most
+documents of a group have none of something, the spread is 0, and that of the language takes its place, there from the
+median to the outer tenth; then that of all documents; then one unit, the width of the finest bucket. A ratio of a short text
+is a matter of chance, so its events are compared, not the ratio: those that the fence allows for a text of its size, and some
+standard deviations of that number (of one event, where less is allowed).
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import free_name, words
@@ -23,27 +28,32 @@ from tidewatch.runtime import materialize
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
-#: Ratio, its whole-number form, and the fence that a group can at most tighten to: a group's upper fence is not
-#: below it (its lower fence not above it), so that a very even group does not reject harmless documents.
+#: Ratios: counted events, what they are counted in, and the whole number of units that one stands for.
 RATIOS = {
-    "symbols": "(1000 * n_symbols) div n_words",
-    "dup_lines": "(1000 * n_dup_lines) div n_lines",
-    "repeats": "(1000 * n_repeat_words) div n_words",
-    "word_length": "(100 * word_chars) div n_words",
+    "symbols": ("n_symbols", "n_words", 1000),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000),
+    "repeats": ("n_repeat_words", "n_words", 1000),
+    "word_length": ("word_chars", "n_words", 100),
 }
 
+#: Ratios that have a lower fence as well.
+LOW = ("word_length",)
+
+#: Quantiles read from a sketch, in hundredths.
+QUANTILES = (25, 50, 75, 90)
+
 
 @dataclass(frozen=True)
 class Rules:
     #: Base rules: fewest words, and most percent of words in repeated three-word windows.
     least_words: int = 50
     most_repeats: int = 50
-    #: Fences lie this many quartile distances outside the quartiles.
+    #: Fences lie this many spreads outside the quartiles.
     spread: int = 3
     #: Groups with fewer documents take the sketch of their language, and that failing, of all.
     least_group: int = 100
-    highest: dict = field(default_factory=lambda: {"symbols": 100, "dup_lines": 500, "repeats": 450, "word_length": 1500})
-    lowest: dict = field(default_factory=lambda: {"word_length": 200})
+    #: A document is outside when its events are more than this many standard deviations of their number beyond the fence.
+    noise: int = 3
 
 
 def count_text(text: str | None) -> tuple[int, ...]:
@@ -91,7 +101,8 @@ def base_failed(rules: Rules) -> str:
 def sketches(counted: DataFrame, rules: Rules) -> DataFrame:
     """(lang, source, ratio, bucket, n) over the documents that pass the base rules."""
     passed = counted.where(f"n_words > 0 and not {base_failed(rules)}")
-    long = passed.select("lang", "source", *[F.expr(r).alias(k) for k, r in RATIOS.items()]).unpivot(
+    long = passed.select("lang", "source", *[
+        F.expr(f"({unit} * {events}) div {of}").alias(k) for k, (events, of, unit) in RATIOS.items()]).unpivot(
         ["lang", "source"], list(RATIOS), "ratio", "value")
     long = long.withColumn("drop_bits", F.expr("greatest(0, length(bin(value)) - 6)"))
     bucket = F.expr("shiftleft(shiftright(value, drop_bits), drop_bits)").alias("bucket")
@@ -103,38 +114,39 @@ def merge(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "ratio", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """(by..., ratio, n_docs, q1, q3); a sketch has at most some hundreds of buckets."""
+def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., ratio, n_docs, q25, q50, q75, q90); a sketch has at most some hundreds of buckets."""
     group = Window.partitionBy(*by, "ratio")
     sketch = sketch.withColumns({"n_docs": F.sum("n").over(group), "upto": F.sum("n").over(
         group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))})
-    return sketch.groupBy(*by, "ratio").agg(
-        F.max("n_docs").alias("n_docs"),
-        F.min(F.when(4 * F.col("upto") >= F.col("n_docs"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("n_docs"), F.col("bucket"))).alias("q3"))
+    return sketch.groupBy(*by, "ratio").agg(F.max("n_docs").alias("n_docs"), *[
+        F.min(F.when(100 * F.col("upto") >= q * F.col("n_docs"), F.col("bucket"))).alias(f"q{q}") for q in QUANTILES])
 
 
 def fences(counted: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per (lang, source) among documents that pass the base rules: `high_<ratio>`, `low_<ratio>`."""
     fine = materialize(sketches(counted, rules), "quality-sketches")
-    own = quartiles(fine, ["lang", "source"])
-    lang = quartiles(merge(fine, ["lang"]), ["lang"]).select(
-        F.col("lang").alias("lang_"), F.col("ratio").alias("ratio_"), *[F.col(c).alias(f"{c}_") for c in ("n_docs", "q1", "q3")])
-    every = quartiles(merge(fine, []), []).select(
-        F.col("ratio").alias("ratio__"), *[F.col(c).alias(f"{c}__") for c in ("q1", "q3")])
+    read = [f"q{q}" for q in QUANTILES]
+    own = quantiles(fine, ["lang", "source"])
+    lang = quantiles(merge(fine, ["lang"]), ["lang"]).withColumnsRenamed({c: f"{c}_" for c in ("lang", "ratio", "n_docs", *read)})
+    every = quantiles(merge(fine, []), []).drop("n_docs").withColumnsRenamed({c: f"{c}__" for c in ("ratio", *read)})
     met = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("ratio") == F.col("ratio_")))
     met = met.join(every, F.col("ratio") == F.col("ratio__"))
-    for q in ("q1", "q3"):
-        met = met.withColumn(f"use_{q}", F.when(F.col("n_docs") >= rules.least_group, F.col(q)).when(
-            F.col("n_docs_") >= rules.least_group, F.col(f"{q}_")).otherwise(F.col(f"{q}__")))
-    out = rules.spread * (F.col("use_q3") - F.col("use_q1"))
-    parts = []
-    for ratio in RATIOS:
-        here = F.col("ratio") == ratio
-        if ratio in rules.highest:
-            parts.append(F.max(F.when(here, F.greatest(F.lit(rules.highest[ratio]), F.col("use_q3") + out))).alias(f"high_{ratio}"))
-        if ratio in rules.lowest:
-            parts.append(F.max(F.when(here, F.least(F.lit(rules.lowest[ratio]), F.col("use_q1") - out))).alias(f"low_{ratio}"))
+    use = {q: F.when(F.col("n_docs") >= rules.least_group, F.col(q)).when(
+        F.col("n_docs_") >= rules.least_group, F.col(f"{q}_")).otherwise(F.col(f"{q}__")) for q in read}
+
+    def spread(*ways: Column) -> Column:
+        return F.coalesce(*[F.when(way > 0, way) for way in ways], F.lit(1))
+
+    def way(upper: str, lower: str, mark: str) -> Column:
+        return F.col(upper + mark) - F.col(lower + mark)
+
+    up = spread(use["q75"] - use["q50"], way("q90", "q50", "_"), way("q90", "q50", "__"))
+    down = spread(use["q50"] - use["q25"], way("q50", "q25", "_"), way("q50", "q25", "__"))
+    met = met.select("lang", "source", "ratio", (use["q75"] + rules.spread * up).alias("high"),
+                     F.greatest(F.lit(0), use["q25"] - rules.spread * down).alias("low"))
+    parts = [F.max(F.when(F.col("ratio") == r, F.col("high"))).alias(f"high_{r}") for r in RATIOS]
+    parts += [F.max(F.when(F.col("ratio") == r, F.col("low"))).alias(f"low_{r}") for r in LOW]
     return materialize(met.groupBy("lang", "source").agg(*parts), "quality-fences")
 
 
@@ -143,12 +155,14 @@ def judge(counted: DataFrame, limits: DataFrame, rules: Rules = Rules()) -> Data
     limits = limits.withColumnsRenamed({"lang": "lang_", "source": "source_"})
     met = counted.join(limits, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
     inside = F.lit(True)
-    for ratio, form in RATIOS.items():
-        value = F.expr(f"if(n_words > 0, {form}, 0)")
-        if ratio in rules.highest:
-            inside = inside & (value <= F.col(f"high_{ratio}"))
-        if ratio in rules.lowest:
-            inside = inside & (value >= F.col(f"low_{ratio}"))
+    for ratio, (events, of, unit) in RATIOS.items():
+        for sign, fence in ((1, f"high_{ratio}"), (-1, f"low_{ratio}")):
+            if sign > 0 or ratio in LOW:
+                # In units: events, what the fence allows, and the variance of that, which is at least one event's.
+                allowed = F.col(fence).cast("double") * F.col(of)
+                beyond = sign * (float(unit) * F.col(events) - allowed)
+                variance = float(unit) * F.greatest(allowed, F.lit(float(unit)))
+                inside = inside & ((beyond <= 0) | (beyond * beyond <= float(rules.noise ** 2) * variance))
     met = met.withColumn("base_failed", F.expr(base_failed(rules)))
     met = met.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
     return met.drop(*limits.columns)
@@ -215,26 +229,38 @@ with split as (
 ), ranked as (
   select *, sum(n) over (partition by level, lang, source, ratio) as n_docs,
     sum(n) over (partition by level, lang, source, ratio order by bucket rows unbounded preceding) as upto from levels
-), quartiles as (
-  select level, lang, source, ratio, max(n_docs) as n_docs, min(bucket) filter (4 * upto >= n_docs) as q1,
-    min(bucket) filter (4 * upto >= 3 * n_docs) as q3 from ranked group by all
+), quantiles as (
+  select level, lang, source, ratio, max(n_docs) as n_docs, min(bucket) filter (100 * upto >= 25 * n_docs) as q25,
+    min(bucket) filter (100 * upto >= 50 * n_docs) as q50, min(bucket) filter (100 * upto >= 75 * n_docs) as q75,
+    min(bucket) filter (100 * upto >= 90 * n_docs) as q90 from ranked group by all
 ), used as (
   select a.lang, a.source, a.ratio,
-    case when a.n_docs >= 100 then a.q1 when b.n_docs >= 100 then b.q1 else c.q1 end as q1,
-    case when a.n_docs >= 100 then a.q3 when b.n_docs >= 100 then b.q3 else c.q3 end as q3
-  from quartiles a join quartiles b on b.level = 2 and a.lang is not distinct from b.lang and a.ratio = b.ratio
-    join quartiles c on c.level = 3 and a.ratio = c.ratio where a.level = 1
+    case when a.n_docs >= 100 then a.q25 when b.n_docs >= 100 then b.q25 else c.q25 end as q25,
+    case when a.n_docs >= 100 then a.q50 when b.n_docs >= 100 then b.q50 else c.q50 end as q50,
+    case when a.n_docs >= 100 then a.q75 when b.n_docs >= 100 then b.q75 else c.q75 end as q75,
+    coalesce(nullif(b.q90 - b.q50, 0), nullif(c.q90 - c.q50, 0), 1) as wide_up,
+    coalesce(nullif(b.q50 - b.q25, 0), nullif(c.q50 - c.q25, 0), 1) as wide_down
+  from quantiles a join quantiles b on b.level = 2 and a.lang is not distinct from b.lang and a.ratio = b.ratio
+    join quantiles c on c.level = 3 and a.ratio = c.ratio where a.level = 1
+), limits as (
+  select lang, source, ratio, q75 + 3 * coalesce(nullif(q75 - q50, 0), wide_up) as high,
+    greatest(0, q25 - 3 * coalesce(nullif(q50 - q25, 0), wide_down)) as low from used
 ), fences as (
-  select lang, source, max(greatest(100, q3 + 3 * (q3 - q1))) filter (ratio = 'symbols') as high_symbols,
-    max(greatest(500, q3 + 3 * (q3 - q1))) filter (ratio = 'dup_lines') as high_dup_lines,
-    max(greatest(450, q3 + 3 * (q3 - q1))) filter (ratio = 'repeats') as high_repeats,
-    max(greatest(1500, q3 + 3 * (q3 - q1))) filter (ratio = 'word_length') as high_word_length,
-    max(least(200, q1 - 3 * (q3 - q1))) filter (ratio = 'word_length') as low_word_length
-  from used group by all
+  select lang, source, max(high::double) filter (ratio = 'symbols') as high_symbols, max(high::double) filter (ratio = 'dup_lines') as high_dup_lines,
+    max(high::double) filter (ratio = 'repeats') as high_repeats, max(high::double) filter (ratio = 'word_length') as high_word_length,
+    max(low::double) filter (ratio = 'word_length') as low_word_length
+  from limits group by all
+), allowed as (
+  select j.*, high_symbols * n_words as a1, high_dup_lines * n_lines as a2, high_repeats * n_words as a3,
+    high_word_length * n_words as a4, low_word_length * n_words as a5
+  from judged j left join fences f on j.lang is not distinct from f.lang and j.source is not distinct from f.source
+), beyond as (
+  select *, 1000.0::double * n_symbols - a1 as b1, 1000.0::double * n_dup_lines - a2 as b2, 1000.0::double * n_repeat_words - a3 as b3,
+    100.0::double * word_chars - a4 as b4, a5 - 100.0::double * word_chars as b5 from allowed
 )
 select doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and coalesce(1000 * n_symbols // nullif(n_words, 0) <= high_symbols and 1000 * n_dup_lines // nullif(n_lines, 0) <= high_dup_lines
-    and 1000 * n_repeat_words // nullif(n_words, 0) <= high_repeats and 100 * word_chars // nullif(n_words, 0) <= high_word_length
-    and 100 * word_chars // nullif(n_words, 0) >= low_word_length, false) as kept
-from judged j left join fences f on j.lang is not distinct from f.lang and j.source is not distinct from f.source
+  not base_failed and coalesce((b1 <= 0 or b1 * b1 <= 9000 * greatest(a1, 1000)) and (b2 <= 0 or b2 * b2 <= 9000 * greatest(a2, 1000))
+    and (b3 <= 0 or b3 * b3 <= 9000 * greatest(a3, 1000)) and (b4 <= 0 or b4 * b4 <= 900 * greatest(a4, 100))
+    and (b5 <= 0 or b5 * b5 <= 900 * greatest(a5, 100)), false) as kept
+from beyond
 """
