@@ -396,10 +396,10 @@ def test_rules_follow_the_group(spark):
 
 def test_rules_move_with_the_ratios(spark):
     """The same texts are judged by what is usual where they stand: longer words around them move the fences."""
-    def doc(i, source, length, spread):
-        return (i, " ".join([f"{j:03d}" + "x" * (length - 3 + (i + j) % spread) for j in range(200)]), "en", source, 1)
-    rows = [doc(i, "short", 4, 3) for i in range(150)] + [doc(1000 + i, "long", 9, 3) for i in range(150)]
-    rows += [doc(2000 + k, source, length, 3) for k, (source, length) in enumerate([("short", 9), ("long", 9), ("short", 4), ("long", 4)])]
+    def doc(i, source, length):
+        return (i, " ".join([f"{j:03d}" + "x" * (length - 3 + i % 3) for j in range(200)]), "en", source, 1)
+    rows = [doc(i, "short", 4) for i in range(150)] + [doc(1000 + i, "long", 14) for i in range(150)]
+    rows += [doc(2000 + k, source, length) for k, (source, length) in enumerate([("short", 14), ("long", 14), ("short", 4), ("long", 4)])]
     frame = spark.createDataFrame(rows, DOCS)
     got = {r["doc_id"]: r["kept"] for r in quality_rules.quality_verdicts(frame).collect()}
     assert [got[2000 + k] for k in range(4)] == [False, True, True, False]
@@ -411,7 +411,7 @@ def test_rules_move_with_the_ratios(spark):
 def test_rules_leave_few_events_to_chance(spark):
     """Where all have none, one or two repeated lines or symbols in a text are within the noise, many are not."""
     def doc(i, repeats, marks):
-        lines = [" ".join(f"w{i}x{k}y{j}" for j in range(12)) for k in range(8)]
+        lines = [" ".join(f"w{i:03d}x{k}y{j:02d}" for j in range(12)) for k in range(8)]
         return (i, "\n".join(lines + ["one line again"] * (repeats + 1) + ["#"] * marks), "en", "a", 1)
     rows = [doc(i, 0, 0) for i in range(200)] + [doc(500, 2, 0), doc(501, 30, 0), doc(502, 0, 2), doc(503, 0, 40)]
     got = {r["doc_id"]: r["kept"] for r in quality_rules.quality_verdicts(spark.createDataFrame(rows, DOCS)).collect()}
