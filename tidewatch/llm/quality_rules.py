@@ -28,12 +28,13 @@ from tidewatch.runtime import materialize
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
-#: Ratios: counted events, what they are counted in, and the whole number of units that one stands for.
+#: Ratios: counted events, what they are counted in, the whole number of units that one stands for, and how many come
+#: together at the least (a window of three words found twice is six words).
 RATIOS = {
-    "symbols": ("n_symbols", "n_words", 1000),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000),
-    "repeats": ("n_repeat_words", "n_words", 1000),
-    "word_length": ("word_chars", "n_words", 100),
+    "symbols": ("n_symbols", "n_words", 1000, 1),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 1),
+    "repeats": ("n_repeat_words", "n_words", 1000, 6),
+    "word_length": ("word_chars", "n_words", 100, 1),
 }
 
 #: Ratios that have a lower fence as well.
@@ -102,7 +103,7 @@ def sketches(counted: DataFrame, rules: Rules) -> DataFrame:
     """(lang, source, ratio, bucket, n) over the documents that pass the base rules."""
     passed = counted.where(f"n_words > 0 and not {base_failed(rules)}")
     long = passed.select("lang", "source", *[
-        F.expr(f"({unit} * {events}) div {of}").alias(k) for k, (events, of, unit) in RATIOS.items()]).unpivot(
+        F.expr(f"({unit} * {events}) div {of}").alias(k) for k, (events, of, unit, _) in RATIOS.items()]).unpivot(
         ["lang", "source"], list(RATIOS), "ratio", "value")
     long = long.withColumn("drop_bits", F.expr("greatest(0, length(bin(value)) - 6)"))
     bucket = F.expr("shiftleft(shiftright(value, drop_bits), drop_bits)").alias("bucket")
@@ -155,13 +156,13 @@ def judge(counted: DataFrame, limits: DataFrame, rules: Rules = Rules()) -> Data
     limits = limits.withColumnsRenamed({"lang": "lang_", "source": "source_"})
     met = counted.join(limits, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
     inside = F.lit(True)
-    for ratio, (events, of, unit) in RATIOS.items():
+    for ratio, (events, of, unit, lump) in RATIOS.items():
         for sign, fence in ((1, f"high_{ratio}"), (-1, f"low_{ratio}")):
             if sign > 0 or ratio in LOW:
                 # In units: events, what the fence allows, and the variance of that, which is at least one event's.
                 allowed = F.col(fence).cast("double") * F.col(of)
                 beyond = sign * (float(unit) * F.col(events) - allowed)
-                variance = float(unit) * F.greatest(allowed, F.lit(float(unit)))
+                variance = float(unit * lump) * F.greatest(allowed, F.lit(float(unit * lump)))
                 inside = inside & ((beyond <= 0) | (beyond * beyond <= float(rules.noise ** 2) * variance))
     met = met.withColumn("base_failed", F.expr(base_failed(rules)))
     met = met.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
@@ -260,7 +261,7 @@ with split as (
 )
 select doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and coalesce((b1 <= 0 or b1 * b1 <= 9000 * greatest(a1, 1000)) and (b2 <= 0 or b2 * b2 <= 9000 * greatest(a2, 1000))
-    and (b3 <= 0 or b3 * b3 <= 9000 * greatest(a3, 1000)) and (b4 <= 0 or b4 * b4 <= 900 * greatest(a4, 100))
+    and (b3 <= 0 or b3 * b3 <= 54000 * greatest(a3, 6000)) and (b4 <= 0 or b4 * b4 <= 900 * greatest(a4, 100))
     and (b5 <= 0 or b5 * b5 <= 900 * greatest(a5, 100)), false) as kept
 from beyond
 """
