@@ -494,6 +494,26 @@ def test_components_empty(spark, empty):
     assert jaccard_join.jaccard_components(empty).collect() == [] and jaccard_join.keep_one(empty).collect() == []
 
 
+def test_jaccard_texts_that_are_mostly_one_passage(spark, monkeypatch):
+    """Sets that share 30 to 100 % with a passage of many texts: few of them link, all meet in the passage's lists."""
+    rng = np.random.default_rng(8)
+    passages = [" ".join(f"p{k}w{j}" for j in range(90)) for k in range(2)]
+    rows = []
+    for i in range(140):
+        passage = passages[i % 2].split()
+        start = int(rng.integers(0, 12))
+        part = passage[start:start + int(rng.integers(50, 90))]
+        own = [f"o{i if i % 5 else i // 10}x{j}" for j in range(int(rng.integers(0, 30)))]
+        rows.append((i, " ".join(own[:len(own) // 2] + part + own[len(own) // 2:]), "en", "a", 1))
+    df = spark.createDataFrame(rows, DOCS)
+    want = sorted(brute_components(rows))
+    assert len({c for _, _, c in want}) > 20
+    for crowd, side in ((16, 512), (1, 5)):
+        monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+        monkeypatch.setattr(jaccard_join, "SIDE", side)
+        assert sorted(tuple(r)[:3] for r in jaccard_join.jaccard_components(df).collect()) == want
+
+
 @given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=25, unique=True), min_size=1, max_size=20),
        st.lists(st.integers(0, 30), min_size=4, max_size=25, unique=True))
 @settings(max_examples=100, deadline=None)

@@ -46,6 +46,9 @@ BLOCK = 256
 #: Nodes of a component, and nodes that look for partners in it, that meet in one block.
 SIDE = 512
 
+#: A list with nodes of more components than this one is a crowd: its pairs are not joined as rows but searched in blocks.
+CROWD = 16
+
 #: Shingles of a level above this one are frequent, and their lists are dealt by node into so many parts. A list of any
 #: other shingle holds at most about 2^OFTEN / BINS of all shingles.
 OFTEN = 4
@@ -408,60 +411,97 @@ def _needed(a: str, lo: str, hi: str) -> str:
 def rest_pairs(lists: DataFrame) -> DataFrame:
     """(a, b): all pairs of nodes of different components that share enough lists and fit in size.
 
-    First nodes are counted against whole components (the node's is the one with fewer entries in all lists). A
-    component of one node is a pair then; in others that share enough lists the nodes meet in blocks.
+    Pairs that share a list of many components, as a common passage makes it, meet in blocks (`crowded_pairs`). All
+    lists of any other pair hold few components: there nodes are counted against whole components (the node's is
+    the one with fewer entries in all lists). A component of one node is a pair then; in others that share enough lists
+    the nodes meet in blocks.
     """
+    crowds = lists.groupBy("s").agg(F.countDistinct("comp").alias("comps")).where(F.col("comps") > CROWD)
+    crowds = broadcast_counted(materialize(crowds.select(F.col("s").alias("crowd")), "join-crowds"))
+    told = materialize(lists.join(crowds, F.col("s") == F.col("crowd"), "left"), "join-told")
+    crowded = crowded_pairs(lists, told.where("crowd is not null").drop("crowd"))
+    few = told.where("crowd is null").drop("crowd")
     sizes = lists.groupBy("comp").agg(
         F.count(F.lit(1)).alias("entries"), F.min("n").alias("lo"), F.max("n").alias("hi"),
-        F.when(F.min("fp") == F.max("fp"), F.min("fp")).alias("only"), F.countDistinct("fp").alias("nodes"))
+        F.when(F.min("fp") == F.max("fp"), F.min("fp")).alias("only"))
     sizes = broadcast_counted(materialize(sizes, "join-sizes"))
-    met = lists.join(sizes, "comp")
+    met = few.join(sizes, "comp")
     comps = met.select(*[F.col(c).alias(f"{c}_") for c in ("s", "comp", "entries", "lo", "hi")]).distinct()
     smaller = (F.col("entries") < F.col("entries_")) | ((F.col("entries") == F.col("entries_")) & (F.col("comp") < F.col("comp_")))
     fits = F.expr(f"{SHARE[1]} * n >= {SHARE[0]} * lo_ and {SHARE[1]} * hi_ >= {SHARE[0]} * n")
     near = met.join(comps, (F.col("s") == F.col("s_")) & smaller & fits).groupBy("fp", "comp_").agg(
         F.count(F.lit(1)).alias("common")).where(F.col("common") >= COMMON)
-    own = lists.select(F.col("fp").alias("a"), "n").distinct()
+    own = few.select(F.col("fp").alias("a"), "n").distinct()
     near = near.join(own, F.col("fp") == F.col("a")).join(
         sizes.select("comp", "lo", "hi", F.col("only").alias("only_")), F.col("comp_") == F.col("comp"))
     near = materialize(near.where(f"common >= {_needed('n', 'lo', 'hi')}").select(
         "a", F.col("comp_").alias("towards"), "only_"), "join-near")
     single = near.where("only_ is not null").select("a", F.col("only_").alias("b"))
-    return single.union(block_pairs(lists, near.where("only_ is null").select("a", "towards"), sizes))
+    asks = near.where("only_ is null").select(F.col("a").alias("fp"), F.col("towards").alias("of"))
+    members = lists.select("fp", F.col("comp").alias("of")).distinct()
+    return single.union(crowded).union(block_pairs(lists, members, asks, once=False))
+
+
+def crowded_pairs(lists: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(a, b): the pairs among nodes that share a list of many components.
+
+    Lists joined by common nodes are one crowd (the lists of a passage, and the texts that are mostly that passage).
+    Linked sets differ in size by less than one step of `size_class`, so each class of a crowd meets itself and the next.
+    """
+    crowds = components(crowded.select(F.col("fp").alias("a"), F.col("s").alias("b"))).withColumnsRenamed({"fp": "at", "comp": "crowd"})
+    nodes = crowded.select("fp", "n").distinct().join(crowds, F.col("fp") == F.col("at"))
+    step = F.floor(F.ln("n") / F.ln(F.lit(SHARE[1] / SHARE[0])))
+    nodes = materialize(nodes.select("fp", "crowd", step.alias("step")), "join-crowded")
+    members = nodes.select("fp", F.xxhash64("crowd", "step").alias("of"))
+    asks = nodes.select("fp", F.explode(F.array(F.xxhash64("crowd", "step"), F.xxhash64("crowd", F.col("step") + 1))).alias("of"))
+    return block_pairs(lists, members, asks, once=True)
+
 
+def size_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(n) / np.log(SHARE[1] / SHARE[0]))
 
-def block_pairs(lists: DataFrame, near: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(a, b): of each node a and component `towards`, the nodes b of the component that share enough lists with a.
 
-    Nodes carry their lists as one array. Blocks of a component's nodes meet blocks of the nodes that ask, so a
+def block_pairs(lists: DataFrame, members: DataFrame, asks: DataFrame, once: bool) -> DataFrame:
+    """(a, b): the pairs of a node that asks and a member of what it asks `of`, both (fp, of), of different components, that
+    share enough lists. `once`: those of one size class ask each other, and only the smaller of two gives the pair.
+
+    Nodes carry their lists as one array. Blocks of members meet blocks of the nodes that ask, so a
     component of any size is split, and the lists are merged there; only pairs that reach the number come out.
     """
     held = materialize(lists.groupBy("fp", "comp").agg(
         F.first("n").alias("n"), F.sort_array(F.collect_list("s")).alias("held")), "join-held")  # at most a text's first shingles
-    blocks = near.groupBy(F.col("towards").alias("of")).agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("asking"))
-    blocks = blocks.join(sizes.select("comp", F.ceil(F.col("nodes") / SIDE).cast("int").alias("holding")), F.col("of") == F.col("comp"))
-    blocks = broadcast_counted(materialize(blocks.select("of", "asking", "holding"), "join-blocks"))
-    asks = near.join(blocks, F.col("towards") == F.col("of")).join(held.drop("comp"), F.col("a") == F.col("fp")).select(
-        "of", F.explode(F.sequence(F.lit(0), F.col("holding") - 1)).alias("row"),
-        F.pmod(F.xxhash64("fp"), F.col("asking")).cast("int").alias("column"), F.lit(True).alias("asks"), "fp", "n", "held")
-    members = held.join(blocks, F.col("comp") == F.col("of")).select(
-        "of", F.pmod(F.xxhash64("fp"), F.col("holding")).cast("int").alias("row"),
-        F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("column"), F.lit(False).alias("asks"), "fp", "n", "held")
+    held = held.withColumnRenamed("fp", "node")
+    asking = asks.groupBy("of").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("asking"))
+    holding = members.groupBy(F.col("of").alias("of_")).agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("holding"))
+    blocks = asking.join(holding, F.col("of") == F.col("of_")).select(F.col("of").alias("of_"), "asking", "holding")
+    blocks = broadcast_counted(materialize(blocks, "join-blocks"))
+
+    def dealt(nodes: DataFrame, is_asking: bool) -> DataFrame:
+        own, other = ("asking", "holding") if is_asking else ("holding", "asking")
+        mine = F.pmod(F.xxhash64("fp"), F.col(own)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        row, column = (every, mine) if is_asking else (mine, every)
+        met = nodes.join(blocks, F.col("of") == F.col("of_")).select("fp", "of", row.alias("row"), column.alias("column"))
+        return met.join(held, F.col("fp") == F.col("node")).select(
+            "of", "row", "column", F.lit(is_asking).alias("asks"), "fp", "n", "comp", "held")
+
     place = ["of", "row", "column"]
-    rows = members.unionByName(asks).repartition(*place).sortWithinPartitions(*place, "asks")
+    rows = dealt(members, False).unionByName(dealt(asks, True)).repartition(*place).sortWithinPartitions(*place, "asks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, ids, sizes, own, index = None, [], [], [], None
+        here, ids, sizes, comps, own, index = None, [], [], [], [], None
         for batch in batches:
             out = []
             keys = zip(*[batch.column(c).to_pylist() for c in place])
-            for key, asking, fp, n, s in zip(keys, *[batch.column(c).to_pylist() for c in ("asks", "fp", "n")], batch.column("held")):
+            columns = [batch.column(c).to_pylist() for c in ("asks", "fp", "n", "comp")]
+            for key, asking, fp, n, comp, s in zip(keys, *columns, batch.column("held")):
                 if key != here:
-                    here, ids, sizes, own, index = key, [], [], [], None
+                    here, ids, sizes, comps, own, index = key, [], [], [], [], None
                 s = s.values.to_numpy(zero_copy_only=False)
                 if not asking:
                     ids.append(fp)
                     sizes.append(n)
+                    comps.append(comp)
                     own.append(s)
                     continue
                 if not ids:
@@ -469,8 +509,12 @@ def block_pairs(lists: DataFrame, near: DataFrame, sizes: DataFrame) -> DataFram
                 if index is None:
                     flat, of = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
                     order = np.argsort(flat, kind="stable")
-                    index = flat[order], of[order], np.array(sizes, np.int64)
+                    index = flat[order], of[order], np.array(sizes, np.int64), np.array(comps, np.int64), np.array(ids, np.int64)
                 need = lists_needed(n, index[2])
+                passed = index[3] == comp
+                if once:
+                    passed |= (size_class(index[2]) == size_class(np.array(n))) & (index[4] <= fp)
+                need[passed] = n + 1  # more lists than it has
                 starts, stops = (np.searchsorted(index[0], s, side) for side in ("left", "right"))
                 out += [(fp, ids[i]) for i, _ in reach([index[1][a:b] for a, b in zip(starts, stops) if a < b], need)]
             columns = list(zip(*out)) if out else [[], []]
