@@ -22,6 +22,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -168,9 +169,8 @@ class WordEncoder:
         if self.tokenizer.decoder is not None:
             raise ValueError("tokens are decoded by joining them with a space; this vocabulary has a decoder of its own")
         self.packed: dict[str, bytes] = {}  # word -> ids
-        self.spoken: dict[str, str] = {}  # word -> text decoded from its ids
         names = self.merges.names | {i: t for t, i in special.items()}
-        self.names = np.array([names.get(i, "") for i in range(max(names, default=-1) + 1)], dtype=object)  # id -> token
+        self.names = pa.array([names.get(i, "") for i in range(max(names, default=-1) + 1)], pa.string())  # id -> token
         letters = [chr(c) for c in range(0xC0, 0x100)]
         self.bytes_of = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters if c.isalpha()}
 
@@ -194,17 +194,12 @@ class WordEncoder:
                 trie.insert(piece)
             tokens, packed = trie.encode(), self.merges.packed
             for word, pieces in cut.items():
-                self.keep(word, b"".join([packed[t] for p in pieces for t in tokens[p]]))
+                self.packed[word] = b"".join([packed[t] for p in pieces for t in tokens[p]])
         finally:
             gc.enable()
 
-    def keep(self, word: str, ids: bytes) -> None:
-        """A word's ids, and the text decoded from them: words are decoded once, and texts joined from words."""
-        self.packed[word] = ids
-        self.spoken[word] = self.decode(ids)
-
     def forget(self) -> None:
-        self.packed, self.spoken = {}, {}
+        self.packed = {}
         self.merges.apart, self.merges.whole = {}, {}
 
     def split(self, text: str) -> list[str]:
@@ -216,27 +211,32 @@ class WordEncoder:
             out += [part] if i % 2 else [w for w in part.replace("\n", " ").split(" ") if w]
         return out
 
-    def decode(self, ids: bytes) -> str:
-        """The text of packed ids: tokens joined by a space, as this vocabulary (decoder null) decodes."""
-        return " ".join(self.names[np.frombuffer(ids, "<u4")])
+    def decode(self, found: list[bytes]) -> pa.StringArray:
+        """The texts of packed ids: tokens joined by a space, as this vocabulary (decoder null) decodes."""
+        ends = np.cumsum([0, *[len(ids) // 4 for ids in found]])
+        tokens = self.names.take(pa.array(np.frombuffer(b"".join(found), "<u4")))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens), " ")
 
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
-        """(ids as little-endian unsigned 32-bit integers, text decoded from them) of each text."""
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         cuts = [self.split(t) if t else [] for t in texts]
         here = {w for cut in cuts for w in cut}
         new = here.difference(self.packed)
         if len(self.packed) > MOST_WORDS:
-            known = here.difference(new)
-            self.packed, self.spoken = {w: self.packed[w] for w in known}, {w: self.spoken[w] for w in known}
+            self.packed = {w: self.packed[w] for w in here.difference(new)}
         self.learn({w for w in new if w not in self.special_ids})
         for token, i in self.special_ids.items():
-            self.keep(token, i.to_bytes(4, "little"))
-        packed, spoken = self.packed, self.spoken
-        # A word without ids adds nothing to the text, not even a space.
-        out = [(b"".join([packed[w] for w in cut]), " ".join([t for w in cut if (t := spoken[w])])) for cut in cuts]
+            self.packed[token] = i.to_bytes(4, "little")
+        packed = self.packed
+        found = [b"".join([packed[w] for w in cut]) for cut in cuts]
         for word in [w for w in new if len(w) > LONG_WORD]:
-            del packed[word], spoken[word]
-        return out
+            del packed[word]
+        return found
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
+        """(ids, text decoded from them) of each text."""
+        found = self.encode_all(texts)
+        return list(zip(found, self.decode(found).to_pylist()))
 
 
 @lru_cache(maxsize=2)
@@ -263,13 +263,13 @@ def encode_documents(docs: DataFrame, text: str = "text", path: str | None = Non
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = word_encoder(path)
         for part in chunks_of(batches, text, CHUNK_BYTES):
-            found = worker.encode(part.column(text).to_pylist())
-            columns = [pa.array([len(i) // 4 for i, _ in found], pa.int64())]
+            found = worker.encode_all(part.column(text).to_pylist())
+            columns = [pa.array([len(i) // 4 for i in found], pa.int64())]
             if ids:
-                columns.append(pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i, _ in found], pa.list_(pa.int32())))
+                columns.append(pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in found], pa.list_(pa.int32())))
             if digests:
-                columns.append(pa.array([hashlib.sha256(i).hexdigest() for i, _ in found], pa.string()))
-                columns.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for _, t in found], pa.string()))
+                columns.append(pa.array([hashlib.sha256(i).hexdigest() for i in found], pa.string()))
+                columns.append(pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in worker.decode(found)], pa.string()))
             yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *names.values()])
         if not keep_words:
             worker.forget()
