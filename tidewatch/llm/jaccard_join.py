@@ -47,7 +47,7 @@ BLOCK = 256
 SIDE = 512
 
 #: A list with nodes of more components than this one is a crowd: its pairs are not joined as rows but searched in blocks.
-CROWD = 16
+CROWD = 128
 
 #: Shingles of a level above this one are frequent, and their lists are dealt by node into so many parts. A list of any
 #: other shingle holds at most about 2^OFTEN / BINS of all shingles.
