@@ -50,6 +50,7 @@ class FeatureSpec:
     """Names and cleaning rules of one model's columns."""
 
     numeric: tuple[str, ...] = NUMERIC_FEATURES
+    # Fixed values of the reference data: the category column and the value it keeps.
     category: str = "ent_1erlntcrallsfm01"
     allowed: tuple[str, ...] = ("INTERBANK",)
     missing_category: str = MISSING_CATEGORY
