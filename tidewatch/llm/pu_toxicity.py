@@ -82,7 +82,7 @@ def read_words(column: pa.Array) -> Words:
 
 def signals(column: pa.Array, lifts: np.ndarray) -> np.ndarray:
     """(texts x N_SIGNALS): highest lift of a word, lift above 1 in all and by length, words above each level, and
-    shortness: long texts hold more lifted words by chance. A text without words has 0 throughout."""
+    shortness: texts over LONG_TEXT words hold more lifted words by chance. A text without words has 0 throughout."""
     words = read_words(column)
     n = words.n_texts
     of_word = np.append(lifts, lifts.min(initial=0.0))[words.features].max(axis=1, initial=0.0)
@@ -96,7 +96,7 @@ def signals(column: pa.Array, lifts: np.ndarray) -> np.ndarray:
     return np.column_stack([
         highest, np.log1p(above), above / np.sqrt(np.maximum(count, 1)),
         *[np.log1p(np.bincount(words.text, lift > level, n)) for level in LEVELS],
-        -np.log1p(count / LONG_TEXT)])
+        -np.log(np.maximum(count / LONG_TEXT, 1))])
 
 
 def confirmed_and_prior(labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic",
