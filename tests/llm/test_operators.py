@@ -6,6 +6,7 @@ import hashlib
 import html as html_lib
 import inspect
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -153,6 +154,34 @@ def test_html_runs_counted_like_windows():
     assert got == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ('<body><form id="aspnetForm"><nav>Home</nav><article><p>real text</p></article></form>', "real text"),
+    ('<div class="layout sidebar-right"><article><p>real text</p></article><div class="sidebar">links</div></div>', "real text"),
+    ('<article><div class="article-header"><h1>Title</h1><p>by me</p></div><p>words</p></article>', "Title words"),
+    ("<main><h1>Main</h1><p>text</p><article>teaser</article></main>", "Main text teaser"),
+    ("<main><article><h1>T</h1><p>a b c d</p></article><p>more</p></main>", "T a b c d"),
+    ('<article><p>a</p><p class="share-price">b</p><div class="share-buttons">tweet</div></article>', "a b"),
+    ('<article><h1>T</h1><p>a</p></article><section class="comments"><article class="comment">many more words than it</article></section>',
+     "T a"),
+    ('<main><article><h1>T</h1><p>a</p></article><div class="related"><article>many more words than it</article></div></main>', "T a"),
+    ('<form><section class="comment-list"><article>only comments here</article></section></form>', ""),
+    ('<aside><article>teaser</article></aside><article><header><h1>T</h1><span>by</span></header><p>x</p></article>', "T x"),
+])
+def test_html_wrappers_and_names(html, want):
+    assert html_text.settle(html_text.PageReader().read(html))[0] == want
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<b>", '<div class="sidebar">'])
+def test_html_deep_pages_take_linear_time(tag):
+    def seconds(n):
+        start = time.process_time()
+        assert html_text.PageReader().read(f"<article>{tag * n}x") or "side" in tag
+        return time.process_time() - start
+
+    seconds(1_000)
+    assert seconds(40_000) < 4 * max(seconds(20_000), 0.2)  # four times would be quadratic
+
+
 def test_html_given_pages(spark):
     for r in html_text.extract(spark.read.parquet(f"{SF}/pages.parquet")).join(
             spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
