@@ -66,7 +66,7 @@ def _names(schema: str) -> list[str]:
 
 
 def lay_out(docs: DataFrame) -> DataFrame:
-    """Block rows (documents as word numbers, two bytes and one byte of each apart) and word rows (block, pos, word,
+    """Block rows (documents as word numbers, the low and the high two bytes of each apart) and word rows (block, pos, word,
     n_train) from rows (doc_id, text, held)."""
     names = _names(_BLOCK)
 
@@ -81,7 +81,7 @@ def lay_out(docs: DataFrame) -> DataFrame:
         words = [words[i] for i in order.tolist()]
         train = train[order]
         row = [[block], [doc_ids], [held], [np.cumsum(sizes).tolist()],
-               [(ids & 0xFFFF).astype("<u2").tobytes()], [(ids >> 16).astype("u1").tobytes()], [None], [None], [None]]
+               [(ids & 0xFFFF).astype("<u2").tobytes()], [(ids >> 16).astype("<u2").tobytes()], [None], [None], [None]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, _BLOCK_TYPES)], names)
         for first in range(0, len(words), 100_000):
             some = words[first:first + 100_000]
@@ -180,7 +180,7 @@ def code(laid: DataFrame, classed: DataFrame, vocabulary: Vocabulary) -> DataFra
         for batch in batches:
             for row in range(batch.num_rows):
                 low = np.frombuffer(batch.column("low")[row].as_py(), "<u2")
-                ids = low.astype(np.int64) + (np.frombuffer(batch.column("high")[row].as_py(), "u1").astype(np.int64) << 16)
+                ids = low.astype(np.int64) + (np.frombuffer(batch.column("high")[row].as_py(), "<u2").astype(np.int64) << 16)
                 words = batch.column("words")[row]
                 c = kind = np.zeros(0, np.int64)
                 if words.is_valid and len(words):
