@@ -350,15 +350,25 @@ def test_forward_and_expected_counts():
     sizes = np.array([1, 64, 65, 7, 128, 130, 2])
     classes = rng.integers(0, size, sizes.sum())
     parts = np.split(classes, np.cumsum(sizes)[:-1])
-    segments, b = hmm.Segments(classes, sizes), model.emits[classes]
-    _, whole = segments.forward(model, b, *segments.products(model, b))
-    assert np.allclose(whole, [brute_forward(model, p) for p in parts])
-    start, moves, gamma = segments.expected(model, b)
+    segments = hmm.Segments(classes, sizes)
+    assert np.allclose(segments.likelihood(model), [brute_forward(model, p) for p in parts])
+    start, moves, by_step = segments.expected(model)
+    gamma = by_step.T[np.argsort(segments.order)]
     want = [brute_expected(model, p) for p in parts]
     assert np.allclose(gamma, np.vstack([g for g, _ in want])) and np.allclose(moves, sum(m for _, m in want))
     assert np.allclose(start, sum(g[0] for g, _ in want))
 
 
+def test_sums_of_documents(monkeypatch):
+    rng = np.random.default_rng(4)
+    weights, sizes = rng.standard_normal((9, 5)), np.array([1, 30, 2, 8, 8, 1, 40, 3])
+    classes = rng.integers(0, 9, sizes.sum())
+    want = [weights[part].sum(axis=0) for part in np.split(classes, np.cumsum(sizes)[:-1])]
+    for cached in (1, 8, 17, 1000):
+        monkeypatch.setattr(hmm, "CACHED", cached)
+        assert np.allclose(hmm.doc_sums(weights, classes, sizes), want)
+
+
 def test_scores_and_base(spark, real, clashing, empty):
     for docs in (real, clashing):
         rows = docs.select("doc_id", "text").collect()

@@ -45,6 +45,9 @@ BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
 STRIDE = 50_000
 
+#: Tokens whose weights are added at a time when documents are dealt to groups.
+CACHED = 2_048
+
 #: Tokens of a segment: within segments all steps are taken side by side.
 SEGMENT = 64
 
@@ -221,19 +224,26 @@ class Model:
 
 
 class Segments:
-    """Some documents' classes, cut into segments of at most SEGMENT tokens."""
+    """Some documents' classes, cut into segments of at most SEGMENT tokens.
+
+    Tokens are laid out by their step within the segment, longest segments first: those that take a step are a prefix of
+    those that took the step before, so every step is one slice of arrays of K rows. `order` says which token is where.
+    """
 
     def __init__(self, classes: np.ndarray, sizes: np.ndarray):
-        self.classes, self.sizes = classes, sizes
+        self.sizes = sizes
         per_doc = -(-sizes // SEGMENT)
         doc = np.repeat(np.arange(len(sizes)), per_doc)
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
         starts = np.cumsum(sizes) - sizes
-        at = starts[doc] + nth * SEGMENT
         length = np.minimum(SEGMENT, sizes[doc] - nth * SEGMENT)
-        order = np.argsort(-length, kind="stable")  # those still running are a prefix
-        self.at, self.length, self.first = at[order], length[order], (nth == 0)[order]
-        self.running = np.searchsorted(-self.length, -np.arange(SEGMENT), side="left")
+        order = np.argsort(-length, kind="stable")
+        at, self.length, self.first = (starts[doc] + nth * SEGMENT)[order], length[order], (nth == 0)[order]
+        running = np.searchsorted(-self.length, -np.arange(SEGMENT), side="left")
+        self.running = running[:np.count_nonzero(running)].tolist()
+        self.offset = np.concatenate([[0], np.cumsum(self.running)]).astype(np.int64).tolist()
+        self.order = np.concatenate([at[:n] + t for t, n in enumerate(self.running)]) if self.running else np.zeros(0, np.int64)
+        self.classes = classes[self.order]
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         # For each number of a segment within its document: the documents that have it, and where it is.
@@ -241,84 +251,103 @@ class Segments:
         cuts = np.searchsorted(nth[by_nth], np.arange(int(per_doc.max(initial=0)) + 1))
         self.turns = [(doc[by_nth[a:b]], place[by_nth[a:b]]) for a, b in zip(cuts, cuts[1:])]
 
+    def emissions(self, model: Model) -> tuple[np.ndarray, np.ndarray]:
+        """P(class | state) of each token (K x N), scaled to a sum of 1, and the logarithm of the scale."""
+        b = np.take(np.ascontiguousarray(model.emits.T), self.classes, axis=1)
+        scale = b.sum(axis=0)
+        b /= scale
+        return b, np.log(scale)
+
     def products(self, model: Model, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per segment the product of its step matrices, scaled, and the logarithm of the scale."""
-        k = len(model.start)
-        p = np.empty((len(self.at), k, k))
-        log = np.zeros(len(self.at))
-        p[:] = np.where(self.first[:, None, None], np.eye(k), model.moves)
-        p *= b[self.at][:, None, :]
-        for t in range(1, SEGMENT):
-            n = self.running[t]
-            if not n:
-                break
-            p[:n] = (p[:n].reshape(-1, k) @ model.moves).reshape(n, k, k) * b[self.at[:n] + t][:, None, :]
+        """Per segment the product of its step matrices (K x K x segments), scaled, and the logarithm of the scale."""
+        k, n = len(model.start), len(self.length)
+        turn = np.ascontiguousarray(model.moves.T)
+        p = np.where(self.first, np.eye(k)[:, :, None], model.moves[:, :, None]) * b[None, :, :n]
+        log = np.zeros(n)
+        for t, n in enumerate(self.running):
+            if not t:
+                continue
+            p[:, :, :n] = np.matmul(turn, p[:, :, :n]) * b[None, :, self.offset[t]:self.offset[t] + n]
             if t % 8 == 7:
-                scale = p[:n].sum(axis=(1, 2))
-                p[:n] /= scale[:, None, None]
+                scale = p[:, :, :n].sum(axis=(0, 1))
+                p[:, :, :n] /= scale
                 log[:n] += np.log(scale)
-        scale = p.sum(axis=(1, 2))
-        return p / scale[:, None, None], log + np.log(scale)
+        scale = p.sum(axis=(0, 1))
+        return p / scale, log + np.log(scale)
 
-    def forward(self, model: Model, b: np.ndarray, p: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(state before each segment, log likelihood of each document)."""
+    def forward(self, model: Model, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(state before each segment, log likelihood of each document but for the scales of emissions and products)."""
+        matrix = np.ascontiguousarray(p.transpose(2, 0, 1))
         state = np.tile(model.start, (len(self.sizes), 1))
-        before = np.empty((len(self.at), len(model.start)))
+        before = np.empty((len(self.length), len(model.start)))
         whole = np.zeros(len(self.sizes))
         for docs, at in self.turns:
             before[at] = state[docs]
-            after = np.einsum("nk,nkj->nj", state[docs], p[at])
+            after = np.matmul(state[docs][:, None, :], matrix[at])[:, 0]
             scale = after.sum(axis=1)
             state[docs] = after / scale[:, None]
-            whole[docs] += np.log(scale) + log[at]
-        return before, whole
+            whole[docs] += np.log(scale)
+        return before.T, whole
+
+    def likelihood(self, model: Model) -> np.ndarray:
+        """Log likelihood of each document."""
+        b, scale = self.emissions(model)
+        p, log = self.products(model, b)
+        whole = self.forward(model, p)[1]
+        for docs, at in self.turns:
+            whole[docs] += log[at]
+        in_order = np.empty(len(scale))
+        in_order[self.order] = scale
+        return whole + np.add.reduceat(in_order, np.cumsum(self.sizes) - self.sizes)  # a document has a token at least
 
     def backward(self, p: np.ndarray) -> np.ndarray:
         """What follows each segment, per state, scaled."""
-        k = p.shape[1]
+        matrix = np.ascontiguousarray(p.transpose(2, 0, 1))
+        k = len(p)
         later = np.ones((len(self.sizes), k))
-        after = np.empty((len(self.at), k))
+        after = np.empty((len(self.length), k))
         for docs, at in reversed(self.turns):
             after[at] = later[docs]
-            now = np.einsum("nkj,nj->nk", p[at], later[docs])
+            now = np.matmul(matrix[at], later[docs][:, :, None])[:, :, 0]
             later[docs] = now / now.sum(axis=1)[:, None]
-        return after
+        return after.T
 
-    def expected(self, model: Model, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected (start, moves, state of each token), exact for whole documents."""
-        p, log = self.products(model, b)
-        before, _ = self.forward(model, b, p, log)
+    def expected(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected (start, moves, state of each token (K x N, in `order`)), exact for whole documents."""
+        b, _ = self.emissions(model)
+        p, _ = self.products(model, b)
+        before, _ = self.forward(model, p)
         after = self.backward(p)
-        k = len(model.start)
-        alpha, beta = np.empty((len(self.classes), k)), np.empty((len(self.classes), k))
+        k, n = len(model.start), len(self.length)
+        turn = np.ascontiguousarray(model.moves.T)
+        alpha, beta = np.empty_like(b), np.empty_like(b)
         moves = np.zeros((k, k))
-        now = np.where(self.first[:, None], before, before @ model.moves) * b[self.at]
-        now /= now.sum(axis=1)[:, None]
-        alpha[self.at] = now
-        for t in range(1, SEGMENT):
-            n = self.running[t]
-            if not n:
-                break
-            now = (now[:n] @ model.moves) * b[self.at[:n] + t]
-            now /= now.sum(axis=1)[:, None]
-            alpha[self.at[:n] + t] = now
-        beta[self.at + self.length - 1] = after
-        for t in range(SEGMENT - 2, -1, -1):
-            n = self.running[t + 1]
-            if not n:
-                continue
-            at = self.at[:n] + t
-            ahead = b[at + 1] * beta[at + 1]
-            back = ahead @ model.moves.T
-            moves += (alpha[at] / np.einsum("nk,nk->n", alpha[at], back)[:, None]).T @ ahead
-            beta[at] = back / back.sum(axis=1)[:, None]
+        now = np.where(self.first, before, turn @ before) * b[:, :n]
+        alpha[:, :n] = now / now.sum(axis=0)
+        for t, (start, n) in enumerate(zip(self.offset, self.running)):
+            if t:
+                now = (turn @ now[:, :n]) * b[:, start:start + n]
+                if t % 8 == 7:
+                    now /= now.sum(axis=0)
+                alpha[:, start:start + n] = now
+        for t in range(len(self.running) - 1, -1, -1):
+            start, n = self.offset[t], self.running[t]
+            on = self.running[t + 1] if t + 1 < len(self.running) else 0
+            beta[:, start + on:start + n] = after[:, on:n]  # segments that end here
+            if on:
+                ahead = b[:, start + n:start + n + on] * beta[:, start + n:start + n + on]
+                back = model.moves @ ahead
+                here = alpha[:, start:start + on]
+                moves += (here / (here * back).sum(axis=0)) @ ahead.T
+                beta[:, start:start + on] = back / back.sum(axis=0) if t % 8 == 0 else back
+        n = len(self.length)
         inner = ~self.first  # from the segment before into this one
-        ahead = (b[self.at] * beta[self.at])[inner]
-        back = ahead @ model.moves.T
-        moves += (before[inner] / np.einsum("nk,nk->n", before[inner], back)[:, None]).T @ ahead
-        gamma = alpha * beta
-        gamma /= gamma.sum(axis=1)[:, None]
-        return gamma[self.at[self.first]].sum(axis=0), moves * model.moves, gamma
+        ahead = (b[:, :n] * beta[:, :n])[:, inner]
+        here = before[:, inner]
+        moves += (here / (here * (model.moves @ ahead)).sum(axis=0)) @ ahead.T
+        alpha *= beta
+        alpha /= alpha.sum(axis=0)
+        return alpha[:, :n][:, self.first].sum(axis=1), moves * model.moves, alpha
 
 
 def _strides(classes: np.ndarray, ends: np.ndarray, pick: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -352,12 +381,12 @@ def expected_counts(coded: DataFrame, model: Model) -> list:
         start, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((size, k))
         for classes, ends, held, _, _ in _rows(batches):
             for _, some, sizes in _strides(classes, ends, ~held):
-                b = model.emits[some]
-                first, between, gamma = Segments(some, sizes).expected(model, b)
+                segments = Segments(some, sizes)
+                first, between, gamma = segments.expected(model)
                 start += first
                 moves += between
                 for i in range(k):
-                    emits[:, i] += np.bincount(some, weights=gamma[:, i], minlength=size)
+                    emits[:, i] += np.bincount(segments.classes, weights=gamma[i], minlength=size)
         there = np.flatnonzero(emits.sum(axis=1))
         what = np.concatenate([there, [-1], -2 - np.arange(k)])
         table = np.vstack([emits[there], start, moves])
@@ -379,6 +408,18 @@ def next_model(rows: list, size: int, k: int) -> Model:
     return Model(start / start.sum(), moves / moves.sum(axis=1)[:, None], emits / emits.sum(axis=0))
 
 
+def doc_sums(weights: np.ndarray, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sum of the weights of each document's classes. Few tokens at a time, so that their weights stay in the cache."""
+    out = np.zeros((len(sizes), weights.shape[1]))
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    for first in range(0, len(classes), CACHED):
+        last = min(first + CACHED, len(classes))
+        a, z = np.searchsorted(ends, first, side="right"), np.searchsorted(starts, last)
+        out[a:z] += np.add.reduceat(weights[classes[first:last]], np.maximum(starts[a:z] - first, 0), axis=0)
+    return out
+
+
 def group_sums(coded: DataFrame, weights: np.ndarray) -> np.ndarray:
     """Class counts (C x K) of the training documents, each counted at the state whose weights fit its classes best."""
     size, k = weights.shape
@@ -388,7 +429,7 @@ def group_sums(coded: DataFrame, weights: np.ndarray) -> np.ndarray:
         sums = np.zeros(size * k, np.int64)
         for classes, ends, held, _, _ in _rows(batches):
             for _, some, sizes in _strides(classes, ends, ~held):
-                own = np.argmax(np.add.reduceat(weights[some], np.cumsum(sizes) - sizes, axis=0), axis=1)
+                own = np.argmax(doc_sums(weights, some, sizes), axis=1)
                 sums += np.bincount(some * k + np.repeat(own, sizes), minlength=size * k)
         table = sums.reshape(size, k)
         there = np.flatnonzero(table.any(axis=1))
@@ -452,9 +493,7 @@ def score(coded: DataFrame, model: Model) -> DataFrame:
         for classes, ends, held, batch, row in _rows(batches):
             whole = np.zeros(len(ends))
             for docs, some, sizes in _strides(classes, ends, np.ones(len(ends), bool)):
-                b = model.emits[some]
-                segments = Segments(some, sizes)
-                whole[docs] = segments.forward(model, b, *segments.products(model, b))[1] / np.log(10)
+                whole[docs] = Segments(some, sizes).likelihood(model) / np.log(10)
             starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
             within = batch.column("within_log")[row].values.to_numpy()
             yield pa.RecordBatch.from_arrays([
