@@ -313,6 +313,19 @@ def test_trie_decodes_the_ids_it_gives():
     assert wrong == worker.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False) != text
 
 
+def test_tokens_stay_apart_like_plain_merges():
+    merges = trie_bpe.Merges(trie_bpe.default_vocabulary())
+    assert merges.grown
+    rng = np.random.default_rng(6)
+    whole = [t for t in list(merges.ids)[::7] if merges.is_whole(t)]
+    firsts = [t for t in whole if not t.endswith(merges.end)]
+    runs = [c * n for c in "ao-" for n in (1, 2, 3, 4) if merges.is_whole(c * n)]
+    pairs = [(firsts[i], whole[j]) for i, j in zip(rng.integers(0, len(firsts), 4000), rng.integers(0, len(whole), 4000))]
+    for left, right in pairs + [(a, b) for a in runs for b in runs]:
+        plain = merges.merged([*merges.symbols(left), *merges.symbols(right)]) == [left, right]
+        assert merges.stay_apart(left, right) == plain, (left, right)
+
+
 @given(st.lists(st.text(st.characters(codec="utf-8"), max_size=12), max_size=5))
 @settings(max_examples=80, deadline=None)
 def test_trie_any_text(words):

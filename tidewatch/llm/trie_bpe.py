@@ -60,6 +60,12 @@ class Merges:
         self.names = {i: t for t, i in self.ids.items()}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.rank = {(a, b): r for r, (a, b) in enumerate(pairs)}
+        made: dict[str, int] = {}  # the last merge that makes a token
+        for (a, b), r in self.rank.items():
+            made[a + b] = max(r, made.get(a + b, -1))
+        #: Whether every merge comes after all that make its two parts, as in vocabularies grown merge by merge.
+        self.grown = all(made.get(a, -1) < r > made.get(b, -1) for (a, b), r in self.rank.items())
+        self.halves: dict[str, tuple[str, str, int]] = {}  # whole token -> the two parts it is made of, rank of that merge
         self.longest = max(len(self.symbols(t)) for t in self.ids)
         self.apart: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
@@ -87,10 +93,47 @@ class Merges:
         known = self.whole[token] = token in self.ids and self.merged(self.symbols(token)) == [token]
         return known
 
+    def half(self, token: str) -> tuple[str, str, int]:
+        """The two parts that the last merge of a whole token joins, and its rank; a symbol has rank -1."""
+        symbols = self.symbols(token)
+        found = (token, token, -1)
+        for cut in range(1, len(symbols)):
+            left, right = "".join(symbols[:cut]), "".join(symbols[cut:])
+            rank = self.rank.get((left, right))
+            if rank is not None and all(self.whole.get(t) or self.is_whole(t) for t in (left, right)) and self.side_by_side(left, right, rank):
+                found = (left, right, rank)
+                break
+        self.halves[token] = found
+        return found
+
+    def side_by_side(self, left: str, right: str, limit: int) -> bool:
+        """Whether no merge before `limit` joins the end of the whole token `left` with the beginning of `right`.
+
+        The merges are undone from the last on: at any time one part ends at the cut and one begins there, and a
+        merge joins them if it comes before both go into larger parts. Of equal merges the left one is first.
+        """
+        rank, halves = self.rank, self.halves
+        left_until, right_until = limit, limit - 1
+        while True:
+            meet = rank.get((left, right))
+            if meet is not None and meet < left_until and meet <= right_until:
+                return False
+            a, b = halves.get(left) or self.half(left), halves.get(right) or self.half(right)
+            if a[2] > b[2]:
+                left_until, left = a[2], a[1]
+            elif b[2] >= 0:
+                right_until, right = b[2], b[0]
+            else:
+                return True
+
     def stay_apart(self, left: str, right: str) -> bool:
+        """Whether the merges applied to two whole tokens side by side give the two tokens."""
         if len(self.apart) > MOST_PAIRS:
             self.apart.clear()
-        known = self.merged([*self.symbols(left), *self.symbols(right)]) == [left, right]
+        if self.grown:
+            known = self.side_by_side(left, right, len(self.rank) + 1)
+        else:
+            known = self.merged([*self.symbols(left), *self.symbols(right)]) == [left, right]
         self.apart[left, right] = known
         return known
 
@@ -147,7 +190,7 @@ class PrefixTrie:
             for symbol in self.ends[node]:
                 piece = path + symbol
                 tokens = [self._last(piece, depth + 1, states, self.merges.end)]
-                left = depth + 1 - len(self.merges.symbols(tokens[0]))
+                left = depth + 1 - len(tokens[0]) + len(self.merges.end)
                 while left:
                     tokens.append(states[left])
                     left -= len(states[left])
