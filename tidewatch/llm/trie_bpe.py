@@ -66,7 +66,8 @@ class Merges:
         #: Whether every merge comes after all that make its two parts, as in vocabularies grown merge by merge.
         self.grown = all(made.get(a, -1) < r > made.get(b, -1) for (a, b), r in self.rank.items())
         self.halves: dict[str, tuple[str, str, int]] = {}  # whole token -> the two parts it is made of, rank of that merge
-        self.longest = max(len(self.symbols(t)) for t in self.ids)
+        #: All ends of tokens.
+        self.tails = {t[i:] for t in self.ids for i in range(len(t))}
         self.apart: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
         self.packed = {t: i.to_bytes(4, "little") for t, i in self.ids.items()}
@@ -162,9 +163,11 @@ class PrefixTrie:
         """The last token of `path`, whose last symbol carries the text `ended` after it. `states[d]` is the last
         token of the first d symbols."""
         merges = self.merges
-        ids, whole, apart = merges.ids, merges.whole, merges.apart
-        for start in range(max(0, depth - merges.longest), depth):
+        ids, tails, whole, apart = merges.ids, merges.tails, merges.whole, merges.apart
+        for start in range(depth - 1, -1, -1):  # one token only fits, so the order is free
             token = path[start:] + ended
+            if token not in tails:
+                break
             if token not in ids:
                 continue
             known = whole.get(token)
