@@ -145,6 +145,29 @@ def test_html_repeated_parts_inside_a_text(spark, repeated):
     assert {r["page_id"]: r["text"] for r in got} == {i: f"story {i} begins {i} Background of it and story {i} ends {i}" for i in range(4)}
 
 
+def test_html_runs_decide_inside_articles(spark):
+    """A notice without markup at the end of articles goes where other pages of the host show it outside theirs; passages that
+    only articles share, titles and teasers that lists repeat, short blocks, and an article that is nothing but the notice stay."""
+    notice = "Sign up today to get all of our stories sent straight to your inbox every morning"
+    shared = "This long paragraph was quoted word by word in every one of these articles on this host"
+    teaser = "A teaser opens the first article and is listed in the menus of all the other pages"
+    rows = []
+    for i in range(4):
+        top = teaser if i == 0 else f"Only page {i} opens with these words and with no others that anybody else wrote"
+        body = f"<h2>More news</h2><p>{top}</p><p>{shared}</p><p>End of page {i}</p><p>{notice}</p>"
+        rows.append((i, f"http://h.example/{i}", f"<nav>More news</nav><article>{body}</article><ul class=related><li>{teaser}</li></ul>"))
+    rows += [(10 + i, f"http://h.example/n{i}", f"<article><p>Text number {i}</p></article><footer>{notice}</footer>") for i in range(3)]
+    rows += [(20, "http://h.example/all", f"<article><p>{notice}</p></article>"), (21, "http://other.example/", f"<article><p>a {i}</p><p>{notice}</p></article>")]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(
+        spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()}
+    for i in range(4):
+        assert got[i].startswith("More news ") and got[i].endswith(f"{shared} End of page {i}")
+    assert teaser in got[0] and got[10] == "Text number 0" and got[20] == notice and got[21].endswith(notice)
+    few = [r for r in rows if r[0] != 3] + [(30 + i, f"http://h.example/few{i}", f"<article><p>Some other text {i}</p></article>") for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(few, "page_id bigint, url string, html string")).collect()}
+    assert all(got[i].endswith(notice) for i in range(3))  # in few of the host's articles: a quotation
+
+
 def test_html_runs_counted_like_windows():
     pages = [("h", ["a b c d e f g h i j", "x y"]), ("h", ["b c d e f g h i", "x y", "x y"]), ("g", ["x y"])]
     got = {(h, run): n for h, run, n in html_text.count_runs(pages)}
