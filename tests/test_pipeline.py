@@ -10,6 +10,8 @@ from tidewatch.models import registry as reg
 from tidewatch.models.learners import predict
 from tidewatch.models.search import SPACES, draw_settings, real, search, whole
 from tidewatch.models.training import Candidate, evaluate, fit_candidates, pick_champion
+from tidewatch import runtime
+from tidewatch.plans import monitoring, training
 from tidewatch.plans.monitoring import run_monitoring_phase
 from tidewatch.plans.training import run_training_phase
 from tidewatch.runtime import materialize
@@ -90,6 +92,24 @@ def test_training_then_monitoring(spark, sf, tmp_path):
     assert "metrics" not in again and reg.registry(spark, f"{root}/models").count() == 1
 
 
+def test_phases_run_independent_parts_side_by_side(spark, sf, tmp_path, monkeypatch):
+    """Parts that need nothing of each other are handed over together, and their results come back in the order of stages."""
+    asked, own = [], runtime.side_by_side
+
+    def noted(spark, calls, threads, label):
+        asked.append((label, len(calls)))
+        return own(spark, calls, threads, label)
+
+    for phase in (training, monitoring):
+        monkeypatch.setattr(phase, "side_by_side", noted)
+    raw, root = materialize(Q.raw_with_target(spark, sf), "raw"), str(tmp_path / "engine")
+    training.run_training_phase(spark, raw, fx.PARAMS, root, dt.date(2024, 1, 31), families=["logistic"], settings=SMALL_SETTINGS)
+    assert ("training", 3) in asked and ("reference", 3) in asked
+    tables = monitoring.run_monitoring_phase(spark, raw.drop("target"), fx.PARAMS, root, dt.date(2024, 1, 31))
+    assert ("monitoring", 2) in asked and ("delivery", 2) in asked
+    assert [r["stage"] for r in tables["stage_runs"].collect()] == [s for s in ("raw", "pre", "score", "grupo") for _ in (5, 6)]
+
+
 def test_no_champion_leaves_production_alone(spark, sf, tmp_path):
     raw = materialize(Q.raw_with_target(spark, sf), "raw")
     params = replace(fx.PARAMS, max_decay_pct=-1000.0)

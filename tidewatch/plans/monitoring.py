@@ -187,12 +187,19 @@ def run_monitoring_phase(spark: SparkSession, raw: DataFrame, params: MonitorPar
     write_table(prepare(raw, spec), f"{root}/prepared_oot", replace=PERIODS)
     prepared = spark.read.parquet(f"{root}/prepared_oot").where(monitored)
     held = [spec.row_id, spec.period, *spec.post_columns]
-    write_table(batch_inference(model, prepared, held, params.score_col), f"{root}/scored_oot", replace=PERIODS)
-    scored = spark.read.parquet(f"{root}/scored_oot").where(monitored)
-    replica = materialize(postprocess(scored, spec, run_date, params.score_col), "replica")
-    write_delivery(replica, f"{root}/delivery_oot")
 
-    results = stage_reports(spark, params, periods, typed, prepared, scored, replica, profiles)
+    def score() -> tuple[DataFrame, DataFrame]:
+        write_table(batch_inference(model, prepared, held, params.score_col), f"{root}/scored_oot", replace=PERIODS)
+        scored = spark.read.parquet(f"{root}/scored_oot").where(monitored)
+        return scored, materialize(postprocess(scored, spec, run_date, params.score_col), "replica")
+
+    # The drift of raw and prepared rows needs no scores, and that of scores no delivery: they run side by side.
+    features, (scored, replica) = side_by_side(spark, [
+        partial(stage_reports, spark, params, periods, typed, prepared, None, None, profiles), score], 2, "monitoring")
+    scores, _ = side_by_side(spark, [
+        partial(stage_reports, spark, params, periods, None, None, scored, replica, profiles),
+        partial(write_delivery, replica, f"{root}/delivery_oot")], 2, "delivery")
+    results = [*features, *scores]
     summary = materialize(summarise(results), "stage-summary")
     by_stage = {r.stage: r.report for r in results}
     runs = stage_runs(spark, results, periods)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from tidewatch.operators import drift as D
 from tidewatch.operators.delivery import postprocess
 from tidewatch.params import MonitorParams
 from tidewatch.plans.monitoring import (
-    build_profile, monitor_stage, raw_columns, stage_reports, stage_runs, store_run, summarise,
+    Profile, StageResult, build_profile, monitor_stage, raw_columns, stage_reports, stage_runs, store_run, summarise,
 )
 from tidewatch.plans.prepare import prepare, split_sets, typed_raw
+from tidewatch.runtime import side_by_side
 from tidewatch.sources.writers import write_delivery, write_table
 
 
@@ -72,13 +74,19 @@ def run_training_phase(spark: SparkSession, raw: DataFrame, params: MonitorParam
     at_first, after = F.col(spec.period) == first, F.col(spec.period).isin(*later)
 
     watched = raw_columns(typed, params)
-    in_sample = [monitor_stage(spark, "raw", lambda: D.psi_report(
-        typed.where(after), typed.where(at_first), q, watched), later)]
-    profiles = {
-        "raw": build_profile(typed, watched, q, root, "raw"),
-        "pre": build_profile(prepared, spec.features, q, root, "pre"),
-    }
-    in_sample += stage_reports(spark, params, later, None, prepared, None, None, profiles)
+
+    def watch_raw() -> StageResult:
+        return monitor_stage(spark, "raw", lambda: D.psi_report(typed.where(after), typed.where(at_first), q, watched), later)
+
+    def watch_prepared() -> tuple[Profile, list[StageResult]]:
+        profile = build_profile(prepared, spec.features, q, root, "pre")
+        return profile, stage_reports(spark, params, later, None, prepared, None, None, {"pre": profile})
+
+    # They only share the two tables just written. Training comes after: nothing is promoted without its profiles.
+    raw_result, raw_profile, (pre_profile, pre_results) = side_by_side(spark, [
+        watch_raw, partial(build_profile, typed, watched, q, root, "raw"), watch_prepared], 3, "training")
+    in_sample = [raw_result, *pre_results]
+    profiles = {"raw": raw_profile, "pre": pre_profile}
 
     metrics = None
     if retrain or reg.production_folder(spark, f"{root}/models", params.model_name) is None:
@@ -91,11 +99,12 @@ def run_training_phase(spark: SparkSession, raw: DataFrame, params: MonitorParam
     scored = spark.read.parquet(f"{root}/reference_scores")
     postprocess(scored, spec, run_date, params.score_col).write.mode("overwrite").parquet(f"{root}/reference_replica")
     replica = spark.read.parquet(f"{root}/reference_replica")
-    write_delivery(replica, f"{root}/delivery_train")
-    profiles["score"] = build_profile(scored, [params.score_col], q, root, "score")
-    profiles["grupo"] = build_profile(
-        replica.where(F.col(params.group_col).isNotNull()), ["score", params.points_col], q, root, "grupo",
-        by=(params.group_col,))
+    grouped = replica.where(F.col(params.group_col).isNotNull())
+    _, profiles["score"], profiles["grupo"] = side_by_side(spark, [
+        partial(write_delivery, replica, f"{root}/delivery_train"),
+        partial(build_profile, scored, [params.score_col], q, root, "score"),
+        partial(build_profile, grouped, ["score", params.points_col], q, root, "grupo", by=(params.group_col,)),
+    ], 3, "reference")
     reference = stage_reports(spark, params, [first], None, None, scored, replica, profiles)
 
     now = dt.datetime.now()
