@@ -81,8 +81,9 @@ def test_query_equals_sql(spark, tmp_path, docs, empty, name, kind):
         some = docs.where("doc_id is not null").dropDuplicates(["doc_id"]) if kind == "hard" else empty
         some.write.parquet(f"{folder}/documents.parquet")
         spark.createDataFrame(kept, "vec_id bigint, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+        some.selectExpr("doc_id as item_id", "text").where("item_id % 3 = 0").write.parquet(f"{folder}/benchmark.parquet")
     db = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         path = f"{folder}/{t}.parquet" + ("/*.parquet" if kind != "given" else "")
         db.execute(f"create view {t} as select * from '{path}'")
     df = entry.queries()[name](spark, folder)
