@@ -229,6 +229,21 @@ def test_encoder_equals_library():
         assert [np.frombuffer(x, "<u4").tolist() for x in got] == plain_ids(path, texts)
 
 
+def test_encoder_learns_words_in_one_call_and_drops_kept_ones(monkeypatch):
+    texts = ["a " + " ".join(f"wörd{chr(97 + i % 26)}{chr(97 + i // 26)}!" for i in range(300)), "a ×÷ b× ª x́ don't 'q' .. , c.\nd\ne f",
+             "x " + "y" * 90 + "!" * 99, "a b  c", "a<|endoftext|>b c", None, "", "one"]
+    path = encoding.default_vocabulary()
+    worker, asked = encoding.Encoder(path), []
+    learn = worker.learn_words
+    monkeypatch.setattr(worker, "learn_words", lambda words, before: asked.append((before, len(words))) or learn(words, before))
+    assert [np.frombuffer(x, "<u4").tolist() for x in worker.encode(texts)] == plain_ids(path, texts)
+    assert max(n for before, n in asked if before) >= 300 and len([1 for before, n in asked if before and n]) == 1
+    monkeypatch.setattr(encoding, "MOST_PIECES", 3)
+    for t in texts * 2:
+        assert np.frombuffer(worker.encode([t])[0], "<u4").tolist() == plain_ids(path, [t])[0]
+    assert len(worker.pieces.texts) < 10 and len(worker.words.texts) < 10 and worker.encode([]) == []
+
+
 def test_token_counts(spark, docs, empty):
     limits = token_counts.limit_table(token_counts.length_histogram(docs))
     sizes = [len(x) for x in plain_ids(encoding.default_vocabulary(), [t for _, t, *_ in HARD])]
@@ -269,6 +284,32 @@ def test_grammar_of_a_full_shard_has_rare_pairs():
     assert list(zip(block.left.tolist(), block.right.tolist())) == [(7, 8)] and len(block.seq) == len(ids) - 300
 
 
+def test_grammar_looks_again_only_where_a_pair_may_be_frequent(monkeypatch):
+    """Rounds after the first read few places, and end with the rules that rounds over all places give."""
+    rng = np.random.default_rng(3)
+    ids = np.concatenate([rng.integers(0, 50_000, 20_000), np.tile(rng.integers(0, 50_000, 40), 30), [7] * 25]).astype(np.uint32)
+    read, codes_of = [], repair.codes_of
+    monkeypatch.setattr(repair, "codes_of", lambda seq, at: read.append(len(at)) or codes_of(seq, at))
+    block = repair.Block(repair.compress(ids))
+    assert read[0] == len(ids) - 1 and len(read) > 3 and max(read[1:]) < len(ids) / 10
+    seq, rules, first = ids.tolist(), [], int(ids.max()) + 1
+    while True:
+        counts = Counter(zip(seq, seq[1:]))
+        ranked = sorted((p for p, n in counts.items() if n >= repair.MIN_COUNT), key=lambda p: (-counts[p], p))
+        chosen = repair.choose(np.array([(a << 32) | b for a, b in ranked], np.uint64))
+        if not chosen:
+            break
+        symbol = {p: first + len(rules) + i for i, p in enumerate(chosen)}
+        out, i = [], 0
+        while i < len(seq):
+            found = symbol.get(tuple(seq[i:i + 2]))
+            out.append(seq[i] if found is None else found)
+            i += 1 if found is None else 2
+        seq, rules = out, rules + chosen
+    assert list(zip(block.left.tolist(), block.right.tolist())) == rules and block.seq.tolist() == seq
+    assert block.read(0, len(block)).tolist() == ids.tolist()
+
+
 def test_repair_query(spark, clashing, empty, tmp_path):
     repair.write_shards(clashing, str(tmp_path / "f"), shard_ids=300)
     got = [tuple(r) for r in repair.read_documents(spark, str(tmp_path / "f")).collect()]

@@ -36,30 +36,32 @@ SHARD_IDS = 1 << 18
 MIN_COUNT = 8
 
 END = 0
-CHUNK_BYTES = 4 << 20
-_BINS = 1 << 20
+CHUNK_BYTES = 16 << 20
+_MOST_BITS = 17
 
 
-def frequent_pairs(seq: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(codes left * 2^32 + right, counts) of the pairs met at least `least` times, most frequent first.
+def codes_of(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """left * 2^32 + right of the pairs that begin at the places `at`."""
+    return (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
 
-    A table of hashed counts leaves out most pairs; the rest are counted one by one.
-    """
-    code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:].astype(np.uint64)
-    bins = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    likely = np.bincount(bins, minlength=_BINS) >= least
-    pairs, counts = np.unique(code[likely[bins]], return_counts=True)
+
+def bins_of(code: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes of the pairs, of so many bits."""
+    return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def frequent_pairs(code: np.ndarray, least: int) -> np.ndarray:
+    """The codes met at least `least` times, most frequent first."""
+    pairs, counts = np.unique(code, return_counts=True)
     keep = counts >= least
     pairs, counts = pairs[keep], counts[keep]
-    order = np.lexsort((pairs, -counts))
-    return pairs[order], counts[order]
+    return pairs[np.lexsort((pairs, -counts))]
 
 
 def choose(pairs: np.ndarray) -> list[tuple[int, int]]:
     """The pairs, most frequent first, of which no two can overlap in a sequence."""
     left, right, chosen = set(), set(), []
-    for pair in pairs.tolist():
-        a, b = pair >> 32, pair & 0xFFFFFFFF
+    for a, b in zip((pairs >> np.uint64(32)).tolist(), (pairs & np.uint64(0xFFFFFFFF)).tolist()):
         if a in right or b in left or (a == b and (a in left or a in right)):
             continue
         chosen.append((a, b))
@@ -68,44 +70,72 @@ def choose(pairs: np.ndarray) -> list[tuple[int, int]]:
     return chosen
 
 
-def replace(seq: np.ndarray, pairs: list[tuple[int, int]], first: int) -> np.ndarray:
-    """`seq` with every occurrence of pairs[i] replaced by the symbol first + i, leftmost first in runs."""
+def occurrences(at: np.ndarray, code: np.ndarray, bins: np.ndarray, bits: int,
+                pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(places of `at` where one of `pairs` is to be replaced, number of that pair), leftmost first in runs."""
     codes = np.array([(a << 32) | b for a, b in pairs], dtype=np.uint64)
     order = np.argsort(codes)
     codes = codes[order]
-    code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:].astype(np.uint64)
-    place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-    at = np.flatnonzero(codes[place] == code)
+    slot = np.full(1 << bits, -1, np.int32)
+    slot[bins_of(codes, bits)] = np.arange(len(codes), dtype=np.int32)
+    place = slot[bins]
+    likely = np.flatnonzero(place >= 0)
+    at, code, place = at[likely], code[likely], place[likely]
+    other = np.flatnonzero(codes[place] != code)  # pairs that share a hash
+    place[other] = np.minimum(np.searchsorted(codes, code[other]), len(codes) - 1)
+    found = np.flatnonzero(codes[place] == code)
+    at, place = at[found], place[found]
     # Only a pair of equal symbols can overlap with itself: in a run of matches every second one stands.
-    new_run = np.concatenate([[True], np.diff(at) != 1]) if len(at) else np.zeros(0, bool)
+    new_run = np.concatenate([[True], np.diff(at) != 1])
     run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
-    at = at[(np.arange(len(at)) - run_start) % 2 == 0]
-    out = seq.copy()
-    out[at] = first + order[place[at]]
-    keep = np.ones(len(seq), bool)
-    keep[at + 1] = False
-    return out[keep]
+    stand = (np.arange(len(at)) - run_start) % 2 == 0
+    return at[stand], order[place[stand]]
+
+
+def _lengths(symbols: np.ndarray, first: int, lengths: np.ndarray) -> np.ndarray:
+    """Number of ids that each symbol stands for; `lengths` are those of the rules."""
+    out = np.ones(symbols.shape, np.int64)
+    ruled = symbols >= first
+    out[ruled] = lengths[symbols[ruled].astype(np.int64) - first]
+    return out
 
 
 def compress(ids: np.ndarray, one_in: int | None = None, min_count: int = MIN_COUNT) -> bytes:
     """The block of a sequence of ids; `one_in` leaves pairs that stand for less than one in so many ids spelled out."""
-    seq = np.asarray(ids, dtype=np.uint32)
+    seq = np.array(ids, dtype=np.uint32)
     first = int(seq.max(initial=0)) + 1
     least = max(min_count, len(seq) // one_in if one_in else 0)
     rules: list[tuple[int, int]] = []
-    lengths: list[int] = []
-    while len(seq) > 1:
-        pairs, _ = frequent_pairs(seq, least)
-        chosen = choose(pairs)
+    lengths = np.empty(0, np.int64)
+    # Places where a frequent pair may begin. A pair only gets rarer while both its symbols are old, so after the first
+    # round these are the places whose pair may have been frequent, and those next to a new symbol.
+    at = np.arange(max(len(seq) - 1, 0))
+    while len(at):
+        bits = min(_MOST_BITS, len(at).bit_length() + 1)
+        code = codes_of(seq, at)
+        bins = bins_of(code, bits)
+        # Counts of hashes leave out most pairs; the rest are counted one by one.
+        likely = np.flatnonzero((np.bincount(bins, minlength=1 << bits) >= least)[bins])
+        at, code, bins = at[likely], code[likely], bins[likely]
+        chosen = choose(frequent_pairs(code, least))
         if not chosen:
             break
-        seq = replace(seq, chosen, first + len(rules))
-        lengths += [sum(1 if s < first else lengths[s - first] for s in pair) for pair in chosen]
+        begins, number = occurrences(at, code, bins, bits, chosen)
+        seq[begins] = first + len(rules) + number
+        open_at, keep = np.zeros(len(seq), bool), np.ones(len(seq), bool)
+        open_at[at] = True
+        open_at[begins] = True
+        open_at[np.maximum(begins - 1, 0)] = True
+        keep[begins + 1] = False
+        seq, open_at = seq[keep], open_at[keep]
+        at = np.flatnonzero(open_at[:-1])
+        pair = np.array(chosen, np.int64)
+        lengths = np.concatenate([lengths, _lengths(pair, first, lengths).sum(axis=1)])
         rules += chosen
     table = np.array(rules, dtype="<u4").reshape(-1, 2)
     head = np.array([1, first, len(rules), len(seq)], dtype="<u4")
     return b"".join(x.tobytes() for x in (head, table[:, 0].astype("<u4"), table[:, 1].astype("<u4"),
-                                          np.array(lengths, dtype="<u4"), seq.astype("<u4")))
+                                          lengths.astype("<u4"), seq.astype("<u4")))
 
 
 class Block:
@@ -120,23 +150,30 @@ class Block:
         self.flat = np.empty(0, np.uint32)
         self.flat_from = np.empty(0, np.int64)
         self._expand_rules()
-        self.sizes = self._sizes(self.seq)
+        self.sizes = _lengths(self.seq, self.first, self.lengths)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
 
-    def _sizes(self, seq: np.ndarray) -> np.ndarray:
-        if not len(self.lengths):
-            return np.ones(len(seq), np.int64)
-        rule = np.maximum(seq.astype(np.int64) - self.first, 0)
-        return np.where(seq < self.first, 1, self.lengths[rule]).astype(np.int64)
-
     def _expand_rules(self) -> None:
-        """All rules written out one after another: a rule only uses earlier ones."""
-        known: list[np.ndarray] = []
-        for a, b in zip(self.left.tolist(), self.right.tolist()):
-            known.append(np.concatenate([known[s - self.first] if s >= self.first else np.array([s], np.uint32) for s in (a, b)]))
-        if known:
-            self.flat = np.concatenate(known)
-            self.flat_from = np.concatenate([[0], np.cumsum(self.lengths[:-1])]).astype(np.int64)
+        """All rules written out one after another, those of a depth at a time: a rule only uses less deep ones."""
+        pair = np.stack([self.left, self.right], axis=1).astype(np.int64)
+        ruled, child = pair >= self.first, np.maximum(pair - self.first, 0)
+        depth = np.zeros(len(pair), np.int64)
+        while len(pair):
+            deeper = np.where(ruled, depth[child] + 1, 0).max(axis=1)
+            if np.array_equal(deeper, depth):
+                break
+            depth = deeper
+        self.flat = np.empty(int(self.lengths.sum()), np.uint32)
+        self.flat_from = np.concatenate([[0], np.cumsum(self.lengths[:-1], dtype=np.int64)])
+        sizes = _lengths(pair, self.first, self.lengths)
+        to = np.stack([self.flat_from[:len(pair)], self.flat_from[:len(pair)] + sizes[:, 0]], axis=1)
+        for level in range(int(depth.max(initial=-1)) + 1):
+            here = (depth == level)[:, None]
+            ids, rules = here & ~ruled, here & ruled
+            self.flat[to[ids]] = pair[ids]
+            size = sizes[rules]
+            within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            self.flat[np.repeat(to[rules], size) + within] = self.flat[np.repeat(self.flat_from[child[rules]], size) + within]
 
     def __len__(self) -> int:
         return int(self.starts[-1])
@@ -148,11 +185,13 @@ class Block:
             return np.empty(0, np.uint32)
         a = int(np.searchsorted(self.starts, start, "right")) - 1
         b = int(np.searchsorted(self.starts, stop, "left"))
-        seq, sizes = self.seq[a:b], self.sizes[a:b]
-        out = np.repeat(seq, sizes)
-        within = np.arange(len(out)) - np.repeat(self.starts[a:b] - self.starts[a], sizes)
-        ruled = out >= self.first
-        out[ruled] = self.flat[self.flat_from[out[ruled].astype(np.int64) - self.first] + within[ruled]]
+        seq = self.seq[a:b]
+        # Every symbol takes a row of places of the rules written out, followed by the symbols themselves.
+        ruled = seq >= self.first
+        place = len(self.flat) + np.arange(len(seq))
+        place[ruled] = self.flat_from[seq[ruled].astype(np.int64) - self.first]
+        place = np.repeat(place + self.starts[a] - self.starts[a:b], self.sizes[a:b])
+        out = np.concatenate([self.flat, seq])[place + np.arange(len(place))]
         skip = start - int(self.starts[a])
         return out[skip:skip + stop - start]
 
