@@ -12,6 +12,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -169,6 +170,46 @@ def test_html_runs_decide_inside_articles(spark):
     assert all(got[i].endswith(notice) for i in range(3))  # in few of the host's articles: a quotation
 
 
+def test_html_runs_of_articles_alone_decide(spark):
+    """The suffix arrays take in articles: a notice that stands in articles only, and in most of a host's, goes, in whatever
+    slices they lie; a passage in half of them, copies of one article, and versions that have most words in common stay."""
+    notice = "Sign up today to get all of our stories sent straight to your inbox every morning"
+    shared = "This long paragraph was quoted word by word in one half of the articles on this host"
+    body = lambda i: f"<p>Only page {i} {' '.join(f'word{i}x{k}' for k in range(30))}</p>"
+    rows = [(i, f"http://h.example/{i}", f"<article>{body(i)}{f'<p>{shared}</p>' * (i % 2)}<p>End of {i}</p><p>{notice}</p></article>")
+            for i in range(6)]
+    rows += [(10 + i, f"http://h.example/c{i}", f"<nav>Menu {i}</nav>{rows[0][2]}") for i in range(9)]
+    rows += [(20 + i, f"http://v.example/{i}", f"<article>{body(0)}<p>{notice}</p><p>Version {i} has a few more words here</p></article>") for i in range(4)]
+    rows += [(30 + i, f"http://two.example/{i}", f"<article>{body(i)}<p>{notice}</p></article>") for i in range(2)]
+    rows += [rows[1], (40, "http://h.example/none", "<nav>Menu</nav>")]
+    for parts in (1, 5):
+        got = {r["page_id"]: r["text"] for r in html_text.extract(
+            spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(parts)).collect()}
+        for i in range(6):
+            assert got[i].startswith(f"Only page {i}") and got[i].endswith(f"End of {i}") and (shared in got[i]) == (i % 2 == 1)
+        assert all(got[10 + i] == got[0] for i in range(9)) and got[40] == ""
+        assert all(got[20 + i].startswith("Only page 0") and f"{notice} Version {i}" in got[20 + i] for i in range(4))
+        assert all(got[30 + i].endswith(notice) for i in range(2))
+
+
+def test_html_runs_of_most_articles():
+    """Half of a host's articles are not most, and blocks shorter than a run do not count; slices hold all rows in order."""
+    run = "a b c d e f g h"
+    texts = [[run, "short one"], [f"x {run}", "short one"], ["short one"], [run], [f"{run} y", f"{run} z"]]
+    blocks = pa.array(texts, pa.list_(pa.string()))
+    assert html_text.most_runs(["p", "p", "p", "q", "q"], blocks) == [(h, html_text.run_codes(run.split(" "))[0]) for h in "pq"]
+    assert html_text.most_runs(["p", "p", "p", "p", "q"], blocks.slice(0, 4))[1:] == []
+    assert html_text.most_runs(["p"] * 4, pa.array([[run], [run], ["k"], ["k"]], pa.list_(pa.string()))) == []
+    assert html_text.most_runs([], blocks.slice(0, 0)) == []
+    long = [f"w{i % 977}x{i // 7}" for i in range(20_000)]  # one block, all of whose runs count
+    assert sorted(run for _, run in html_text.most_runs(["p"], pa.array([[" ".join(long)]], pa.list_(pa.string())))) == sorted(html_text.run_codes(long))
+    batch = pa.RecordBatch.from_arrays([blocks], ["texts"])
+    for limit in (1, 100, 1000):
+        slices = list(html_text.slices_of([batch, batch.slice(0, 0), batch], limit))
+        assert [x for part in slices for x in part.column(0).to_pylist()] == texts * 2
+    assert len(slices) == 1 and len(list(html_text.slices_of([batch, batch], 1))) == 10
+
+
 def test_html_runs_counted_like_windows():
     pages = [("h", ["a b c d e f g h i j", "x y"]), ("h", ["b c d e f g h i", "x y", "x y"]), ("g", ["x y"])]
     got = {(h, run): n for h, run, n in html_text.count_runs(pages)}
